@@ -33,8 +33,8 @@ def to_int_or_zero(c: str | Column) -> Column:
 
 
 def int_coerce(c: str | Column, kind: str = "bigint") -> Column:
-    """Truncate toward zero; failure and infinity give null."""
-    return as_col(c).try_cast("double").try_cast(kind)
+    """Text or number to integer, truncating toward zero; failure and infinity give null."""
+    return parse_number(c).try_cast(kind)
 
 
 def crop_year_start(c: str | Column) -> Column:

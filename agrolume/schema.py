@@ -57,7 +57,7 @@ class Table:
         for f in self.data_schema:
             if f.name not in df.columns:
                 c = F.lit(None).cast(f.dataType)
-            elif isinstance(f.dataType, (T.IntegerType, T.LongType)):
+            elif isinstance(f.dataType, (T.IntegerType, T.LongType)) and isinstance(df.schema[f.name].dataType, T.StringType):
                 c = int_coerce(f.name, f.dataType.simpleString())
             else:
                 c = F.col(f.name).try_cast(f.dataType)
