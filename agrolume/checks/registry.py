@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,12 +25,16 @@ def query(sql: str | None, name: str | None = None):
 
 
 class Tables:
-    """The Parquet tables of one folder, read on demand."""
+    """The Parquet tables of one folder, opened on demand and once per session."""
+
+    _opened: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        setattr(self, name, df)
-        return df
+        opened = self._opened.setdefault(self.spark, {})
+        path = f"{self.folder}/{name}.parquet"
+        if path not in opened:
+            opened[path] = self.spark.read.parquet(path)
+        return opened[path]

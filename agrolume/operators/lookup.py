@@ -7,6 +7,8 @@ adaptive skew splitting for hot codes.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,32 +35,34 @@ def _crop_words(value: str) -> str:
     return fold_text(value).replace("-", " ").replace("_", " ")
 
 
-def _canonical(name: str | Column, strict_reference: bool) -> Column:
-    """Folded name, replaced as a whole by the first synonym it contains.
-
-    With ``strict_reference`` the replacement keeps its hyphens, which leaves
-    sugar cane unresolved; by default it is folded like any name.
-    """
-    folded = fold_crop(name)
+def _canonical(folded: Column, strict_reference: bool) -> Column:
+    """Folded name, replaced as a whole by the first synonym it contains."""
     cases = [
-        F.when(F.contains(folded, F.lit(text)), crop if strict_reference else _crop_words(crop))
-        for text, crop in CROP_SYNONYMS.items()
+        F.when(F.contains(folded, F.lit(text)), crop) for text, crop in _synonyms(strict_reference).items()
     ]
     return F.coalesce(*cases, folded)
 
 
+def _synonyms(strict_reference: bool) -> dict[str, str]:
+    """With ``strict_reference`` the replacement keeps its hyphens, which leaves
+    sugar cane unresolved; by default it is folded like any name."""
+    return CROP_SYNONYMS if strict_reference else {k: _crop_words(v) for k, v in CROP_SYNONYMS.items()}
+
+
 def resolve_cultura(
     df: DataFrame,
     name: str,
     culturas: DataFrame,
     order_by: str = "id_cultura",
     strict_reference: bool = False,
+    folded: bool = False,
     max_inline: int = MAX_INLINE_CROPS,
 ) -> DataFrame:
     """Add ``id_cultura`` for the crop named in ``name``.
 
     An exact match wins.  Otherwise the first crop (by ``order_by``) whose words
     occur in the name, or in whose words the name occurs.  Null when none does.
+    ``folded`` tells that ``name`` went through ``fold`` already.
 
     Up to ``max_inline`` crops become one expression, so facts are not shuffled.
     A longer crop list is matched through joins on word sequences instead.
@@ -71,14 +75,25 @@ def resolve_cultura(
         return df.withColumn("id_cultura", F.lit(None).cast("int"))
 
     raw, padded = F.col(f"`{name}`"), F.col("_crop")
-    exact = [F.when(raw == nome, cid) for cid, nome in targets]
-    words = []
-    for cid, nome in targets:
-        target = F.lit(f" {_crop_words(nome)} ")
-        words.append(F.when(F.contains(padded, target) | F.contains(target, padded), cid))
-    found = F.when(raw != "", F.coalesce(*exact, *words)).cast("int")
-    padding = F.concat(F.lit(" "), _canonical(F.col(f"`{name}`"), strict_reference), F.lit(" "))
-    return df.withColumn("_crop", padding).withColumn("id_cultura", found).drop("_crop")
+    words = [(cid, f" {_crop_words(nome)} ") for cid, nome in targets]
+
+    def first_match(value: str) -> int | None:
+        return next((cid for cid, w in words if w in f" {value} " or f" {value} " in w), None)
+
+    # A synonym decides alone, also when its crop is not among the targets.
+    cases = [
+        (F.contains(padded, F.lit(text)), first_match(crop)) for text, crop in _synonyms(strict_reference).items()
+    ]
+    cases += [(F.contains(padded, F.lit(w)) | F.contains(F.lit(w), padded), cid) for cid, w in words]
+    found = reduce(lambda case, c: case.when(c[0], F.lit(c[1])), cases[1:], F.when(cases[0][0], F.lit(cases[0][1])))
+    exact = F.element_at(F.create_map(*[F.lit(x) for cid, nome in targets for x in (nome, cid)]), raw)
+
+    # One-element explode: the folded name becomes a column computed once per row.
+    # As a plain expression, a filter on the id would carry copies of it to the scan.
+    text = F.translate(raw, "-_", "  ") if folded else fold_crop(raw)
+    padding = F.concat(F.lit(" "), text, F.lit(" "))
+    named = df.select("*", F.explode(F.array(padding)).alias("_crop"))
+    return named.withColumn("id_cultura", F.when(raw != "", F.coalesce(exact, found)).cast("int")).drop("_crop")
 
 
 def _runs(words: Column, longest: Column) -> Column:
@@ -109,7 +124,8 @@ def _resolve_by_words(
         df.where(key != "")
         .select(key.alias("_name"))
         .distinct()
-        .withColumn("_crop", _canonical("_name", strict_reference))
+        .withColumn("_crop", fold_crop("_name"))
+        .withColumn("_crop", _canonical(F.col("_crop"), strict_reference))
     )
     crops = culturas.select(
         "id_cultura",

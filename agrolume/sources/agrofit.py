@@ -29,7 +29,7 @@ def clean(raw: DataFrame) -> DataFrame:
 
 
 def fact(cleaned: DataFrame, culturas: DataFrame) -> DataFrame:
-    return resolve_cultura(cleaned, "cultura", culturas).dropna(subset=["id_cultura"])
+    return resolve_cultura(cleaned, "cultura", culturas, folded=True).dropna(subset=["id_cultura"])
 
 
 def metrics(cleaned: DataFrame) -> DataFrame:

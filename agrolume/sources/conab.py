@@ -52,7 +52,7 @@ def clean_prices(raw: DataFrame, weekly: bool = False) -> DataFrame:
 
 def fact(cleaned: DataFrame, culturas: DataFrame, municipios: DataFrame | None = None) -> DataFrame:
     """State-level rows have no municipality."""
-    out = resolve_cultura(cleaned, "cultura", culturas).dropna(subset=["id_cultura"])
+    out = resolve_cultura(cleaned, "cultura", culturas, folded=True).dropna(subset=["id_cultura"])
     if municipios is not None and "cod_municipio_ibge" in out.columns:
         out = resolve_municipio_by_code(out, municipios)
     return out

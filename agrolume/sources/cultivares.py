@@ -51,7 +51,7 @@ def clean(raw: DataFrame) -> DataFrame:
 def fact(cleaned: DataFrame, culturas: DataFrame, mantenedores: DataFrame) -> DataFrame:
     """First row per registry number; then rows without a cultivar or crop go."""
     firsts = keep_first(cleaned, ["nr_registro"]).dropna(subset=["nr_registro", "cultivar"])
-    out = resolve_cultura(firsts, "cultura", culturas).dropna(subset=["id_cultura"])
+    out = resolve_cultura(firsts, "cultura", culturas, folded=True).dropna(subset=["id_cultura"])
     return resolve_mantenedor(out, mantenedores)
 
 

@@ -28,8 +28,8 @@ def _open(path: str):
 
 
 class LinesReader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, head_only: bool):
+        self.path, self.head_only = path, head_only
 
     def partitions(self):
         from pyarrow import fs
@@ -48,6 +48,7 @@ class LinesReader(DataSourceReader):
         import io
         from itertools import islice
 
+        import numpy as np
         import pyarrow as pa
 
         store, _ = _open(self.path)
@@ -57,12 +58,14 @@ class LinesReader(DataSourceReader):
         with store.open_input_stream(name, compression=None) as raw:
             stream = gzip.GzipFile(fileobj=raw) if head == GZIP_MAGIC else raw
             lines = io.TextIOWrapper(io.BufferedReader(stream, 1 << 20), "utf-8-sig", newline="\n")
+            if self.head_only:
+                lines = islice(lines, 1)
             start = 0
             while batch := [line.rstrip("\r\n") for line in islice(lines, BATCH_LINES)]:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([name] * len(batch)),
-                        pa.array(range(start, start + len(batch)), pa.int64()),
+                        pa.array(np.arange(start, start + len(batch))),
                         pa.array(batch, pa.string()),
                     ],
                     names=["file", "line", "value"],
@@ -71,7 +74,8 @@ class LinesReader(DataSourceReader):
 
 
 class GzipLines(DataSource):
-    """``spark.read.format("any_gzip_lines").load(path)``: (file, line, value)."""
+    """``spark.read.format("any_gzip_lines").load(path)``: (file, line, value).
+    With option ``headOnly`` the first line of each file only."""
 
     @classmethod
     def name(cls):
@@ -81,4 +85,4 @@ class GzipLines(DataSource):
         return "file string, line bigint, value string"
 
     def reader(self, schema):
-        return LinesReader(self.options["path"])
+        return LinesReader(self.options["path"], self.options.get("headOnly", "false") == "true")

@@ -29,7 +29,7 @@ def clean(raw: DataFrame) -> DataFrame:
 
 
 def fact(cleaned: DataFrame, culturas: DataFrame, municipios: DataFrame) -> DataFrame:
-    out = resolve_municipio_by_code(resolve_cultura(cleaned, "cultura", culturas), municipios)
+    out = resolve_municipio_by_code(resolve_cultura(cleaned, "cultura", culturas, folded=True), municipios)
     return out.dropna(subset=["id_cultura", "id_municipio"])
 
 

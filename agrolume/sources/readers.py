@@ -141,13 +141,14 @@ def read_any_gzip(spark: SparkSession, path: str, sep: str = ";", partitions: in
 
     spark.dataSource.register(GzipLines)
     lines = spark.read.format("any_gzip_lines").load(path)
-    first = lines.where("line = 0").orderBy("file").select("value").first()
+    heads = spark.read.format("any_gzip_lines").option("headOnly", "true").load(path)
+    first = heads.orderBy("file").select("value").first()
     if first is None:
         return spark.createDataFrame([], T.StructType())
     names = [n.strip().strip('"') for n in first[0].split(sep)]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BAD]])
     spread = lines.where("line > 0 AND value <> ''")
-    spread = spread.repartition(partitions) if partitions else spread.repartition()
+    spread = spread.repartition(partitions or spark.sparkContext.defaultParallelism)
     options = {"sep": sep, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
     parsed = spread.select(
         F.struct("file", "line").alias(SEQ), F.from_csv("value", schema.simpleString(), options).alias("r")
@@ -207,14 +208,15 @@ def zarc_municipios(df: DataFrame) -> DataFrame:
 _PAM_COLUMNS = ("D2N", "V", "D1C", "D1N", "D3N")
 
 
-def read_pam_long(spark: SparkSession, folder: str, pattern: str = r"([^/_]+)\.json$") -> DataFrame:
-    """Statistics payloads, one JSON list per crop; the first record is the header.
+def read_pam_long(spark: SparkSession, path: str, crop_in_path: str = r"([^/_]+)\.json$") -> DataFrame:
+    """Statistics payloads, one JSON list per file; the first record is the header.
 
-    The crop is what ``pattern`` finds in the file name (``pam_soja.json``).
+    The crop is what ``crop_in_path`` finds in the path (``pam_soja.json``).
+    A payload is one service response, so it fits a row.
     """
     record = "array<struct<" + ",".join(f"{c}:string" for c in _PAM_COLUMNS) + ">>"
-    payload = spark.read.text(folder, wholetext=True).select(
-        F.url_decode(F.regexp_extract(F.col("_metadata.file_name"), pattern, 1)).alias("cultura_raw"),
+    payload = spark.read.text(path, wholetext=True).select(
+        F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), crop_in_path, 1)).alias("cultura_raw"),
         F.from_json("value", record).alias("records"),
     )
     rows = payload.select("cultura_raw", F.posexplode("records").alias("pos", "r")).where("pos > 0")

@@ -74,7 +74,7 @@ def clean_reserve(raw: DataFrame) -> DataFrame:
 
 def fact(cleaned: DataFrame, culturas: DataFrame, municipios: DataFrame) -> DataFrame:
     """Crop and municipality must both resolve."""
-    out = resolve_cultura(cleaned, "cultura", culturas).dropna(subset=["id_cultura"])
+    out = resolve_cultura(cleaned, "cultura", culturas, folded=True).dropna(subset=["id_cultura"])
     return resolve_municipio_by_name(out, municipios).dropna(subset=["id_municipio"])
 
 

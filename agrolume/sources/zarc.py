@@ -36,7 +36,7 @@ def fact(cleaned: DataFrame, culturas: DataFrame, municipios: DataFrame) -> Data
     soil = [c for c in ("cod_solo", "tipo_solo") if c in cleaned.columns]
     decs = [c for c in cleaned.columns if c.lower().startswith("dec") or c in columns[3:]]
     wide = select_existing(cleaned, ["cultura", "cod_municipio_ibge", *soil, *decs])
-    wide = resolve_municipio_by_code(resolve_cultura(wide, "cultura", culturas), municipios)
+    wide = resolve_municipio_by_code(resolve_cultura(wide, "cultura", culturas, folded=True), municipios)
     wide = wide.dropna(subset=["id_cultura", "id_municipio"]).drop("cultura", "cod_municipio_ibge")
     long = unpivot_dec(wide)
     return select_existing(long, columns)

@@ -8,13 +8,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from agrolume.operators.dedupe import SEQ
 from agrolume.operators.table import StoredTable, weekly_reset_due
 from agrolume.sources import conab, zarc
 
 
+def file_stream(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "csv", **options) -> DataFrame:
+    """New files below ``path``, with what is needed to tell their line order."""
+    files = spark.readStream.schema(schema).format(fmt).options(**options).load(path)
+    return files.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")
+    )
+
+
+def _with_order(batch: DataFrame) -> DataFrame:
+    if "_file" not in batch.columns:
+        return batch
+    place = F.struct(
+        F.col("_file").alias("file"), F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row")
+    )
+    return batch.withColumn(SEQ, place).drop("_file", "_block")
+
+
 def stream_upsert(
     source: DataFrame,
     table: StoredTable,
@@ -30,7 +50,7 @@ def stream_upsert(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         replace = bool(before and before(batch_id))
-        table.upsert(to_rows(batch), stream=name, batch_id=batch_id, replace=replace)
+        table.upsert(to_rows(_with_order(batch)), stream=name, batch_id=batch_id, replace=replace)
 
     return (
         source.writeStream.foreachBatch(apply)
