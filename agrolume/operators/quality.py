@@ -40,6 +40,8 @@ def dq_metrics(df: DataFrame, source: str, metrics: dict[str, Column]) -> DataFr
 
 
 def _as_rows(df: DataFrame, rows, names) -> DataFrame:
+    if not rows:
+        return df.sparkSession.createDataFrame([], f"{names[0]} string, {names[1]} string, {names[2]} bigint")
     one = df.agg(*[expr.cast("bigint").alias(f"m{i}") for i, (_, _, expr) in enumerate(rows)])
     items = [
         F.struct(a.alias(names[0]), b.alias(names[1]), F.col(f"m{i}").alias(names[2]))
