@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from agrolume.functions.text import as_col, strip
 
 # What counts as a number; Spark alone would also take ``1d`` or ``1f``.
-NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)$"
+NUMBER = r"^\s*[+-]?(?:\d+\.?\d*(?:[eE][+-]?\d+)?|\.\d+(?:[eE][+-]?\d+)?|(?i:inf(?:inity)?))\s*$"
 
 
 def parse_number(c: str | Column) -> Column:
     """Double, or null for anything that is not a plain number."""
-    text = strip(as_col(c).cast("string"))
+    text = as_col(c).cast("string")
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from functools import lru_cache
 
@@ -52,12 +51,13 @@ ENCLOSING_QUOTES = r"(?d)^['\"](.*)['\"]$"
 ESCAPED_APOSTROPHE = r"\\+'"
 # --------------------------------------------------------------------------
 
-WHITESPACE = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
+# White space at the ends of a field; folding turns the typographic spaces into these.
+WHITESPACE = "".join(c for c in map(chr, range(256)) if c.isspace())
 
 # Scripts and symbol blocks whose letters are folded.
 _FOLDED_BLOCKS = (
     (0x00A0, 0x052F), (0x1AB0, 0x1AFF), (0x1DC0, 0x218B), (0xFB00, 0xFB06),
-    (0xFE20, 0xFE2F), (0xFF01, 0xFFEE),
+    (0x3000, 0x3000), (0xFE20, 0xFE2F), (0xFF01, 0xFFEE),
 )
 
 
@@ -93,12 +93,12 @@ def strip(c: str | Column) -> Column:
 
 
 def _unaccent(c: Column) -> Column:
-    # Every step uses its input once, so that nested calls stay linear in size
-    # wherever the optimizer copies an expression (as when it pushes a filter down).
     src, dst, many = _fold_tables()
+    flat = c
     for ch, base in many.items():
-        c = F.replace(c, F.lit(ch), F.lit(base))
-    return F.translate(c, src, dst)
+        flat = F.replace(flat, F.lit(ch), F.lit(base))
+    # Plain ASCII, told by its length in bytes, has nothing to fold.
+    return F.when(F.octet_length(c) > F.length(c), F.translate(flat, src, dst)).otherwise(c)
 
 
 def fold(c: str | Column) -> Column:
