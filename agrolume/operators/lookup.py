@@ -1,8 +1,7 @@
 """Names and codes to dimension ids.
 
-Dimension joins carry no broadcast hint: Spark compares the dimension's size with
-``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges, with
-adaptive skew splitting for hot codes.
+A dimension is broadcast when its counted size allows (``small_side``), so facts
+are not shuffled and a hot crop or code costs nothing; a larger one sort-merges.
 """
 
 from __future__ import annotations
@@ -14,6 +13,8 @@ from pyspark.sql import functions as F
 
 from agrolume.functions import code7, fold_crop, strip
 from agrolume.functions.text import fold_text
+from agrolume.operators.dedupe import keep_first
+from agrolume.operators.small import small_side
 
 # Scientific name found in a text, and the crop it stands for.
 CROP_SYNONYMS = {
@@ -147,13 +148,13 @@ def _resolve_by_words(
         .groupBy("_name")
         .agg(F.min_by("id_cultura", F.struct("_step", "_ord")).alias("id_cultura"))
     )
-    return df.join(chosen, key == F.col("_name"), "left").drop("_name")
+    return df.join(small_side(chosen), key == F.col("_name"), "left").drop("_name")
 
 
 def resolve_municipio_by_code(df: DataFrame, municipios: DataFrame, code: str = "cod_municipio_ibge") -> DataFrame:
     """Add ``id_municipio`` by the first seven characters of the code; null if unknown."""
     dim = municipios.select(F.col("codigo_ibge").alias("_code"), "id_municipio")
-    return df.join(dim, code7(code) == F.col("_code"), "left").drop("_code")
+    return df.join(small_side(dim), code7(code) == F.col("_code"), "left").drop("_code")
 
 
 def resolve_municipio_by_name(df: DataFrame, municipios: DataFrame) -> DataFrame:
@@ -167,19 +168,17 @@ def resolve_municipio_by_name(df: DataFrame, municipios: DataFrame) -> DataFrame
         .agg(F.max("id_municipio").alias("id_municipio"))
     )
     on = (strip(F.lower(df["municipio"])) == F.col("_nome")) & (F.upper(df["uf"]) == F.col("_uf"))
-    return df.join(dim, on, "left").drop("_nome", "_uf")
+    return df.join(small_side(dim), on, "left").drop("_nome", "_uf")
 
 
 def resolve_mantenedor(df: DataFrame, mantenedores: DataFrame, name: str = "mantenedor") -> DataFrame:
     """Add ``id_mantenedor`` by exact name."""
     dim = mantenedores.select(F.col("nome").alias("_nome"), "id_mantenedor")
-    return df.join(dim, F.col(name) == F.col("_nome"), "left").drop("_nome")
+    return df.join(small_side(dim), F.col(name) == F.col("_nome"), "left").drop("_nome")
 
 
 def municipios_with_coordinates(municipios: DataFrame, coords: DataFrame, limit: int | None = 50) -> DataFrame:
     """Municipalities that have coordinates, the first ``limit`` by id (None: all)."""
-    from agrolume.operators.dedupe import keep_first
-
     points = keep_first(
         coords.withColumn("codigo_ibge", F.col("codigo_ibge").cast("string")), ["codigo_ibge"]
     ).select("codigo_ibge", "latitude", "longitude")

@@ -1,0 +1,22 @@
+"""Broadcast behind a measured size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MAX_ROWS = 200_000
+MAX_BYTES = 32 * 1024 * 1024
+
+
+def small_side(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Mark a lookup side for broadcast if it is small, counted now.
+
+    The count stops at ``max_rows``.  A larger side is returned unmarked: the join
+    then shuffles, and adaptive execution splits hot keys.
+    """
+    widths = [F.octet_length(f.name) if isinstance(f.dataType, T.StringType) else F.lit(8) for f in df.schema]
+    size = sum((F.coalesce(w, F.lit(0)) for w in widths), F.lit(0).cast("bigint"))
+    rows, used = df.limit(max_rows + 1).agg(F.count("*"), F.sum(size)).first()
+    return F.broadcast(df) if rows <= max_rows and (used or 0) <= max_bytes else df

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from agrolume.functions import parse_date
 from agrolume.operators.lookup import municipios_with_coordinates
+from agrolume.operators.small import small_side
 
 # Raw to stored column names, and the station mark.
 RENAMES = {
@@ -27,7 +28,7 @@ def clean(raw: DataFrame) -> DataFrame:
 def fact(cleaned: DataFrame, municipios: DataFrame, coords: DataFrame, limit: int | None = 50) -> DataFrame:
     """Days of the municipalities that have coordinates (the first ``limit``)."""
     chosen = municipios_with_coordinates(municipios, coords, limit)
-    return cleaned.join(chosen.select("codigo_ibge", "id_municipio"), "codigo_ibge")
+    return cleaned.join(small_side(chosen.select("codigo_ibge", "id_municipio")), "codigo_ibge")
 
 
 def load(raw: DataFrame, coords: DataFrame, tables: dict, limit: int | None = 50) -> dict[str, int]:
