@@ -38,7 +38,10 @@ def viabilidade_all(spark, folder):
 @query(
     sql(
         "municipio", "pam", "precos",
-        body=_VIABILIDADE_OUT + " WHERE cultura = 'promo' AND uf = 'NATION_7' AND ano = 1998", **_VIABILIDADE,
+        # One row also where there are no data.
+        body=_VIABILIDADE_OUT
+        + " RIGHT JOIN (SELECT 'promo' AS cultura, 'NATION_7' AS uf, CAST(1998 AS INTEGER) AS ano) USING (cultura, uf, ano)",
+        **_VIABILIDADE,
     )
 )
 def viabilidade_uma(spark, folder):

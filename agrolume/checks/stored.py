@@ -20,6 +20,11 @@ from agrolume.streaming import stream_prices, stream_zarc
 from agrolume.streaming.loads import file_stream
 
 
+def _files(spark) -> int:
+    """Several files also on one machine, and more on a larger cluster."""
+    return max(4, spark.sparkContext.defaultParallelism)
+
+
 def _table(spark, table: schema.Table) -> StoredTable:
     return StoredTable(spark, scratch_dir(spark, table.name), table)
 
@@ -133,12 +138,10 @@ def read_delimited(spark, folder):
         ELSE concat('"', c_name, ';"') END, CASE WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE cast(c_acctbal as string) END,
         CASE WHEN c_mktsegment = 'MACHINERY' THEN 'demais' END) AS value"""
     )
-    # Every file starts with the header: it precedes each partition's rows in the sort.
-    header = spark.range(4).selectExpr("int(id) AS p", "0 AS pos", "'chave;segmento;nome;saldo' AS value")
-    body = lines.selectExpr("pmod(hash(value), 4) AS p", "1 AS pos", "value")
-    spread = header.union(body).repartition(4, "p").sortWithinPartitions("p", "pos")
-    spread.select("value", "p").write.partitionBy("p").text(path)
-    df = readers.read_delimited(spark, f"{path}/*/*.txt", ";", skip_bad_lines=True)
+    # As one unquoted column whose name is the header line, so every file starts with it.
+    raw = lines.withColumnRenamed("value", "chave;segmento;nome;saldo").repartition(_files(spark))
+    raw.write.csv(path, header=True, sep="\u0001", quote="", ignoreLeadingWhiteSpace=False)
+    df = readers.read_delimited(spark, path, ";", skip_bad_lines=True)
     return df.groupBy(F.col("segmento").alias("c_mktsegment")).agg(
         F.count("*").alias("n"),
         F.count("nome").alias("com_nome"),
@@ -154,7 +157,7 @@ def read_any_gzip(spark, folder):
     """Compressed files are known by their first bytes."""
     path = scratch_dir(spark, "gzip")
     lines = Tables(spark, folder).lineitem.select("l_returnflag", "l_suppkey", "l_quantity")
-    lines.repartition(4).write.csv(path, sep=";", header=True, compression="gzip")
+    lines.repartition(_files(spark)).write.csv(path, sep=";", header=True, compression="gzip")
     df = readers.read_any_gzip(spark, path)
     return df.groupBy("l_returnflag").agg(
         F.count("*").alias("n"),
@@ -202,12 +205,12 @@ def zarc_stream(spark, folder):
     wide = zarc_wide(star.source).selectExpr(
         "p_type AS cultura_raw", "cd_mun", "l_linestatus AS cod_solo", "dec1", "dec2", "dec3", "dec4"
     )
-    wide.repartition(4).write.parquet(f"{root}/in")
+    wide.repartition(_files(spark)).write.parquet(f"{root}/in")
     tables = open_tables(spark, f"{root}/tables")
     tables["dim_cultura"].insert_if_absent(star["dim_cultura"])
     tables["dim_municipio"].insert_if_absent(star["dim_municipio"])
     schema_ = spark.read.parquet(f"{root}/in").schema
-    source = file_stream(spark, f"{root}/in", schema_, "parquet", maxFilesPerTrigger=2)
+    source = file_stream(spark, f"{root}/in", schema_, "parquet", maxFilesPerTrigger=_files(spark) // 2)
     stream_zarc(source, tables, f"{root}/checkpoint").awaitTermination()
     crops = star["dim_cultura"].selectExpr("id_cultura", "nome_padronizado AS cultura")
     places = star["dim_municipio"].select("id_municipio", "codigo_ibge")
@@ -237,11 +240,11 @@ def precos_stream(spark, folder):
             "replace(cast(v as string), '.', ',') AS valor_produto_kg", "'Produtor' AS dsc_nivel_comercializacao",
         )
     )
-    weeks.repartition(3).write.parquet(f"{root}/in")
+    weeks.repartition(_files(spark)).write.parquet(f"{root}/in")
     tables = open_tables(spark, f"{root}/tables")
     tables["dim_cultura"].insert_if_absent(star["dim_cultura"])
     schema_ = spark.read.parquet(f"{root}/in").schema
-    source = file_stream(spark, f"{root}/in", schema_, "parquet", maxFilesPerTrigger=1)
+    source = file_stream(spark, f"{root}/in", schema_, "parquet", maxFilesPerTrigger=_files(spark) // 2)
     stream_prices(source, tables, f"{root}/checkpoint").awaitTermination()
     crops = star["dim_cultura"].selectExpr("id_cultura", "nome_padronizado AS cultura")
     rows = tables["fato_precos_conab_semanal"].read().join(crops, "id_cultura")

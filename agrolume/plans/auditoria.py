@@ -21,11 +21,9 @@ def _estimates(conab: DataFrame) -> DataFrame:
 def _answer(estimates: DataFrame, pam: DataFrame, t: Star, ladder) -> DataFrame:
     """Realised sums are grouped once and joined, instead of one query per row."""
     real = (
-        pam.groupBy("id_cultura", "id_municipio", "ano")
-        .agg(F.sum("qtde_produzida_ton").alias("_ton"))
-        .join(places(t), "id_municipio")
+        pam.join(places(t), "id_municipio")
         .groupBy("id_cultura", "uf", "ano")
-        .agg(F.sum("_ton").alias("_ton"))
+        .agg(F.sum("qtde_produzida_ton").alias("_ton"))
     )
     years = estimates.withColumn("ano", crop_year_start("ano_agricola")).dropna(subset=["ano"])
     est, realised = nonzero("_est"), nonzero("_ton") / 1000

@@ -1,9 +1,9 @@
 """What the questions share.
 
-Joins here carry no hints.  Facts are aggregated to their keys first, and a stored
-dimension is a plain Parquet scan whose size Spark knows: it is broadcast below
-``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merged, with adaptive
-splitting of hot keys.
+Joins here carry no hints.  A stored dimension is a plain Parquet scan whose size
+Spark knows: it is broadcast below ``spark.sql.autoBroadcastJoinThreshold``, and
+facts then only shuffle as partial sums; a larger one is sort-merged, with
+adaptive splitting of hot keys.
 """
 
 from __future__ import annotations

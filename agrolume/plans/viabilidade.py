@@ -17,14 +17,10 @@ _KEY = ["id_cultura", "uf", "ano"]
 
 
 def _production(pam: DataFrame, municipios: DataFrame) -> DataFrame:
-    # Measures are summed per municipality first, so the state join sees few rows.
-    per_place = pam.groupBy("id_cultura", "id_municipio", "ano").agg(
-        F.sum("qtde_produzida_ton").alias("_ton"), F.sum("area_plantada_ha").alias("_ha")
-    )
     return (
-        per_place.join(municipios, "id_municipio")
+        pam.join(municipios, "id_municipio")
         .groupBy(*_KEY)
-        .agg(F.sum("_ton").alias("_ton"), F.sum("_ha").alias("_ha"))
+        .agg(F.sum("qtde_produzida_ton").alias("_ton"), F.sum("area_plantada_ha").alias("_ha"))
     )
 
 
