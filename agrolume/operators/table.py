@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from agrolume.operators.dedupe import SEQ, keep_last
 from agrolume.schema import STAMP, Table
@@ -27,6 +28,7 @@ MAX_FOLDERS = 16
 
 # Partition values become folder names; values that fall together share a folder.
 _PART_UNSAFE = re.compile("[^0-9A-Za-z_.-]")
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _part(value: Column) -> Column:
@@ -44,6 +46,10 @@ class Commit:
 class StoredTable:
     def __init__(self, spark: SparkSession, root: str, table: Table):
         self.spark, self.root, self.table = spark, root.rstrip("/"), table
+        names = {f.name for f in table.schema if isinstance(f.dataType, T.IntegerType)}
+        # An integer column splits the storage under its own name, so filters on it
+        # prune; anything else goes through a hidden column ``part``.
+        self.split_by = table.partition if table.partition in names else "part"
 
     # ---- commits ----
 
@@ -81,20 +87,24 @@ class StoredTable:
 
     def _load(self, folders: dict[str, list[str]]) -> DataFrame:
         """Stored rows with the folder they come from (write, part)."""
-        inner = "/part={}" if self.table.partition else ""
+        inner = f"/{self.split_by}={{}}" if self.table.partition else ""
         paths = [f"{self.root}/data/write={w}" + inner.format(p) for p, ws in folders.items() for w in ws]
         columns = self.table.schema.add("write", "string")
-        if self.table.partition:
+        if self.table.partition and self.split_by == "part":
             columns = columns.add("part", "string")
         if not paths:
             df = self.spark.createDataFrame([], columns)
         else:
             df = self.spark.read.schema(columns).option("basePath", f"{self.root}/data").parquet(*paths)
-        return df if self.table.partition else df.withColumn("part", F.lit(""))
+        if not self.table.partition:
+            return df.withColumn("part", F.lit(""))
+        if self.split_by == "part":
+            return df
+        return df.withColumn("part", F.coalesce(F.col(self.split_by).cast("string"), F.lit(_NULL_FOLDER)))
 
     def read(self, version: int | None = None, parts: list | None = None) -> DataFrame:
         """The table as of a commit, or only the storage partitions of some values
-        (``parts=[2022, 2023]`` for a table split by year): others are never listed."""
+        (``parts=["2022/23"]`` for a table split by crop year): others are never listed."""
         folders = self.commit(version).folders
         if parts is not None and self.table.partition:
             wanted = {_PART_UNSAFE.sub("_", str(v)) for v in parts}
@@ -121,9 +131,10 @@ class StoredTable:
         write, t = uuid.uuid4().hex, self.table
         # Rebalancing sizes the files by bytes: hot partitions are split, small ones merged.
         if t.partition:
-            df = df.withColumn("part", _part(F.expr(t.partition)))
-            df = df.hint("rebalance", "part").sortWithinPartitions("part", *t.sort)
-            df.write.partitionBy("part").parquet(f"{self.root}/data/write={write}")
+            if self.split_by == "part":
+                df = df.withColumn("part", _part(F.expr(t.partition)))
+            df = df.hint("rebalance", self.split_by).sortWithinPartitions(self.split_by, *t.sort)
+            df.write.partitionBy(self.split_by).parquet(f"{self.root}/data/write={write}")
         else:
             df = df.hint("rebalance")
             df = df.sortWithinPartitions(*t.sort) if t.sort else df
@@ -134,7 +145,8 @@ class StoredTable:
         if not self.table.partition:
             return [""]
         names = self._children(f"{self.root}/data/write={write}")
-        return [n.removeprefix("part=") for n in names if n.startswith("part=")]
+        mark = f"{self.split_by}="
+        return [n.removeprefix(mark) for n in names if n.startswith(mark)]
 
     def _next(self, old: Commit, folders, stream=None, batch_id=None) -> None:
         streams = dict(old.streams)
@@ -189,13 +201,9 @@ class StoredTable:
         return df.select(*[F.col(k).alias(f"_new_{k}") for k in self.table.keys])
 
     def _same_key(self):
-        """Plain equality where keys are never null, which keeps hash joins cheap."""
-        sure = set(self.table.required) | {self.table.pk}
-        tests = [
-            F.col(k) == F.col(f"_new_{k}") if k in sure else F.col(k).eqNullSafe(F.col(f"_new_{k}"))
-            for k in self.table.keys
-        ]
-        return reduce(lambda a, b: a & b, tests)
+        return reduce(
+            lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in self.table.keys]
+        )
 
     def _outdated(self, touched: dict[str, list[str]], written: DataFrame) -> dict[str, list[str]]:
         """Folders, per partition, that hold a key the batch brings again.

@@ -137,3 +137,16 @@ def test_weekly_reset(rows, spark, tmp_path):
     assert weekly_reset_due(table)
     table.upsert(rows([(*price(2024, 1, 1.0), 5)], ddl), replace=True)
     assert [r.semana for r in table.read().collect()] == [5]
+
+
+def test_filters_on_the_split_column_prune(rows, spark, prices):
+    prices.upsert(rows([price(2022, 1, 1.0), price(2023, 1, 2.0), (1, 1, "MT", None, 1, "P", 3.0)], DDL))
+    prices.upsert(rows([(1, 1, "MT", None, 1, "P", 4.0)], DDL))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    one = prices.read().where("ano = 2023")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters: [isnotnull(ano" in plan
+    assert [r.valor_kg for r in one.collect()] == [2.0]
+    assert [r.valor_kg for r in prices.read().where("ano IS NULL").collect()] == [4.0]
+    assert prices.read().columns == schema.PRECOS_MENSAL.schema.names
