@@ -36,3 +36,9 @@ def select_existing(df: DataFrame, names: list[str]) -> DataFrame:
 def replace_columns(df: DataFrame, **changes) -> DataFrame:
     """``withColumns`` for those columns that are there."""
     return df.withColumns({n: c for n, c in changes.items() if n in df.columns})
+
+
+def write_bronze(raw: DataFrame, path: str) -> None:
+    """Keep raw rows, with their place in the files, as Parquet: later runs then read
+    only the columns they use and never parse the text again."""
+    raw.write.parquet(path)

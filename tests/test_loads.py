@@ -140,6 +140,7 @@ def test_constraints_hold(loaded):
     star = plans.star(tables)
     for name, table in TABLES.items():
         assert quality.unique_violations(star[name], table.keys).count() == 0
+        assert quality.unique_violations(star[name], [table.pk]).count() == 0
         for dim in table.references:
             key = TABLES[dim].pk
             assert quality.missing_references(star[name], star[dim], key).count() == 0

@@ -2,6 +2,7 @@ import gzip
 import json
 
 from agrolume.sources import dimensions, readers
+from agrolume.sources.common import write_bronze
 
 
 def values(df, *columns):
@@ -25,6 +26,13 @@ def test_cultivar_nulls_and_leading_space(spark, tmp_path):
     assert values(df, "CULTIVAR", "NOME COMUM") == [("A", "Soja"), (None, None), (None, None)]
 
 
+def test_bronze_copy_keeps_rows_and_order(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("MANTENEDOR (REQUERENTE) (NOME),Nº REGISTRO\nA,2\nB,1\n")
+    write_bronze(readers.read_cultivares(spark, str(tmp_path / "c.csv")), str(tmp_path / "bronze"))
+    df = spark.read.parquet(str(tmp_path / "bronze"))
+    assert values(df, "MANTENEDOR (REQUERENTE) (NOME)", "Nº REGISTRO") == [("A", "2"), ("B", "1")]
+
+
 def test_latin1(spark, tmp_path):
     (tmp_path / "PrecosMensalUF.txt").write_bytes("produto;uf\n  Algodão ;MT\n".encode("latin1"))
     data = readers.read_conab_folder(spark, str(tmp_path))
