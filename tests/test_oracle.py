@@ -11,6 +11,7 @@ duckdb = pytest.importorskip("duckdb")
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as spark_entry  # noqa: E402
+from agrolume.checks import ORACLE, QUERIES  # noqa: E402
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
@@ -28,12 +29,12 @@ def text(v):
     return v.isoformat() if isinstance(v, (datetime.date, datetime.datetime)) else repr(v)
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = spark_entry.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
     got = sorted(tuple(text(r[c]) for c in columns) for r in df.collect())
-    sql = spark_entry.oracle_sql().get(name)
+    sql = ORACLE.get(name)
     assert sql, "every query has SQL"
     cursor = duck.execute(sql)
     names = [d[0] for d in cursor.description]
