@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolume.llm import line_dedup, mixing
+from agrolume.llm import line_dedup, minhash, mixing
 from agrolume.llm.common import table
 from agrolume.llm.registry import ORACLE, QUERIES, query
 
@@ -48,7 +48,7 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(r"""
 with lines as (
-  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as at
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos
   from documents
 ), keyed as (
   select *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
@@ -59,10 +59,16 @@ with lines as (
   select keyed.*, coalesce(docs >= 3 and doc_id <> top, false) as dropped from keyed left join held on keyed.key = held.key
 )
 select doc_id, count(*) as n_lines, count(*) filter (where dropped) as n_dropped,
-  sha256(coalesce(string_agg(line, chr(10) order by at) filter (where not dropped), '')) as kept_sha256
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not dropped), '')) as kept_sha256
 from marked group by doc_id
 """)
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without the lines that larger documents hold."""
     cleaned = line_dedup.dedup_lines(table(spark, folder, "documents"))
     return cleaned.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate documents and their components."""
+    return minhash.near_duplicates(table(spark, folder, "documents"))
