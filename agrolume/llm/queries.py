@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolume.llm import line_dedup, minhash, mixing
-from agrolume.llm.common import table
+from agrolume.llm import bpe, line_dedup, minhash, mixing, toxicity
+from agrolume.llm.common import bucket_of, table
 from agrolume.llm.registry import ORACLE, QUERIES, query
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -72,3 +72,44 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate documents and their components."""
     return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id, n_tokens and the digests of the ids and of the bytes they decode to."""
+    both = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path, pattern), path)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return both.select(
+        "doc.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as ids and back."""
+    import public_tokenizers
+
+    return token_digests(table(spark, folder, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
+def toxic_scores(docs: DataFrame, labels: DataFrame) -> toxicity.Toxicity:
+    """A model that learns from the rows whose crc32 modulo 4 is not 2."""
+    return toxicity.Toxicity(docs, labels.where(bucket_of(F.col("doc_id"), 4) != 2))
+
+
+@query()
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxic_scores(docs, table(spark, folder, "labels"))
+    return model.score(docs).select(
+        "doc.doc_id",
+        (bucket_of(F.col("doc.doc_id"), 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
