@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolume.llm import bpe, line_dedup, minhash, mixing, toxicity
+from agrolume.llm import bpe, langid, line_dedup, minhash, mixing, toxicity
 from agrolume.llm.common import bucket_of, table
 from agrolume.llm.registry import ORACLE, QUERIES, query
 
@@ -113,3 +113,13 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op4_langid(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, folder, "documents")
+    tables = langid.learn(docs.where(bucket_of(F.col("doc_id"), 5) != 0))
+    return langid.identify(docs.select("doc_id", "text"), tables).select(
+        "doc.doc_id", (bucket_of(F.col("doc.doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score"
+    )
