@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolume.llm import bpe, langid, line_dedup, minhash, mixing, toxicity
+from agrolume.llm import ann, bpe, langid, line_dedup, minhash, mixing, topk, toxicity
 from agrolume.llm.common import bucket_of, table
 from agrolume.llm.registry import ORACLE, QUERIES, query
 
@@ -123,3 +123,27 @@ def op4_langid(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), tables).select(
         "doc.doc_id", (bucket_of(F.col("doc.doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query()
+def op5_ann(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth one."""
+    index = ann.Index(table(spark, folder, "embeddings").select("vec_id", "embedding"), 20)
+    return index.search(F.col("vec_id") % 20 == 0)
+
+
+@query("""
+with clean as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, r.vec_id, list_sum(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2]))::bigint as score
+  from clean q, clean r where q.vec_id % 50 = 0 and r.vec_id <> q.vec_id
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+""")
+def op7_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 best vectors by inner product of integers for every fiftieth one."""
+    return topk.top_k(table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, 5)
