@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolume.llm import ann, bpe, langid, line_dedup, minhash, mixing, topk, toxicity
+from agrolume.llm import ann, bpe, html_text, langid, line_dedup, minhash, mixing, topk, toxicity
 from agrolume.llm.common import bucket_of, table
 from agrolume.llm.registry import ORACLE, QUERIES, query
 
@@ -147,3 +147,10 @@ select query_id, rank, vec_id, score from ranked where rank <= 5
 def op7_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The 5 best vectors by inner product of integers for every fiftieth one."""
     return topk.top_k(table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, 5)
+
+
+@query()
+def op8_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    texts = html_text.extract(table(spark, folder, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
