@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolume.llm import ann, bpe, html_text, langid, line_dedup, minhash, mixing, topk, toxicity
+from agrolume.llm import ann, bpe, html_text, langid, line_dedup, minhash, mixing, pii, topk, toxicity
 from agrolume.llm.common import bucket_of, table
 from agrolume.llm.registry import ORACLE, QUERIES, query
 
@@ -154,3 +154,17 @@ def op8_html(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     texts = html_text.extract(table(spark, folder, "pages"))
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query()
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document, and the words that give it away."""
+    found = pii.find(table(spark, folder, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    return found.select(
+        "doc.doc_id",
+        *(count(kind) for kind in ("email", "ip", "card", "phone")),
+        F.sha2(pii.joined(base), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
