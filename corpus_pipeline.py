@@ -10,12 +10,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolume.llm import line_dedup, mixing
+from agrolume.llm import bpe, line_dedup, minhash, mixing
 from agrolume.llm.common import stored, table
+from agrolume.llm.queries import RANKS, toxic_scores
+
+#: Documents with this score or more are rejected.
+TOXIC = 0.3
+
+
+def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxic documents go; the model learns from the labels beside the documents."""
+    model = toxic_scores(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    rows = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return model.score(rows).where(F.col("score") < TOXIC).select("doc.row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents share stay in one; a document left without text goes."""
+    """Lines that three documents or more share stay in one of them only."""
     cleaned = line_dedup.dedup_lines(docs)
     columns = [
         F.col("kept").alias("text") if c == "text" else F.char_length("kept").cast("long").alias(c) if c == "n_chars" else F.col(f"doc.`{c}`").alias(c)
@@ -24,13 +35,32 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cleaned.select(*columns)
 
 
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies; rows that repeat one entirely go too."""
+    gone = stored(minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    repeated = stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    once = left.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+    again = left.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return once.union(again)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the weight of its source takes it."""
     return mixing.mix(docs)
 
 
-STAGES = [("lines", lines), ("mixed", mixed)]
-#: The toxicity stage is a learned model and the last one follows a rank file: no SQL.
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, ids, n_tokens and the digest of the bytes that the ids decode to."""
+    import public_tokenizers
+
+    path = public_tokenizers.path(RANKS)
+    both = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN), path)
+    return both.select("doc.*", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [("toxicity", civil), ("line dedup", lines), ("near-dedup", distinct), ("mixing", mixed), ("tokens", tokens)]
+#: The first stage is a learned model and the last one follows a rank file: no SQL.
 ORACLE_SQL = None
 
 
@@ -38,5 +68,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
