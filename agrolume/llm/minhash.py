@@ -48,7 +48,7 @@ HOT = 64
 BLOCK = 1024
 #: Documents to verify are found by a broadcast of their ids up to this number (16 MB), else by a join.
 BROADCAST_IDS = 2_000_000
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 250_000
 
 #: Odd factors for the places of a shingle and for mixing.
 FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
