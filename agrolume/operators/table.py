@@ -3,8 +3,8 @@
 A commit names, per storage partition, the folders that hold it now.  Writers
 only add folders and then publish the next commit, so a lost executor or a
 crashed job leaves the previous state readable, and earlier states stay
-available as history.  One writer per table at a time; a second one that
-publishes the same commit number fails.
+available as history.  One writer per table at a time: a commit file is created
+only where there is none, so a second writer of the same number fails.
 """
 
 from __future__ import annotations
@@ -12,27 +12,38 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agrolume.operators.dedupe import SEQ, keep_last
+from agrolume.operators.dedupe import SEQ, keep_first, keep_last
 from agrolume.schema import STAMP, Table
 
-# A partition spread over more folders than this is rewritten by its next upsert.
-MAX_FOLDERS = 16
-
 # Partition values become folder names; values that fall together share a folder.
 _PART_UNSAFE = re.compile("[^0-9A-Za-z_.-]")
+_EMPTY = "_empty"  # Spark would store an empty text as the null folder
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _part(value: Column) -> Column:
-    return F.regexp_replace(F.coalesce(value.cast("string"), F.lit("null")), _PART_UNSAFE.pattern, "_")
+    safe = F.regexp_replace(F.coalesce(value.cast("string"), F.lit("null")), _PART_UNSAFE.pattern, "_")
+    return F.when(safe == "", _EMPTY).otherwise(safe)
+
+
+def _part_of(value) -> str:
+    """``_part`` for one value on the driver."""
+    return _PART_UNSAFE.sub("_", "null" if value is None else str(value)) or _EMPTY
+
+
+def surrogate_id(keys: Sequence[str]) -> Column:
+    """64-bit id of a natural key.  A plain hash skips nulls, so which ones are null is hashed too."""
+    return F.xxhash64(*keys, *[F.col(k).isNull() for k in keys])
 
 
 @dataclass
@@ -40,7 +51,8 @@ class Commit:
     version: int = 0
     written_at: str = ""
     folders: dict[str, list[str]] = field(default_factory=dict)  # partition -> write folders
-    streams: dict[str, int] = field(default_factory=dict)  # stream -> last batch applied
+    streams: dict[str, int] = field(default_factory=dict)  # id of a streaming query -> last batch applied
+    runs: dict[str, str] = field(default_factory=dict)  # id of a streaming query -> its run, until that has ended
 
 
 class StoredTable:
@@ -65,23 +77,36 @@ class StoredTable:
         return [int(n[:-5]) for n in self._children(f"{self.root}/commits") if n.endswith(".json")]
 
     def commit(self, version: int | None = None) -> Commit:
-        """The given or the latest commit; an empty one before the first write."""
+        """The given or the latest commit; an empty one before the first write.
+
+        A writer that was lost while creating its commit file may leave it cut off:
+        then the commit before it holds, and the number stays used.
+        """
+        if version is not None:
+            return self._stored_commit(version)
         known = self.versions()
-        if not known:
-            return Commit()
-        version = known[-1] if version is None else version
-        text = self.spark.read.text(f"{self.root}/commits/{version:08d}.json", wholetext=True).first()[0]
-        return Commit(**json.loads(text))
+        for number in reversed(known):
+            try:
+                found = self._stored_commit(number)
+            except ValueError:
+                continue
+            found.version = known[-1]
+            return found
+        return Commit(version=known[-1] if known else 0)
+
+    def _stored_commit(self, version: int) -> Commit:
+        lines = self.spark.read.text(f"{self.root}/commits/{version:08d}.json", wholetext=True).collect()
+        return Commit(**json.loads(lines[0][0] if lines else ""))
 
     def _publish(self, commit: Commit) -> None:
+        """Create the commit file; the file system refuses if there is one already."""
         fs, target = self._fs(f"{self.root}/commits/{commit.version:08d}.json")
-        _, draft = self._fs(f"{self.root}/drafts/{uuid.uuid4().hex}.json")
-        fs.mkdirs(target.getParent())
-        out = fs.create(draft, False)
-        out.write(bytearray(json.dumps(commit.__dict__).encode()))
-        out.close()
-        if fs.exists(target) or not fs.rename(draft, target):
-            raise RuntimeError(f"commit {commit.version} of {self.table.name} was published by another writer")
+        try:
+            out = fs.create(target, False)
+            out.write(bytearray(json.dumps(commit.__dict__).encode()))
+            out.close()
+        except Py4JJavaError as refused:
+            raise RuntimeError(f"commit {commit.version} of {self.table.name} was published by another writer") from refused
 
     # ---- reading ----
 
@@ -107,7 +132,7 @@ class StoredTable:
         (``parts=["2022/23"]`` for a table split by crop year): others are never listed."""
         folders = self.commit(version).folders
         if parts is not None and self.table.partition:
-            wanted = {_PART_UNSAFE.sub("_", str(v)) for v in parts}
+            wanted = {_part_of(v) for v in parts}
             folders = {p: ws for p, ws in folders.items() if p in wanted}
         return self._load(folders).select(*self.table.schema.names)
 
@@ -122,7 +147,7 @@ class StoredTable:
         t = self.table
         if t.is_fact:
             if t.pk not in df.columns:
-                df = df.withColumn(t.pk, F.xxhash64(*t.keys))
+                df = df.withColumn(t.pk, surrogate_id(t.keys))
             df = df.withColumn(STAMP, F.current_timestamp().cast("timestamp_ntz"))
         return df.select(*t.schema.names)
 
@@ -148,11 +173,20 @@ class StoredTable:
         mark = f"{self.split_by}="
         return [n.removeprefix(mark) for n in names if n.startswith(mark)]
 
-    def _next(self, old: Commit, folders, stream=None, batch_id=None) -> None:
-        streams = dict(old.streams)
+    def _next(self, old: Commit, folders, stream=None, batch_id=None, run=None) -> None:
+        streams, runs = dict(old.streams), dict(old.runs)
         if stream is not None:
             streams[stream] = batch_id
-        self._publish(Commit(old.version + 1, datetime.now(UTC).isoformat(), folders, streams))
+        if run is not None:
+            runs[stream] = run
+        self._publish(Commit(old.version + 1, datetime.now(UTC).isoformat(), folders, streams, runs))
+
+    def end_run(self, stream: str) -> None:
+        """Forget the run of a streaming query: it has read all there was."""
+        old = self.commit()
+        if stream in old.runs:
+            runs = {k: v for k, v in old.runs.items() if k != stream}
+            self._publish(Commit(old.version + 1, datetime.now(UTC).isoformat(), old.folders, old.streams, runs))
 
     def upsert(
         self,
@@ -161,13 +195,15 @@ class StoredTable:
         replace: bool = False,
         stream: str | None = None,
         batch_id: int | None = None,
+        run: str | None = None,
     ) -> int:
         """Insert the batch; on an equal key the batch row wins, column by column.
 
         The last row per key counts (file order, or ``order``).  Columns the
         batch lacks become null.  Null keys are equal to each other.  With
         ``replace`` the previous content is dropped in the same commit.  A
-        ``(stream, batch_id)`` already applied is skipped.  Returns the rows written.
+        ``(stream, batch_id)`` already applied is skipped; ``run`` is recorded with it.
+        Two keys with one surrogate id stop the upsert.  Returns the rows written.
         """
         old, t = self.commit(), self.table
         if stream is not None and old.streams.get(stream, -1) >= batch_id:
@@ -182,10 +218,9 @@ class StoredTable:
 
         folders = {} if replace else dict(old.folders)
         touched = {p: folders[p] for p in fresh if p in folders}
+        self._check_ids(touched, written)
         if touched:
             outdated = self._outdated(touched, written)
-            crowded = {p: ws for p, ws in touched.items() if len(ws) > MAX_FOLDERS}
-            outdated = {p: crowded.get(p, ws) for p, ws in (outdated | crowded).items()}
             if outdated:
                 rest = self._load(outdated).join(self._key_columns(written), self._same_key(), "left_anti")
                 kept = self._write(rest.select(*t.schema.names))
@@ -194,11 +229,37 @@ class StoredTable:
                     folders[p] = [w for w in folders[p] if w not in gone] + ([kept] if p in still else [])
         for p, ws in fresh.items():
             folders[p] = folders.get(p, []) + ws
-        self._next(old, folders, stream, batch_id)
+        self._next(old, folders, stream, batch_id, run)
         return written.count()
 
-    def _key_columns(self, df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(k).alias(f"_new_{k}") for k in self.table.keys])
+    def compact(self, parts: list | None = None) -> int:
+        """Merge the folders of each partition (or of those of the given values) into one.
+
+        Returns the number of partitions that had several.
+        """
+        old = self.commit()
+        wanted = None if parts is None else {_part_of(v) for v in parts}
+        many = {p: ws for p, ws in old.folders.items() if len(ws) > 1 and (wanted is None or p in wanted)}
+        if many:
+            new = self._write(self._load(many).select(*self.table.schema.names))
+            self._next(old, old.folders | {p: [new] for p in many})
+        return len(many)
+
+    def _check_ids(self, touched: dict[str, list[str]], written: DataFrame) -> None:
+        """No surrogate id may stand for two keys, in the batch or in the partitions it touches."""
+        t = self.table
+        if not t.is_fact or t.pk in t.data_schema.names:
+            return
+        twice = written.groupBy(t.pk).count().where("count > 1").select(t.pk)
+        if touched:
+            new = self._key_columns(written, t.pk)
+            met = self._load(touched).join(new, F.col(t.pk) == F.col(f"_new_{t.pk}")).where(~self._same_key())
+            twice = twice.union(met.select(t.pk))
+        if found := twice.limit(1).collect():
+            raise ValueError(f"{t.pk} {found[0][0]} of {t.name} stands for two keys")
+
+    def _key_columns(self, df: DataFrame, *more: str) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"_new_{k}") for k in (*self.table.keys, *more)])
 
     def _same_key(self):
         return reduce(
@@ -217,12 +278,12 @@ class StoredTable:
         return out
 
     def insert_if_absent(self, rows: DataFrame) -> int:
-        """Add rows whose natural key is new; existing rows are never changed.
-        New surrogate ids continue after the highest one."""
+        """Add rows whose natural key is new, the first of each key; existing rows are
+        never changed.  New surrogate ids continue after the highest one."""
         old, t = self.commit(), self.table
         stored = self.read()
         keys = list(t.keys)
-        fresh = rows.dropna(subset=keys).join(stored.select(*keys), keys, "left_anti")
+        fresh = keep_first(rows.dropna(subset=keys), keys).join(stored.select(*keys), keys, "left_anti")
         if t.pk not in rows.columns:
             start = stored.agg(F.max(t.pk)).first()[0] or 0
             fresh = assign_ids(fresh, keys, t.pk, start)

@@ -94,6 +94,7 @@ REGISTRO_CULTIVARES = Table(
     "situacao string, nr_formulario bigint, data_reg timestamp_ntz, data_val timestamp_ntz",
     keys=("nr_registro",),
     pk="nr_registro",
+    partition="pmod(xxhash64(nr_registro), 16)",
     sort=("id_cultura",),
     required=("nr_registro", "cultivar"),
     references=("dim_cultura", "dim_mantenedor"),
@@ -170,6 +171,7 @@ FERTILIZANTES = Table(
     "classificacao string",
     keys=("nr_registro_estabelecimento",),
     pk="id_fertilizante",
+    partition="pmod(xxhash64(nr_registro_estabelecimento), 16)",
     sort=("uf",),
     required=("nr_registro_estabelecimento",),
     max_length={"uf": 2},

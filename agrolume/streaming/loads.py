@@ -6,6 +6,8 @@ replayed after a failure is skipped.  A later batch wins on equal keys.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,33 +37,72 @@ def _with_order(batch: DataFrame) -> DataFrame:
     return batch.withColumn(SEQ, place).drop("_file", "_block")
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint gives its query, through every restart."""
+    line = spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0]
+    return json.loads(line)["id"]
+
+
+class Run:
+    """A started query.  Once it has ended well, its run is closed in the table.
+
+    An interrupted run, or one nobody waited for, stays open: the next start
+    takes it up.
+    """
+
+    def __init__(self, query: StreamingQuery, close: Callable[[], None]):
+        self.query, self._close = query, close
+
+    def awaitTermination(self, timeout: int | None = None) -> bool | None:  # noqa: N802
+        ended = self.query.awaitTermination(timeout)
+        if ended is not False and self.query.exception() is None:
+            self._close()
+        return ended
+
+    def __getattr__(self, name: str):
+        return getattr(self.query, name)
+
+
 def stream_upsert(
     source: DataFrame,
     table: StoredTable,
     to_rows: Callable[[DataFrame], DataFrame],
     checkpoint: str,
     name: str,
-    before: Callable[[int], bool] | None = None,
-) -> StreamingQuery:
+    fresh: Callable[[], bool] | None = None,
+) -> Run:
     """Run ``to_rows`` on each micro-batch of ``source`` and upsert the result.
 
-    ``before(batch_id)`` may ask for the table to be emptied with that batch.
+    A batch is known by the id of the streaming query, which belongs to the
+    checkpoint: a new checkpoint numbers its batches anew and skips nothing.
+    ``fresh()`` is asked with the first batch of a run whether the table is to be
+    emptied; the answer takes effect in the commit that opens the run, so batches
+    after it, also after a restart, only add.
     """
+    spark = source.sparkSession
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        replace = bool(before and before(batch_id))
-        table.upsert(to_rows(_with_order(batch)), stream=name, batch_id=batch_id, replace=replace)
-
-    return (
+        stream = query_id(spark, checkpoint)
+        opened = fresh is not None and stream not in table.commit().runs
+        table.upsert(
+            to_rows(_with_order(batch)),
+            stream=stream,
+            batch_id=batch_id,
+            replace=opened and fresh(),
+            run=uuid.uuid4().hex if opened else None,
+        )
+
+    query = (
         source.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .queryName(name)
         .trigger(availableNow=True)
         .start()
     )
+    return Run(query, lambda: table.end_run(query_id(spark, checkpoint)))
 
 
-def stream_zarc(source: DataFrame, tables: dict, checkpoint: str, name: str = "zarc") -> StreamingQuery:
+def stream_zarc(source: DataFrame, tables: dict, checkpoint: str, name: str = "zarc") -> Run:
     """Climate risk files: clean, resolve, unpivot, upsert.  The size of a batch is
     the source's ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``."""
     culturas, municipios = tables["dim_cultura"].read(), tables["dim_municipio"].read()
@@ -72,20 +113,12 @@ def stream_zarc(source: DataFrame, tables: dict, checkpoint: str, name: str = "z
     return stream_upsert(source, tables["fato_risco_zarc"], to_rows, checkpoint, name)
 
 
-def stream_prices(source: DataFrame, tables: dict, checkpoint: str, name: str = "precos_semanal") -> StreamingQuery:
+def stream_prices(source: DataFrame, tables: dict, checkpoint: str, name: str = "precos_semanal") -> Run:
     """Weekly prices.  The four-week reset is decided once, with the first batch of
-    the run, so later batches of the run never wipe earlier ones."""
+    the run, so later batches of the run never wipe earlier ones, nor does a restart."""
     culturas, municipios = tables["dim_cultura"].read(), tables["dim_municipio"].read()
     table = tables["fato_precos_conab_semanal"]
-    asked: list[int] = []
-
-    def first_of_run(batch_id: int) -> bool:
-        if asked:
-            return False
-        asked.append(batch_id)
-        return weekly_reset_due(table)
-
     def to_rows(batch: DataFrame) -> DataFrame:
         return conab.fact(conab.clean_prices(batch, weekly=True), culturas, municipios)
 
-    return stream_upsert(source, table, to_rows, checkpoint, name, before=first_of_run)
+    return stream_upsert(source, table, to_rows, checkpoint, name, fresh=lambda: weekly_reset_due(table))

@@ -56,12 +56,15 @@ def test_only_folders_with_a_hit_are_rewritten(rows, prices):
     assert content(prices) == [(2022, 1, 1, 1.0), (2023, 1, 1, 9.0), (2023, 2, 1, 2.0)]
 
 
-def test_crowded_partitions_are_merged(rows, prices, monkeypatch):
-    monkeypatch.setattr("agrolume.operators.table.MAX_FOLDERS", 3)
-    for mes in range(1, 8):
-        prices.upsert(rows([price(2023, 1, 1.0, mes)], DDL))
-    assert len(prices.commit().folders["2023"]) <= 4
-    assert len(content(prices)) == 7
+def test_compaction_merges_folders(rows, prices):
+    for mes in range(1, 5):
+        prices.upsert(rows([price(2023, 1, 1.0, mes), price(2022, 1, 2.0, mes)], DDL))
+    before = content(prices)
+    assert [len(w) for w in prices.commit().folders.values()] == [4, 4]
+    assert prices.compact([2023]) == 1
+    assert sorted(len(w) for w in prices.commit().folders.values()) == [1, 4]
+    assert prices.compact() == 1 and prices.compact() == 0
+    assert content(prices) == before
 
 
 def test_history_and_parts(rows, prices):
@@ -150,3 +153,39 @@ def test_filters_on_the_split_column_prune(rows, spark, prices):
     assert [r.valor_kg for r in one.collect()] == [2.0]
     assert [r.valor_kg for r in prices.read().where("ano IS NULL").collect()] == [4.0]
     assert prices.read().columns == schema.PRECOS_MENSAL.schema.names
+
+
+def test_ids_tell_nulls_apart_and_collisions_stop_a_load(rows, spark, tmp_path, monkeypatch):
+    table = StoredTable(spark, str(tmp_path / "agrofit"), schema.AGROFIT)
+    ddl = "id_cultura int, nr_registro string, marca_comercial string, praga_comum string"
+    both = rows([(1, "9", "A", None), (1, "9", None, "A"), (None, "9", "A", None)], ddl)
+    assert table.upsert(both) == 3
+    assert table.read().select("id_agrofit").distinct().count() == 3
+    monkeypatch.setattr("agrolume.operators.table.surrogate_id", lambda keys: F.lit(7).cast("bigint"))
+    with pytest.raises(ValueError, match="two keys"):
+        table.upsert(rows([(1, "1", "A", None), (1, "2", "A", None)], ddl))
+    assert table.read().count() == 3
+
+
+def test_empty_and_null_partition_values(rows, spark, tmp_path):
+    table = StoredTable(spark, str(tmp_path / "conab"), schema.PRODUCAO_CONAB)
+    ddl = "id_cultura int, uf string, ano_agricola string, safra string, producao_mil_t double"
+    for value in (1.0, 2.0, 3.0):
+        table.upsert(rows([(1, "MT", y, "1ª", value) for y in ("", None, "null", "2023/24")], ddl))
+    got = sorted((str(r.ano_agricola), r.producao_mil_t) for r in table.read().collect())
+    assert got == [("", 3.0), ("2023/24", 3.0), ("None", 3.0), ("null", 3.0)]
+    assert [r.ano_agricola for r in table.read(parts=[""]).collect()] == [""]
+
+
+def test_insert_if_absent_takes_one_row_per_key(rows, spark, tmp_path):
+    table = StoredTable(spark, str(tmp_path / "mant"), schema.DIM_MANTENEDOR)
+    assert table.insert_if_absent(rows([{"nome": "A", "setor": "Privado"}, {"nome": "A", "setor": "Público"}])) == 1
+
+
+def test_a_commit_cut_off_is_passed_over(rows, prices):
+    prices.upsert(rows([price(2022, 1, 1.0)], DDL))
+    fs, path = prices._fs(f"{prices.root}/commits/00000002.json")
+    fs.create(path, False).close()
+    assert content(prices) == [(2022, 1, 1, 1.0)]
+    prices.upsert(rows([price(2023, 1, 2.0)], DDL))
+    assert prices.versions() == [1, 2, 3] and len(content(prices)) == 2
