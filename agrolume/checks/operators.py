@@ -115,16 +115,16 @@ def explode_daily(spark, folder):
 _SPELLING = """CASE p_type WHEN 'ECONOMY' THEN concat('Glycine max ', p_name) WHEN 'SMALL' THEN upper('Cana de açúcar')
     WHEN 'LARGE' THEN concat('Milho-', p_name) WHEN 'MEDIUM' THEN 'Saccharum officinarum' WHEN 'PROMO' THEN 'de'
     ELSE concat('Trigonella ', p_name) END"""
-_CROPS = [(1, "soja"), (2, "milho"), (3, "trigo"), (4, "algodão"), (5, "cana-de-açúcar")]
+_CROPS = [(1, "soja"), (2, "milho"), (3, "trigo"), (4, "algodão"), (5, "cana-de-açúcar"), (6, "milho"), (7, None)]
 _CROP_SQL = """SELECT CAST(CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'SMALL' THEN 5 WHEN 'LARGE' THEN 2
     WHEN 'MEDIUM' THEN {} WHEN 'PROMO' THEN 5 END AS INTEGER) AS id_cultura, p_brand, count(*) AS n,
     sum(l_quantity) AS total FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2"""
 
 
-def _resolved(spark, folder, **options):
+def _resolved(spark, folder, resolve=lookup.resolve_cultura, **options):
     crops = spark.createDataFrame(_CROPS, "id_cultura int, nome_padronizado string")
     named = sales(Tables(spark, folder)).selectExpr("p_brand", "l_quantity", f"{_SPELLING} AS nome")
-    found = lookup.resolve_cultura(named, "nome", crops, **options)
+    found = resolve(named, "nome", crops, **options)
     return found.groupBy("id_cultura", "p_brand").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("total"))
 
 
@@ -141,7 +141,7 @@ def resolve_cultura_strict(spark, folder):
 @query(_CROP_SQL.format(5))
 def resolve_cultura_by_words(spark, folder):
     """The way for long crop lists."""
-    return _resolved(spark, folder, max_inline=0)
+    return _resolved(spark, folder, lookup.resolve_cultura_by_words)
 
 
 @query(
@@ -198,7 +198,7 @@ def resolve_mantenedor(spark, folder):
     sql(
         "municipio",
         body="""SELECT id_municipio, codigo_ibge, s_acctbal / 100 AS latitude, -s_acctbal / 200 AS longitude
-        FROM municipio JOIN supplier ON s_suppkey = id_municipio WHERE s_acctbal > 1000 ORDER BY id_municipio LIMIT 50""",
+        FROM municipio JOIN supplier ON s_suppkey = id_municipio WHERE s_acctbal > 1000""",
     )
 )
 def municipios_coords(spark, folder):
@@ -244,8 +244,8 @@ def top_pests(spark, folder):
     sql(
         "agrofit",
         body="""SELECT cultura, string_agg(marca_comercial, '|' ORDER BY marca_comercial) AS marcas FROM
-        (SELECT DISTINCT cultura, marca_comercial FROM agrofit QUALIFY dense_rank() OVER
-        (PARTITION BY cultura ORDER BY marca_comercial NULLS FIRST) <= 20) GROUP BY 1""",
+        (SELECT DISTINCT cultura, marca_comercial FROM agrofit WHERE marca_comercial <> '' QUALIFY dense_rank() OVER
+        (PARTITION BY cultura ORDER BY marca_comercial) <= 20) GROUP BY 1""",
     )
 )
 def distinct_brands(spark, folder):

@@ -112,8 +112,8 @@ _DOSSIE = {
     "ativos": "SELECT cultura, count(nr_registro) AS n FROM cultivares WHERE situacao ILIKE '%REGISTRAD%' GROUP BY 1",
     "sementes": "SELECT cultura, sum(producao_bruta_t) AS t FROM sigef GROUP BY 1",
     "registros": "SELECT cultura, count(*) AS n FROM agrofit GROUP BY 1",
-    "marca": "SELECT DISTINCT cultura, marca_comercial FROM agrofit QUALIFY dense_rank() OVER "
-    "(PARTITION BY cultura ORDER BY marca_comercial NULLS FIRST) <= 20",
+    "marca": "SELECT DISTINCT cultura, marca_comercial FROM agrofit WHERE marca_comercial <> '' QUALIFY dense_rank() OVER "
+    "(PARTITION BY cultura ORDER BY marca_comercial) <= 20",
     "marcas": "SELECT cultura, string_agg(marca_comercial, '|' ORDER BY marca_comercial) AS lista FROM marca "
     "WHERE marca_comercial <> '' GROUP BY 1",
     "praga": "SELECT cultura, praga_comum, count(*) AS n FROM agrofit WHERE praga_comum IS NOT NULL GROUP BY 1, 2",
@@ -180,10 +180,10 @@ def janela_uma(spark, folder):
 # ---- estimate audit -------------------------------------------------------
 
 
-def _auditoria(conab: str, order_limit: str = "") -> dict[str, str]:
+def _auditoria(conab: str) -> dict[str, str]:
     return {
         "est": f"SELECT cultura, uf, ano_agricola, nullif(sum(producao_mil_t), 0) AS est FROM conab {conab} "
-        f"GROUP BY 1, 2, 3 {order_limit}",
+        "GROUP BY 1, 2, 3",
         "realizado": "SELECT cultura, uf, ano, nullif(sum(qtde_produzida_ton), 0) / 1000 AS mil_t "
         "FROM pam JOIN municipio USING (id_municipio) GROUP BY 1, 2, 3",
         "par": "SELECT e.*, r.mil_t, CASE WHEN est > 0 THEN round((mil_t - est) / est * 100, 2) END AS var "
@@ -207,7 +207,7 @@ def auditoria_all(spark, folder):
 @query(
     sql(
         "municipio", "pam", "conab", body=_AUDITORIA_OUT,
-        **_auditoria("WHERE cultura = 'medium'", "ORDER BY uf, ano_agricola LIMIT 50"),
+        **_auditoria("WHERE cultura = 'medium'"),
     )
 )
 def auditoria_uma(spark, folder):
@@ -217,7 +217,7 @@ def auditoria_uma(spark, folder):
 @query(
     sql(
         "municipio", "pam", "conab", body=_AUDITORIA_OUT,
-        **_auditoria("WHERE cultura = 'medium' AND uf = 'NATION_3'", "ORDER BY uf, ano_agricola LIMIT 50"),
+        **_auditoria("WHERE cultura = 'medium' AND uf = 'NATION_3'"),
     )
 )
 def auditoria_uf(spark, folder):

@@ -94,9 +94,11 @@ def strip(c: str | Column) -> Column:
 
 def _unaccent(c: Column) -> Column:
     src, dst, many = _fold_tables()
-    flat = c
+    long = c
     for ch, base in many.items():
-        flat = F.replace(flat, F.lit(ch), F.lit(base))
+        long = F.replace(long, F.lit(ch), F.lit(base))
+    # Few texts hold a character that becomes several: one look tells.
+    flat = F.when(c.rlike(f"[{''.join(many)}]"), long).otherwise(c)
     # Plain ASCII, told by its length in bytes, has nothing to fold.
     return F.when(F.octet_length(c) > F.length(c), F.translate(flat, src, dst)).otherwise(c)
 

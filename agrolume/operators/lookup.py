@@ -1,7 +1,8 @@
 """Names and codes to dimension ids.
 
-A dimension is broadcast when its counted size allows (``small_side``), so facts
-are not shuffled and a hot crop or code costs nothing; a larger one sort-merges.
+Dimensions carry no hints: a stored one is a Parquet scan whose size Spark knows, so a
+small one is broadcast and facts stay where they are; a larger one sort-merges, and
+adaptive execution splits hot keys.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from pyspark.sql import functions as F
 from agrolume.functions import code7, fold_crop, strip
 from agrolume.functions.text import fold_text
 from agrolume.operators.dedupe import keep_first
-from agrolume.operators.small import small_side
 
 # Scientific name found in a text, and the crop it stands for.
 CROP_SYNONYMS = {
@@ -29,9 +29,6 @@ CROP_SYNONYMS = {
 # The crops loaded by default, in order.
 TARGET_CROPS = ("soja", "milho", "trigo", "algodão", "cana-de-açúcar")
 
-MAX_INLINE_CROPS = 64
-
-
 def _crop_words(value: str) -> str:
     return fold_text(value).replace("-", " ").replace("_", " ")
 
@@ -57,7 +54,6 @@ def resolve_cultura(
     order_by: str = "id_cultura",
     strict_reference: bool = False,
     folded: bool = False,
-    max_inline: int = MAX_INLINE_CROPS,
 ) -> DataFrame:
     """Add ``id_cultura`` for the crop named in ``name``.
 
@@ -65,13 +61,13 @@ def resolve_cultura(
     occur in the name, or in whose words the name occurs.  Null when none does.
     ``folded`` tells that ``name`` went through ``fold`` already.
 
-    Up to ``max_inline`` crops become one expression, so facts are not shuffled.
-    A longer crop list is matched through joins on word sequences instead.
+    The crop list becomes one expression, so facts are not shuffled; its cost per
+    row grows with the list.  ``resolve_cultura_by_words`` gives the same answer
+    for lists of thousands.  Crops without a name are passed over; of a repeated
+    name the first counts.
     """
-    crops = culturas.select("id_cultura", "nome_padronizado").orderBy(order_by)
-    targets = crops.limit(max_inline + 1).collect()
-    if len(targets) > max_inline:
-        return _resolve_by_words(df, name, culturas, order_by, strict_reference)
+    crops = culturas.where("nome_padronizado IS NOT NULL").select("id_cultura", "nome_padronizado", order_by)
+    targets = [(r["id_cultura"], r["nome_padronizado"]) for r in crops.orderBy(order_by, "id_cultura").collect()]
     if not targets:
         return df.withColumn("id_cultura", F.lit(None).cast("int"))
 
@@ -87,7 +83,8 @@ def resolve_cultura(
     ]
     cases += [(F.contains(padded, F.lit(w)) | F.contains(F.lit(w), padded), cid) for cid, w in words]
     found = reduce(lambda case, c: case.when(c[0], F.lit(c[1])), cases[1:], F.when(cases[0][0], F.lit(cases[0][1])))
-    exact = F.element_at(F.create_map(*[F.lit(x) for cid, nome in targets for x in (nome, cid)]), raw)
+    by_name = {nome: cid for cid, nome in reversed(targets)}
+    exact = F.element_at(F.create_map(*[F.lit(x) for item in by_name.items() for x in item]), raw)
 
     # One-element explode: the folded name becomes a column computed once per row.
     # As a plain expression, a filter on the id would carry copies of it to the scan.
@@ -97,64 +94,63 @@ def resolve_cultura(
     return named.withColumn("id_cultura", F.when(raw != "", F.coalesce(exact, found)).cast("int")).drop("_crop")
 
 
-def _runs(words: Column, longest: Column) -> Column:
-    """Every run of up to ``longest`` consecutive words."""
+def _runs(words: Column) -> Column:
+    """Every run of consecutive words."""
     n = F.size(words)
-    return F.array_distinct(
-        F.flatten(
-            F.transform(
-                F.sequence(F.lit(1), F.least(n, longest)),
-                lambda k: F.transform(
-                    F.sequence(F.lit(1), n - k + 1), lambda i: F.array_join(F.slice(words, i, k), " ")
-                ),
-            )
-        )
+    lengths = F.sequence(F.lit(1), n)
+    runs = F.transform(
+        lengths, lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.array_join(F.slice(words, i, k), " "))
     )
+    return F.array_distinct(F.flatten(runs))
+
 
+def _marked(mark: str, texts: Column) -> Column:
+    return F.transform(texts, lambda x: F.concat(F.lit(mark), x))
 
-def _resolve_by_words(
-    df: DataFrame, name: str, culturas: DataFrame, order_by: str, strict_reference: bool
+
+def resolve_cultura_by_words(
+    df: DataFrame, name: str, culturas: DataFrame, order_by: str = "id_cultura", strict_reference: bool = False
 ) -> DataFrame:
-    """The same rule as equi-joins over the distinct names.
+    """``resolve_cultura`` as one equi-join over the distinct names, for long crop lists.
 
     " a b " lies inside " x a b y " exactly when (a, b) is a run of consecutive
-    words, so containment turns into equality on runs.
+    words, so containment turns into equality on runs.  A mark before each text
+    tells exact names (=), crops inside a name (>) and names inside a crop (<) apart.
     """
     key = F.col(f"`{name}`")
-    names = (
-        df.where(key != "")
-        .select(key.alias("_name"))
-        .distinct()
-        .withColumn("_crop", fold_crop("_name"))
-        .withColumn("_crop", _canonical(F.col("_crop"), strict_reference))
+    names = df.where(key != "").select(key.alias("_name")).distinct()
+    names = names.withColumn("_crop", _canonical(fold_crop("_name"), strict_reference))
+    asked = names.select(
+        "_name",
+        F.explode(
+            F.concat(
+                F.array(F.concat(F.lit("="), "_name"), F.concat(F.lit("<"), "_crop")),
+                _marked(">", _runs(F.split("_crop", " "))),
+            )
+        ).alias("_key"),
     )
-    crops = culturas.select(
+    crops = culturas.where("nome_padronizado IS NOT NULL").select(
+        "id_cultura", "nome_padronizado", fold_crop("nome_padronizado").alias("_target"), F.col(order_by).alias("_ord")
+    )
+    offered = crops.select(
         "id_cultura",
-        "nome_padronizado",
-        fold_crop("nome_padronizado").alias("_target"),
-        F.col(order_by).alias("_ord"),
-    ).withColumn("_words", F.split("_target", " "))
-    longest = crops.agg(F.max(F.size("_words"))).first()[0]
-
-    hit = ["_name", "id_cultura", "_ord"]
-    exact = names.join(crops, F.col("_name") == F.col("nome_padronizado")).select(F.lit(0).alias("_step"), *hit)
-    name_runs = names.select("_name", F.explode(_runs(F.split("_crop", " "), F.lit(longest))).alias("_target"))
-    inside = name_runs.join(crops, "_target").select(F.lit(1).alias("_step"), *hit)
-    crop_runs = crops.select("id_cultura", "_ord", F.explode(_runs(F.col("_words"), F.size("_words"))).alias("_crop"))
-    around = names.join(crop_runs, "_crop").select(F.lit(1).alias("_step"), *hit)
-    chosen = (
-        exact.unionByName(inside)
-        .unionByName(around)
-        .groupBy("_name")
-        .agg(F.min_by("id_cultura", F.struct("_step", "_ord")).alias("id_cultura"))
+        "_ord",
+        F.explode(
+            F.concat(
+                F.array(F.concat(F.lit("="), "nome_padronizado"), F.concat(F.lit(">"), "_target")),
+                _marked("<", _runs(F.split("_target", " "))),
+            )
+        ).alias("_key"),
     )
-    return df.join(small_side(chosen), key == F.col("_name"), "left").drop("_name")
+    place = F.struct(~F.startswith("_key", F.lit("=")), F.col("_ord"), F.col("id_cultura"))
+    chosen = asked.join(offered, "_key").groupBy("_name").agg(F.min_by("id_cultura", place).alias("id_cultura"))
+    return df.join(chosen, key == F.col("_name"), "left").drop("_name")
 
 
 def resolve_municipio_by_code(df: DataFrame, municipios: DataFrame, code: str = "cod_municipio_ibge") -> DataFrame:
     """Add ``id_municipio`` by the first seven characters of the code; null if unknown."""
     dim = municipios.select(F.col("codigo_ibge").alias("_code"), "id_municipio")
-    return df.join(small_side(dim), code7(code) == F.col("_code"), "left").drop("_code")
+    return df.join(dim, code7(code) == F.col("_code"), "left").drop("_code")
 
 
 def resolve_municipio_by_name(df: DataFrame, municipios: DataFrame) -> DataFrame:
@@ -168,17 +164,17 @@ def resolve_municipio_by_name(df: DataFrame, municipios: DataFrame) -> DataFrame
         .agg(F.max("id_municipio").alias("id_municipio"))
     )
     on = (strip(F.lower(df["municipio"])) == F.col("_nome")) & (F.upper(df["uf"]) == F.col("_uf"))
-    return df.join(small_side(dim), on, "left").drop("_nome", "_uf")
+    return df.join(dim, on, "left").drop("_nome", "_uf")
 
 
 def resolve_mantenedor(df: DataFrame, mantenedores: DataFrame, name: str = "mantenedor") -> DataFrame:
     """Add ``id_mantenedor`` by exact name."""
     dim = mantenedores.select(F.col("nome").alias("_nome"), "id_mantenedor")
-    return df.join(small_side(dim), F.col(name) == F.col("_nome"), "left").drop("_nome")
+    return df.join(dim, F.col(name) == F.col("_nome"), "left").drop("_nome")
 
 
-def municipios_with_coordinates(municipios: DataFrame, coords: DataFrame, limit: int | None = 50) -> DataFrame:
-    """Municipalities that have coordinates, the first ``limit`` by id (None: all)."""
+def municipios_with_coordinates(municipios: DataFrame, coords: DataFrame, limit: int | None = None) -> DataFrame:
+    """Municipalities that have coordinates; with ``limit`` the first ones by id."""
     points = keep_first(
         coords.withColumn("codigo_ibge", F.col("codigo_ibge").cast("string")), ["codigo_ibge"]
     ).select("codigo_ibge", "latitude", "longitude")

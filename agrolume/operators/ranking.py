@@ -40,13 +40,9 @@ def top_k_list(df: DataFrame, keys: Sequence[str], value: str, k: int, alias: st
 
 
 def distinct_k_list(df: DataFrame, keys: Sequence[str], value: str, k: int, alias: str) -> DataFrame:
-    """Up to k distinct values per group in value order.
-
-    Null and empty values take up places first and are removed afterwards.
-    """
-    firsts = _first_k(df.select(*keys, value).distinct(), keys, [F.asc_nulls_first(value)], k)
-    lists = _listed(firsts, keys, value, alias)
-    return lists.withColumn(alias, F.filter(alias, lambda x: x != ""))
+    """Up to k distinct values per group in value order, without null and empty ones."""
+    firsts = _first_k(df.where(F.col(value) != "").select(*keys, value).distinct(), keys, [F.asc(value)], k)
+    return _listed(firsts, keys, value, alias)
 
 
 def paginate(df: DataFrame, order: Sequence[str], page: int = 1, page_size: int = 20) -> DataFrame:

@@ -9,9 +9,6 @@ from agrolume.functions import crop_year_start, estimate_accuracy, nonzero
 from agrolume.functions.grading import ACCURACY
 from agrolume.plans.base import Star, crops, find_cultura, places
 
-# Fixed value: groups in a single answer, before unreadable years are dropped.
-MAX_GROUPS = 50
-
 
 def _estimates(conab: DataFrame) -> DataFrame:
     """Forecast per state and crop year, over all harvests."""
@@ -49,12 +46,14 @@ def auditoria_all(t: Star, ladder=ACCURACY) -> DataFrame:
 
 
 def auditoria_estimativas(
-    t: Star, cultura: str, uf: str | None = None, max_groups: int = MAX_GROUPS, ladder=ACCURACY
+    t: Star, cultura: str, uf: str | None = None, max_groups: int | None = None, ladder=ACCURACY
 ) -> DataFrame:
-    """One crop, up to ``max_groups`` groups by state and crop year."""
+    """One crop by state and crop year; with ``max_groups`` the first groups whose year can be read."""
     crop = F.col("id_cultura") == find_cultura(t, cultura).id_cultura
     conab = t["fato_producao_conab"].where(crop)
     if uf:
         conab = conab.where(F.col("uf") == uf.upper())
-    first = _estimates(conab).orderBy("uf", "ano_agricola").limit(max_groups)
-    return _answer(first, t["fato_producao_pam"].where(crop), t, ladder)
+    groups = _estimates(conab)
+    if max_groups is not None:
+        groups = groups.where(crop_year_start("ano_agricola").isNotNull()).orderBy("uf", "ano_agricola").limit(max_groups)
+    return _answer(groups, t["fato_producao_pam"].where(crop), t, ladder)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from agrolume.functions import parse_date
 from agrolume.operators.lookup import municipios_with_coordinates
-from agrolume.operators.small import small_side
 
 # Raw to stored column names, and the station mark.
 RENAMES = {
@@ -25,12 +24,12 @@ def clean(raw: DataFrame) -> DataFrame:
     return df.withColumns({"umidade_media": F.lit(None).cast("double"), "estacao_id": F.lit(STATION)})
 
 
-def fact(cleaned: DataFrame, municipios: DataFrame, coords: DataFrame, limit: int | None = 50) -> DataFrame:
-    """Days of the municipalities that have coordinates (the first ``limit``)."""
+def fact(cleaned: DataFrame, municipios: DataFrame, coords: DataFrame, limit: int | None = None) -> DataFrame:
+    """Days of the municipalities that have coordinates; with ``limit`` of the first ones."""
     chosen = municipios_with_coordinates(municipios, coords, limit)
-    return cleaned.join(small_side(chosen.select("codigo_ibge", "id_municipio")), "codigo_ibge")
+    return cleaned.join(chosen.select("codigo_ibge", "id_municipio"), "codigo_ibge")
 
 
-def load(raw: DataFrame, coords: DataFrame, tables: dict, limit: int | None = 50) -> dict[str, int]:
+def load(raw: DataFrame, coords: DataFrame, tables: dict, limit: int | None = None) -> dict[str, int]:
     rows = fact(clean(raw), tables["dim_municipio"].read(), coords, limit)
     return {"meteorologia": tables["fato_meteorologia"].upsert(rows)}

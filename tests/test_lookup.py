@@ -43,11 +43,11 @@ def names():
 
 
 @pytest.mark.parametrize("strict", [False, True])
-@pytest.mark.parametrize("max_inline", [64, 0])
-def test_resolve_cultura(rows, strict, max_inline):
+@pytest.mark.parametrize("resolve", [lookup.resolve_cultura, lookup.resolve_cultura_by_words])
+def test_resolve_cultura(rows, strict, resolve):
     crops = rows(CROPS, "id_cultura int, nome_padronizado string")
     df = rows([(i, n) for i, n in enumerate(names())], "i int, nome string")
-    found = lookup.resolve_cultura(df, "nome", crops, strict_reference=strict, max_inline=max_inline)
+    found = resolve(df, "nome", crops, strict_reference=strict)
     got = {r.nome: r.id_cultura for r in found.collect()}
     assert got == {n: plain_crop(n, CROPS, strict) for n in names()}
 
@@ -93,3 +93,10 @@ def test_coordinates(rows, municipios):
     got = lookup.municipios_with_coordinates(municipios, coords).collect()
     assert {(r.id_municipio, r.latitude) for r in got} == {(1, 3.0), (3, 1.0)}
     assert lookup.municipios_with_coordinates(municipios, coords, limit=1).count() == 1
+
+
+@pytest.mark.parametrize("resolve", [lookup.resolve_cultura, lookup.resolve_cultura_by_words])
+def test_repeated_and_null_crop_names(rows, resolve):
+    crops = rows([(5, "soja"), (2, "soja"), (1, None), (3, "milho")], "id_cultura int, nome_padronizado string")
+    df = rows([{"nome": n} for n in ("soja", "Milho doce", None)])
+    assert {r.nome: r.id_cultura for r in resolve(df, "nome", crops).collect()} == {"soja": 2, "Milho doce": 3, None: None}

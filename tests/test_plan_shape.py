@@ -3,7 +3,7 @@
 import pytest
 
 from agrolume import plans
-from agrolume.operators import dedupe, lookup, small
+from agrolume.operators import dedupe, lookup
 from agrolume.sources import pam, zarc
 
 
@@ -33,18 +33,15 @@ def test_pages_are_cut_in_every_task(star):
     assert "TakeOrderedAndProject" in plan(plans.list_pam(star, page=3))
 
 
-def test_dimension_joins_do_not_shuffle_facts(star, rows, culturas, municipios):
+def test_dimension_joins_do_not_shuffle_facts(star, rows, culturas):
     joined = star["fato_producao_pam"].join(star["dim_municipio"], "id_municipio")
     assert "BroadcastHashJoin" in plan(joined) and "Exchange hashpartitioning" not in plan(joined)
     raw = rows([{"cultura": "soja", "cod_municipio_ibge": "1200013", "dec1": "20%", "cod_solo": "1"}])
-    assert "Exchange hashpartitioning" not in plan(zarc.fact(raw, culturas, municipios))
+    assert "Exchange hashpartitioning" not in plan(zarc.fact(raw, culturas, star["dim_municipio"]))
 
 
-def test_large_dimensions_are_not_broadcast(spark, monkeypatch):
-    dim = spark.range(50).selectExpr("cast(id as string) AS nome")
-    assert "broadcast" in small.small_side(dim)._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in small.small_side(dim, max_rows=49)._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in small.small_side(dim, max_bytes=89)._jdf.queryExecution().logical().toString()
+def test_the_dossier_reads_the_pesticide_register_once(star):
+    assert plan(plans.dossie_all(star)).count("fato_agrofit") <= 1
 
 
 def test_names_are_folded_once(rows, culturas):
