@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK, OVERLAP = 16_384, 512
-CACHED_PIECES = 500_000
+CACHED_PIECES = 250_000
 #: Above every rank.
 NONE = 1 << 60
 
