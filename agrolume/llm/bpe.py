@@ -180,16 +180,16 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             for start, text in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
                 found = encoder.find.findall(text)
                 lengths = np.fromiter(map(len, found), np.int64, len(found))
-                starts.append(start + np.cumsum(lengths) - lengths)
+                starts.append(np.cumsum(lengths) - lengths)
                 counts.append(np.fromiter((len(encoder.known[p]) for p in found), np.int32, len(found)))
                 ids.append(encoder.ids(found))
                 ends.append(start + len(text))
-            columns = [*(batch.column(i) for i in range(3)), pa.array(ends, pa.int64()), _lists(starts, pa.int64()), _lists(counts, pa.int32()), _lists(ids, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc", "number", "end", "starts", "counts", "ids"])
+            columns = [*(batch.column(i) for i in range(4)), pa.array(ends, pa.int64()), _lists(starts, pa.int32()), _lists(counts, pa.int32()), _lists(ids, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc", "number", "start", "end", "starts", "counts", "ids"])
 
     def joined(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("number")
-        ranges = stitch(list(group["starts"]), list(group["end"]))
+        ranges = stitch([start + np.asarray(s, np.int64) for start, s in zip(group["start"], group["starts"])], list(group["end"]))
         taken = []
         for (low, high), counts, ids in zip(ranges, group["counts"], group["ids"]):
             ends = np.concatenate([[0], np.cumsum(counts)])
@@ -200,7 +200,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     short = rows.where(one_window).mapInArrow(whole, f"doc {doc_type}, ids array<int>")
     numbered = rows.where(~one_window).select(F.monotonically_increasing_id().alias("row"), "doc", "text")
     dealt = numbered.mapInArrow(cut, f"row long, doc {doc_type}, number long, start long, window string").repartition("row", "number")
-    kinds = f"row long, doc {doc_type}, number long, end long, starts array<long>, counts array<int>, ids array<int>"
+    kinds = f"row long, doc {doc_type}, number long, start long, end long, starts array<int>, counts array<int>, ids array<int>"
     encoded = dealt.mapInArrow(pieces, kinds)
     long = encoded.groupBy("row", "doc").applyInPandas(
         lambda key, group: joined(group).assign(doc=[key[1]])[["doc", "ids"]], f"doc {doc_type}, ids array<int>"
