@@ -23,7 +23,8 @@ from agrolume.sources import (
     zarc,
 )
 
-# The crop list the jobs resolve to; part types are spelled as crops below.
+# The crop list the jobs resolve to; part types are spelled as crops below.  Two of
+# them are the same crop, so rows of different spelling meet on one key.
 CROPS = [(1, "soja"), (2, "milho"), (3, "pêra"), (4, "cana-de-açúcar")]
 PRODUCT = (
     "CASE p_type WHEN 'ECONOMY' THEN 'Pera' WHEN 'SMALL' THEN 'CANA DE AÇÚCAR' WHEN 'LARGE' THEN 'Soja' "
@@ -103,16 +104,18 @@ def job_cultivares_metrics(spark, folder):
 @query(
     sql(
         "municipio",
-        body=f"""SELECT {CROP} AS id_cultura, id_municipio, ano, round(avg(l_quantity), 6) AS area_plantada_ha,
-        round(avg(nullif(l_tax, 0)), 6) AS area_colhida_ha, round(avg(l_extendedprice), 8) AS qtde_produzida_ton,
-        CAST(NULL AS DOUBLE) AS valor_producao_mil_reais
+        body=f"""SELECT id_cultura, id_municipio, ano, round(a, 6) AS area_plantada_ha, round(c, 6) AS area_colhida_ha,
+        round(q, 8) AS qtde_produzida_ton, CAST(NULL AS DOUBLE) AS valor_producao_mil_reais FROM (
+        SELECT {CROP} AS id_cultura, id_municipio, ano, avg(l_quantity) AS a, avg(nullif(l_tax, 0)) AS c, avg(l_extendedprice) AS q
         FROM (SELECT *, CAST(year(l_shipdate) AS INTEGER) AS ano FROM lineitem JOIN part ON l_partkey = p_partkey)
-        JOIN municipio ON id_municipio = l_suppkey WHERE p_type NOT IN ('STANDARD', 'PROMO') GROUP BY 1, 2, 3""",
+        JOIN municipio ON id_municipio = l_suppkey WHERE p_type <> 'STANDARD' GROUP BY 1, 2, 3, p_type)
+        QUALIFY row_number() OVER (PARTITION BY id_cultura, id_municipio, ano
+            ORDER BY c DESC NULLS LAST, a DESC NULLS LAST, q DESC) = 1""",
     )
 )
 def job_pam(spark, folder):
     star = Star(spark, folder)
-    raw = sales(star.source).where("p_type <> 'PROMO'").selectExpr(
+    raw = sales(star.source).selectExpr(
         "lpad(cast(l_suppkey as string), 7, '0') AS D1C", "concat('Município ', l_suppkey) AS D1N",
         "cast(year(l_shipdate) as string) AS D3N", f"{PRODUCT} AS cultura_raw",
         """stack(3, 'Área plantada', cast(l_quantity as string),
@@ -130,17 +133,17 @@ def job_pam(spark, folder):
 @query(
     sql(
         "municipio", "zarc_wide",
-        body=f"""SELECT {CROP} AS id_cultura, id_municipio, l_linestatus AS tipo_solo, p.periodo_plantio, p.risco_climatico
-        FROM zarc_wide JOIN municipio ON codigo_ibge = cd_mun,
+        body=f"""SELECT {CROP} AS id_cultura, id_municipio, l_linestatus AS tipo_solo, p.periodo_plantio,
+        max(p.risco_climatico) AS risco_climatico FROM zarc_wide JOIN municipio ON codigo_ibge = cd_mun,
         LATERAL (VALUES ('dec1', dec1), ('dec2', dec2), ('dec3', dec3), ('dec4', dec4)) AS p(periodo_plantio, risco_climatico)
-        WHERE p_type NOT IN ('STANDARD', 'MEDIUM') AND p.risco_climatico IS NOT NULL""",
+        WHERE p_type <> 'STANDARD' AND p.risco_climatico IS NOT NULL GROUP BY 1, 2, 3, 4""",
     )
 )
 def job_zarc(spark, folder):
     from agrolume.checks.views import zarc_wide
 
     star = Star(spark, folder)
-    raw = zarc_wide(star.source).where("p_type <> 'MEDIUM'").selectExpr(
+    raw = zarc_wide(star.source).selectExpr(
         f"{PRODUCT} AS cultura_raw", "cd_mun AS `Geocodigo-Municipio`", "l_linestatus AS `Cod Solo`",
         "dec1 AS Dec1", "dec2 AS Dec2", "dec3 AS Dec3", "dec4 AS Dec4",
     )
@@ -154,12 +157,12 @@ def job_zarc(spark, folder):
     sql(
         "municipio",
         body=f"""SELECT {CROP} AS id_cultura, n_name AS uf, safra AS ano_agricola, o_orderpriority AS safra,
-        max_by(o_totalprice, o_orderkey) AS producao_mil_t, CAST(0 AS DOUBLE) AS area_plantada_mil_ha,
-        CAST(NULL AS DOUBLE) AS produtividade_t_ha
+        max_by(l_extendedprice, (l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity)) AS producao_mil_t,
+        CAST(0 AS DOUBLE) AS area_plantada_mil_ha, CAST(NULL AS DOUBLE) AS produtividade_t_ha
         FROM (SELECT *, year(o_orderdate) || '/' || (year(o_orderdate) + 1) AS safra FROM orders)
         JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-        JOIN (SELECT o_orderkey AS k, p_type FROM orders JOIN part ON p_partkey = o_orderkey) ON k = o_orderkey
-        WHERE p_type <> 'STANDARD' AND NOT (p_type = 'PROMO') GROUP BY 1, 2, 3, 4""",
+        JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+        WHERE p_type <> 'STANDARD' GROUP BY 1, 2, 3, 4""",
     )
 )
 def job_conab_producao(spark, folder):
@@ -167,11 +170,12 @@ def job_conab_producao(spark, folder):
     raw = (
         t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(t.part.where("p_type <> 'PROMO'"), F.col("o_orderkey") == F.col("p_partkey"))
+        .join(sales(t), F.col("o_orderkey") == F.col("l_orderkey"))
         .selectExpr(
             "concat(year(o_orderdate), '/', year(o_orderdate) + 1, ' ') AS ano_agricola",
             "o_orderpriority AS dsc_safra_previsao", "concat(' ', n_name) AS uf", f"{PRODUCT} AS produto",
-            "'n/d' AS area_plantada_mil_ha", "cast(o_totalprice as string) AS producao_mil_t", "o_orderkey AS _seq",
+            "'n/d' AS area_plantada_mil_ha", "cast(l_extendedprice as string) AS producao_mil_t",
+            "struct(l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity) AS _seq",
         )
     )
     return _stored(conab.fact(conab.clean_production(raw), _crops(spark)), schema.PRODUCAO_CONAB)
@@ -184,13 +188,13 @@ _PRICE_ROWS = f"""SELECT {CROP} AS id_cultura, CASE WHEN l_linenumber < 7 THEN m
     strftime(l_shipdate, '%Y-%m') AS data_referencia,
     (l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity) AS ord
     FROM lineitem JOIN part ON l_partkey = p_partkey JOIN municipio m ON m.id_municipio = l_suppkey
-    WHERE p_type NOT IN ('STANDARD', 'PROMO')"""
+    WHERE p_type <> 'STANDARD'"""
 
 
 def _raw_prices(star: Star) -> DataFrame:
     places = star["dim_municipio"].selectExpr("id_municipio AS l_suppkey", "nome", "uf")
     return (
-        sales(star.source).where("p_type <> 'PROMO'")
+        sales(star.source)
         .join(places, "l_suppkey")
         .selectExpr(
             f"{PRODUCT} AS produto", "uf", "nome AS nom_municipio",
@@ -240,11 +244,11 @@ def job_precos_semanal(spark, folder):
     f"""SELECT {CROP} AS id_cultura, CAST(l_suppkey AS VARCHAR) AS nr_registro, p_name AS marca_comercial,
     max_by(CAST(l_quantity AS VARCHAR), (l_orderkey, l_linenumber, l_partkey, l_quantity)) AS ingrediente_ativo,
     l_returnflag AS praga_comum, count(*) AS n
-    FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type NOT IN ('STANDARD', 'PROMO') GROUP BY 1, 2, 3, 5"""
+    FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type <> 'STANDARD' GROUP BY 1, 2, 3, 5"""
 )
 def job_agrofit(spark, folder):
     t = Tables(spark, folder)
-    raw = sales(t).where("p_type <> 'PROMO'").selectExpr(
+    raw = sales(t).selectExpr(
         "cast(l_suppkey as string) AS NR_REGISTRO", "p_name AS MARCA_COMERCIAL",
         "cast(l_quantity as string) AS INGREDIENTE_ATIVO", "p_brand AS CLASSE", f"{PRODUCT} AS CULTURA",
         "l_returnflag AS PRAGA_NOME_COMUM", "p_size AS OUTRA",
@@ -289,7 +293,7 @@ def job_fertilizantes(spark, folder):
         FROM (SELECT *, CAST(year(l_shipdate) AS VARCHAR) AS safra,
             CASE WHEN l_linenumber = 1 THEN NULL ELSE l_shipdate END AS data, l_quantity + 0.5 AS area_ha
             FROM lineitem JOIN part ON l_partkey = p_partkey) JOIN municipio ON id_municipio = l_suppkey
-        WHERE p_type NOT IN ('STANDARD', 'PROMO')
+        WHERE p_type <> 'STANDARD'
         QUALIFY row_number() OVER (PARTITION BY p_type, id_municipio, safra, p_name, l_returnflag
             ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_quantity DESC, l_shipdate DESC) = 1""",
     )
@@ -297,7 +301,7 @@ def job_fertilizantes(spark, folder):
 def job_sementes_producao(spark, folder):
     star = Star(spark, folder)
     places = star["dim_municipio"].selectExpr("id_municipio AS l_suppkey", "nome", "uf")
-    raw = sales(star.source).where("p_type <> 'PROMO'").join(places, "l_suppkey").selectExpr(
+    raw = sales(star.source).join(places, "l_suppkey").selectExpr(
         "cast(year(l_shipdate) as string) AS `DS_SAFRA `", f"{PRODUCT} AS DS_ESPECIE", "l_returnflag AS DS_CATEGORIA",
         "p_name AS DS_CULTIVAR", "lower(nome) AS DS_MUNICIPIO", "uf AS DS_UF",
         "CASE WHEN l_linenumber = 1 THEN '' ELSE date_format(l_shipdate, 'dd/MM/yyyy') END AS DT_PLANTIO",
@@ -317,13 +321,13 @@ def job_sementes_producao(spark, folder):
         body=f"""SELECT {CROP} AS id_cultura, id_municipio, periodo, p_brand AS cultivar_raw,
         max(l_quantity) AS area_total_ha, max(l_quantity) / 2 AS area_plantada_ha
         FROM (SELECT *, CAST(year(l_shipdate) AS VARCHAR) AS periodo FROM lineitem JOIN part ON l_partkey = p_partkey)
-        JOIN municipio ON id_municipio = l_suppkey WHERE p_type NOT IN ('STANDARD', 'PROMO') GROUP BY 1, 2, 3, 4""",
+        JOIN municipio ON id_municipio = l_suppkey WHERE p_type <> 'STANDARD' GROUP BY 1, 2, 3, 4, p_type""",
     )
 )
 def job_sementes_reserva(spark, folder):
     star = Star(spark, folder)
     places = star["dim_municipio"].selectExpr("id_municipio AS l_suppkey", "nome", "uf")
-    raw = sales(star.source).where("p_type <> 'PROMO'").join(places, "l_suppkey").selectExpr(
+    raw = sales(star.source).join(places, "l_suppkey").selectExpr(
         "'Safra' AS TIPOPERIODO", "cast(year(l_shipdate) as string) AS PERIODO", f"{PRODUCT} AS ESPECIE",
         "p_brand AS CULTIVAR", "upper(nome) AS MUNICIPIO", "lower(uf) AS UF",
         "replace(cast(l_quantity as string), '.', ',') AS AREATOTAL",

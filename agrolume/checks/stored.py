@@ -109,14 +109,14 @@ def _weeks(t: Tables, where: str) -> DataFrame:
     )
 
 
-@query(f"{_WEEKS.format('l_linenumber = 5')} UNION ALL {_WEEKS.format('l_linenumber = 6')}")
+@query(_WEEKS.format("l_linenumber >= 5"))
 def weekly_reset(spark, folder):
     """Weeks 1 to 3 and then 4 are stored; the run with week 5 starts afresh, and
-    its second file (week 6) joins the first."""
+    its second file (weeks 6 and 7) joins the first."""
     t, table = Tables(spark, folder), _table(spark, schema.PRECOS_SEMANAL)
     for weeks in ("l_linenumber <= 3", "l_linenumber = 4", "l_linenumber = 5"):
         table.upsert(_weeks(t, weeks), replace=weekly_reset_due(table))
-    table.upsert(_weeks(t, "l_linenumber = 6"))
+    table.upsert(_weeks(t, "l_linenumber >= 6"))
     columns = [c for c in schema.PRECOS_SEMANAL.data_schema.names if c != "data_referencia"]
     return table.read().select(*columns)
 

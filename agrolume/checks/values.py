@@ -194,25 +194,24 @@ def code7(spark, folder):
 
 
 @query(
-    """SELECT n_name AS uf, CASE WHEN n >= 100 THEN 'Alto' WHEN n >= 30 THEN 'Médio' ELSE 'Baixo' END AS tecnologia,
+    """SELECT n_name AS uf, c_mktsegment AS segmento, CASE WHEN n >= 100 THEN 'Alto' WHEN n >= 30 THEN 'Médio' ELSE 'Baixo' END AS tecnologia,
     CASE WHEN n >= 50 THEN 'Alta' WHEN n >= 15 THEN 'Média' WHEN n >= 1 THEN 'Baixa' ELSE 'Sem cobertura' END AS capacidade,
     CASE WHEN abs(v) <= 5 THEN 'Excelente (≤5%)' WHEN abs(v) <= 15 THEN 'Boa (5–15%)'
         WHEN abs(v) <= 30 THEN 'Regular (15–30%)' WHEN v IS NOT NULL THEN 'Fraca (>30%)' END AS acuracia
-    FROM (SELECT n_name, count(c_custkey) AS n, nullif(n_nationkey, 3) * 3 - 40 AS v FROM nation
-        LEFT JOIN customer ON c_nationkey = n_nationkey AND c_mktsegment = 'BUILDING' AND c_acctbal > 0
-        GROUP BY n_name, n_nationkey)"""
+    FROM (SELECT n_name, c_mktsegment, count(c_custkey) AS n, nullif(n_nationkey, 3) * 3 - 40 AS v FROM nation
+        LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_name, c_mktsegment, n_nationkey)"""
 )
 def grades(spark, folder):
     t = Tables(spark, folder)
-    some = t.customer.where("c_mktsegment = 'BUILDING' AND c_acctbal > 0")
     counts = (
-        t.nation.join(some, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .groupBy("n_name", "n_nationkey")
+        t.nation.join(t.customer, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .groupBy("n_name", "c_mktsegment", "n_nationkey")
         .agg(F.count("c_custkey").alias("n"))
         .withColumn("v", F.nullif("n_nationkey", F.lit(3)) * 3 - 40)
     )
     return counts.select(
         F.col("n_name").alias("uf"),
+        F.col("c_mktsegment").alias("segmento"),
         A.technology_grade("n").alias("tecnologia"),
         A.capacity_grade("n").alias("capacidade"),
         A.estimate_accuracy("v").alias("acuracia"),
