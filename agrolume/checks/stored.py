@@ -141,7 +141,7 @@ def read_delimited(spark, folder):
     # As one unquoted column whose name is the header line, so every file starts with it.
     raw = lines.withColumnRenamed("value", "chave;segmento;nome;saldo").repartition(_files(spark))
     raw.write.csv(path, header=True, sep="\u0001", quote="", ignoreLeadingWhiteSpace=False)
-    df = readers.read_delimited(spark, path, ";", skip_bad_lines=True)
+    df = readers.read_delimited(spark, path, ";", bad_lines="skip")
     return df.groupBy(F.col("segmento").alias("c_mktsegment")).agg(
         F.count("*").alias("n"),
         F.count("nome").alias("com_nome"),

@@ -1,88 +1,38 @@
-"""Text lines from files that may be gzip whatever they are called.
+"""Text lines of gzip files whatever they are called.
 
-Spark picks a codec by file name only.  This source looks at the first two bytes,
-streams the file and hands Arrow batches of lines back; parsing stays in the JVM.
-A gzip stream cannot be split, so it is one task per file: callers repartition
-before parsing.
+Spark picks a codec by file name only.  Here the packed bytes of each file come through
+Spark's own file systems (``binaryFile``, up to 2 GB packed per file) and a task streams
+them into Arrow batches of lines; parsing stays in the JVM.
 """
 
 from __future__ import annotations
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-GZIP_MAGIC = b"\x1f\x8b"
-BATCH_LINES = 20_000
-
-
-class _File(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-
-
-def _open(path: str):
-    from pyarrow import fs
-
-    if "://" not in path and not path.startswith("file:"):
-        return fs.LocalFileSystem(), path
-    return fs.FileSystem.from_uri(path)
+import gzip
+import io
+from collections.abc import Iterator
+from itertools import count, islice
 
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
-class LinesReader(DataSourceReader):
-    def __init__(self, path: str, head_only: bool):
-        self.path, self.head_only = path, head_only
-
-    def partitions(self):
-        from pyarrow import fs
-
-        store, path = _open(self.path)
-        info = store.get_file_info(path)
-        if info.type == fs.FileType.Directory:
-            found = store.get_file_info(fs.FileSelector(path))
-            names = sorted(f.path for f in found if f.is_file and f.base_name[0] not in "._")
-        else:
-            names = [path]
-        return [_File(n) for n in names]
-
-    def read(self, partition: _File):
-        import gzip
-        import io
-        from itertools import islice
-
-        import numpy as np
-        import pyarrow as pa
-
-        store, _ = _open(self.path)
-        name = partition.value
-        with store.open_input_stream(name, compression=None) as raw:
-            head = raw.read(2)
-        with store.open_input_stream(name, compression=None) as raw:
-            stream = gzip.GzipFile(fileobj=raw) if head == GZIP_MAGIC else raw
-            lines = io.TextIOWrapper(io.BufferedReader(stream, 1 << 20), "utf-8-sig", newline="\n")
-            if self.head_only:
-                lines = islice(lines, 1)
-            start = 0
-            while batch := [line.rstrip("\r\n") for line in islice(lines, BATCH_LINES)]:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([name] * len(batch)),
-                        pa.array(np.arange(start, start + len(batch))),
-                        pa.array(batch, pa.string()),
-                    ],
-                    names=["file", "line", "value"],
-                )
-                start += len(batch)
-
+BATCH_LINES = 20_000
 
-class GzipLines(DataSource):
-    """``spark.read.format("any_gzip_lines").load(path)``: (file, line, value).
-    With option ``headOnly`` the first line of each file only."""
 
-    @classmethod
-    def name(cls):
-        return "any_gzip_lines"
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for name, content in zip(batch.column(0), batch.column(1)):
+            packed = pa.BufferReader(content.as_buffer())
+            lines = io.TextIOWrapper(gzip.GzipFile(fileobj=packed), "utf-8-sig", newline="\n")
+            for start in count(0, BATCH_LINES):
+                some = [line.rstrip("\r\n") for line in islice(lines, BATCH_LINES)]
+                if not some:
+                    break
+                columns = [pa.array([name.as_py()] * len(some)), pa.array(np.arange(start, start + len(some))), pa.array(some, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["file", "line", "value"])
 
-    def schema(self):
-        return "file string, line bigint, value string"
 
-    def reader(self, schema):
-        return LinesReader(self.options["path"], self.options.get("headOnly", "false") == "true")
+def gzip_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(file, line from 0, value) of gzip files, one task per file."""
+    packed = spark.read.format("binaryFile").load(files).select("path", "content")
+    return packed.repartition(len(files), "path").mapInArrow(_lines, "file string, line bigint, value string")

@@ -3,6 +3,8 @@ its place in the file in ``_seq``."""
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -12,8 +14,50 @@ from pyspark.sql import types as T
 
 from agrolume.functions import NULL_TOKENS, STRICT_NULL_TOKENS, null_tokens
 from agrolume.operators.dedupe import SEQ, file_order, keep_first
+from agrolume.sources.gzip_lines import gzip_lines
 
 _BAD = "_bad_line"
+_SEQ_TYPE = T.StructType(
+    [T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("row", T.LongType())]
+)
+
+
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def files_of(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Files that a path, a folder or a pattern names, in any file system Spark knows."""
+    out = []
+    for one in [path] if isinstance(path, str) else path:
+        fs, jpath = _fs(spark, one)
+        found = fs.globStatus(jpath)
+        if not found:
+            raise FileNotFoundError(one)
+        for status in found:
+            inner = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+            out += sorted(x.getPath().toString() for x in inner if x.isFile() and x.getPath().getName()[0] not in "._")
+    return out
+
+
+def first_line(spark: SparkSession, file: str, encoding: str = "UTF-8") -> str | None:
+    """The first line of a file, gzip or not; None if it is empty."""
+    fs, jpath = _fs(spark, file)
+    jvm, stream = spark._jvm, fs.open(jpath)
+    try:
+        packed = is_gzip(spark, file)
+        plain = jvm.java.util.zip.GZIPInputStream(stream) if packed else stream
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, encoding)).readLine()
+        return None if line is None else line.removeprefix("\ufeff")
+    finally:
+        stream.close()
+
+
+def header_names(line: str, sep: str, ignore_leading_space: bool = True) -> tuple[str, ...]:
+    """Column names of a header line; a name that repeats gets its place appended."""
+    names = next(csv.reader([line], delimiter=sep, skipinitialspace=ignore_leading_space), [])
+    return tuple(n if n and names.count(n) == 1 else f"{n or '_c'}{i}" for i, n in enumerate(names))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -21,46 +65,32 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _header(spark: SparkSession, path, sep: str, encoding: str) -> list[str]:
-    line = spark.read.option("encoding", encoding).option("lineSep", "\n").csv(
-        path, sep=sep, header=True, escape='"', ignoreLeadingWhiteSpace=True
-    )
-    return line.columns
-
-
 def _fields(line: Column, sep: str) -> Column:
     """Number of fields of a raw line; separators inside quotes do not count."""
-    return F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), sep, -1))
+    return F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), re.escape(sep), -1))
 
 
-def read_delimited(
+def _parsed(
     spark: SparkSession,
-    path: str | list[str],
-    sep: str = ",",
-    encoding: str = "UTF-8",
-    skip_bad_lines: bool = False,
-    ignore_leading_space: bool = False,
-    tokens: tuple[str, ...] = NULL_TOKENS,
-    multiline: bool = False,
+    files: list[str],
+    names: tuple[str, ...],
+    sep: str,
+    encoding: str,
+    bad_lines: str,
+    ignore_leading_space: bool,
+    multiline: bool,
 ) -> DataFrame:
-    """Delimited text with a header; files read together share their layout.
-
-    Short lines are filled with nulls.  With ``skip_bad_lines`` lines with too
-    many fields are dropped.  Files split freely unless ``multiline`` (line
-    breaks inside quotes) is asked for.
-    """
-    names = _header(spark, path, sep, encoding)
-    fields = [T.StructField(n, T.StringType()) for n in names]
-    if skip_bad_lines:
-        fields.append(T.StructField(_BAD, T.StringType()))
+    """Files of one layout."""
+    strict = bad_lines != "cut"
+    fields = [T.StructField(n, T.StringType()) for n in (*names, _BAD)[: len(names) + strict]]
     raw = (
         spark.read.schema(T.StructType(fields))
         .option("encoding", encoding)
         .option("columnNameOfCorruptRecord", _BAD)
         # With pruned parsing Spark does not notice lines of the wrong length.
-        .option("columnPruning", str(not skip_bad_lines).lower())
+        .option("columnPruning", str(not strict).lower())
         .csv(
-            path,
+            files,
             sep=sep,
             header=True,
             escape='"',
@@ -70,22 +100,64 @@ def read_delimited(
         )
         .withColumn(SEQ, file_order())
     )
-    if skip_bad_lines:
-        # Spark refuses to read the bad-line column alone (as for a count), so the
-        # filter also touches a data column; its second half is always true.
-        fits = F.col(_BAD).isNull() | (_fields(F.col(_BAD), sep) <= len(names))
-        raw = raw.where(fits & (F.coalesce(F.length(f"`{names[0]}`"), F.lit(0)) >= 0)).drop(_BAD)
-    return null_tokens(raw, tokens)
+    if not strict:
+        return raw
+    # Spark refuses to read the bad-line column alone (as for a count), so the
+    # filter also touches a data column; its second half is always true.
+    fits = F.col(_BAD).isNull() | (_fields(F.col(_BAD), sep) <= len(names))
+    if bad_lines == "raise":
+        fits = fits | F.raise_error(F.concat(F.lit("more fields than the header has: "), F.substring(_BAD, 1, 200))).cast("boolean")
+    return raw.where(fits & (F.coalesce(F.length(f"`{names[0]}`"), F.lit(0)) >= 0)).drop(_BAD)
 
 
-def read_cultivares(spark: SparkSession, path) -> DataFrame:
+def read_delimited(
+    spark: SparkSession,
+    path: str | list[str],
+    sep: str = ",",
+    encoding: str = "UTF-8",
+    bad_lines: str = "raise",
+    ignore_leading_space: bool = False,
+    tokens: tuple[str, ...] = NULL_TOKENS,
+    multiline: bool = False,
+) -> DataFrame:
+    """Delimited text, each file by its own header; columns unite by name.
+
+    Short lines are filled with nulls.  Lines with too many fields stop the read
+    (``bad_lines="raise"``), are left out (``"skip"``, see ``bad_lines_of``) or lose
+    the surplus (``"cut"``, which alone lets Spark parse only the columns in use).
+    Line ends may be LF or CRLF.  Files split freely unless ``multiline`` (line
+    breaks inside quotes) is asked for.
+    """
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file in files_of(spark, path):
+        if (line := first_line(spark, file, encoding)) is not None:
+            layouts.setdefault(header_names(line, sep, ignore_leading_space), []).append(file)
+    if not layouts:
+        return spark.createDataFrame([], T.StructType([T.StructField(SEQ, _SEQ_TYPE)]))
+    frames = [_parsed(spark, f, n, sep, encoding, bad_lines, ignore_leading_space, multiline) for n, f in layouts.items()]
+    return null_tokens(union_all(frames), tokens)
+
+
+def bad_lines_of(spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+    """(file, n): lines with more fields than the header of their file has."""
+    counts = []
+    for file in files_of(spark, path):
+        if (line := first_line(spark, file, encoding)) is not None:
+            text = spark.read.option("encoding", encoding).text(file)
+            wide = text.where(_fields(F.col("value"), sep) > len(header_names(line, sep)))
+            counts.append(wide.agg(F.count("*").alias("n")).select(F.lit(file).alias("file"), "n"))
+    return union_all(counts) if counts else spark.createDataFrame([], "file string, n bigint")
+
+
+def read_cultivares(spark: SparkSession, path, multiline: bool = True) -> DataFrame:
     """Cultivar register: comma, UTF-8, dashes are null."""
-    return read_delimited(spark, path, ignore_leading_space=True, tokens=STRICT_NULL_TOKENS)
+    return read_delimited(spark, path, ignore_leading_space=True, tokens=STRICT_NULL_TOKENS, multiline=multiline)
 
 
-def read_conab(spark: SparkSession, path) -> DataFrame:
-    """Production and price text files: semicolon, Latin-1."""
-    return read_delimited(spark, path, ";", "ISO-8859-1", ignore_leading_space=True)
+def read_conab(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
+    """Production and price text files: semicolon, Latin-1.  Their fields hold no line
+    breaks, so the large ones split; ``multiline`` is for files that do."""
+    return read_delimited(spark, path, ";", "ISO-8859-1", ignore_leading_space=True, multiline=multiline)
 
 
 # File name of each dataset.
@@ -104,8 +176,8 @@ SEED_FILES = {
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+    fs, jpath = _fs(spark, path)
+    return fs.exists(jpath)
 
 
 def read_conab_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -114,14 +186,14 @@ def read_conab_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {k: read_conab(spark, p) for k, p in paths.items() if exists(spark, p)}
 
 
-def read_agrofit(spark: SparkSession, path) -> DataFrame:
+def read_agrofit(spark: SparkSession, path, multiline: bool = True) -> DataFrame:
     """Pesticide register: semicolon, UTF-8, overlong lines skipped."""
-    return read_delimited(spark, path, ";", skip_bad_lines=True)
+    return read_delimited(spark, path, ";", bad_lines="skip", multiline=multiline)
 
 
-def read_fertilizantes(spark: SparkSession, path) -> DataFrame:
+def read_fertilizantes(spark: SparkSession, path, multiline: bool = True) -> DataFrame:
     """Fertilizer establishments: semicolon, Latin-1."""
-    return read_delimited(spark, path, ";", "ISO-8859-1", ignore_leading_space=True)
+    return read_delimited(spark, path, ";", "ISO-8859-1", ignore_leading_space=True, multiline=multiline)
 
 
 def read_sigef_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -130,31 +202,37 @@ def read_sigef_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     for key, names in SEED_FILES.items():
         path = next((p for n in names if exists(spark, p := f"{folder}/{n}")), None)
         if path:
-            out[key] = read_delimited(spark, path, ";", skip_bad_lines=True)
+            out[key] = read_delimited(spark, path, ";", bad_lines="skip")
     return out
 
 
-def read_any_gzip(spark: SparkSession, path: str, sep: str = ";", partitions: int | None = None) -> DataFrame:
+def read_any_gzip(spark: SparkSession, path: str | list[str], sep: str = ";", partitions: int | None = None) -> DataFrame:
     """Delimited text that may be gzip under any name; overlong lines skipped.
 
-    One task streams each file, then the lines spread over ``partitions`` and
-    parse in the JVM.
+    Plain files split freely.  A gzip stream cannot be split: one task unpacks each
+    such file, then the lines spread over ``partitions`` and parse in the JVM.
+    Each file is read by its own header.
     """
-    from agrolume.sources.gzip_lines import GzipLines
-
-    spark.dataSource.register(GzipLines)
-    lines = spark.read.format("any_gzip_lines").load(path)
-    heads = spark.read.format("any_gzip_lines").option("headOnly", "true").load(path)
-    first = heads.orderBy("file").select("value").first()
-    if first is None:
-        return spark.createDataFrame([], T.StructType())
-    names = [n.strip().strip('"') for n in first[0].split(sep)]
+    plain, packed = [], {}
+    for file in files_of(spark, path):
+        if not is_gzip(spark, file):
+            plain.append(file)
+        elif (line := first_line(spark, file)) is not None:
+            packed.setdefault(header_names(line, sep), []).append(file)
+    frames = [_unpacked(spark, files, names, sep, partitions) for names, files in packed.items()]
+    if plain or not frames:
+        frames.append(read_delimited(spark, plain, sep, bad_lines="skip"))
+    return union_all(frames)
+
+
+def _unpacked(spark: SparkSession, files: list[str], names: tuple[str, ...], sep: str, partitions: int | None) -> DataFrame:
+    """Gzip files of one layout."""
+    lines = gzip_lines(spark, files).where("line > 0 AND value <> ''")
+    spread = lines.repartition(partitions or spark.sparkContext.defaultParallelism)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BAD]])
-    spread = lines.where("line > 0 AND value <> ''")
-    spread = spread.repartition(partitions or spark.sparkContext.defaultParallelism)
     options = {"sep": sep, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
     parsed = spread.select(
-        F.struct("file", "line").alias(SEQ), F.from_csv("value", schema.simpleString(), options).alias("r")
+        _seq(F.col("file"), F.lit(0), F.col("line")).alias(SEQ), F.from_csv("value", schema.simpleString(), options).alias("r")
     )
     return null_tokens(
         parsed.where(F.col(f"r.{_BAD}").isNull() | (_fields(F.col(f"r.{_BAD}"), sep) <= len(names)))
@@ -164,8 +242,8 @@ def read_any_gzip(spark: SparkSession, path: str, sep: str = ";", partitions: in
 
 def is_gzip(spark: SparkSession, path: str) -> bool:
     """Whether a file starts with the gzip mark."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).open(jpath)
+    fs, jpath = _fs(spark, path)
+    stream = fs.open(jpath)
     try:
         return (stream.read(), stream.read()) == (0x1F, 0x8B)
     finally:
@@ -180,12 +258,9 @@ def read_zarc(spark: SparkSession, folder: str, crops: Sequence[str]) -> DataFra
         path = f"{folder}/zarc_{crop}.csv"
         if not exists(spark, path):
             continue
-        if is_gzip(spark, path):
-            df = read_any_gzip(spark, path)
-            df = df.withColumn(SEQ, _seq(F.col(f"{SEQ}.file"), F.lit(0), F.col(f"{SEQ}.line")))
-        else:
-            df = read_delimited(spark, path, ";", skip_bad_lines=True)
-        frames.append(with_crop(df, F.lit(crop)))
+        frames.append(with_crop(read_any_gzip(spark, path), F.lit(crop)))
+    if not frames:
+        return spark.createDataFrame([], T.StructType([T.StructField("cultura_raw", T.StringType()), T.StructField(SEQ, _SEQ_TYPE)]))
     return union_all(frames)
 
 
@@ -199,8 +274,14 @@ def with_crop(df: DataFrame, fallback: Column) -> DataFrame:
     return df if "cultura_raw" in df.columns else df.withColumn("cultura_raw", fallback)
 
 
+def read_zarc_places(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """A plain risk file for ``zarc_municipios``: only the columns in use are parsed, and
+    what a line holds beyond its header is not looked at."""
+    return read_delimited(spark, path, ";", bad_lines="cut")
+
+
 def zarc_municipios(df: DataFrame) -> DataFrame:
-    """Distinct municipalities of a risk file; only three columns are parsed."""
+    """Distinct municipalities of a risk file."""
     geo = ["cod_municipio_ibge", "municipio", "uf"]
     order = [SEQ] if SEQ in df.columns else None
     if "cod_municipio_ibge" not in df.columns:

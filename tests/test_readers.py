@@ -1,6 +1,8 @@
 import gzip
 import json
 
+import pytest
+
 from agrolume.sources import dimensions, readers
 from agrolume.sources.common import write_bronze
 
@@ -119,3 +121,47 @@ def test_weather_and_coordinates(spark, tmp_path):
     ]
     (tmp_path / "coords.csv").write_text("codigo_ibge,nome,latitude,longitude\n1200013,A,-9.8,x\n")
     assert tuple(readers.read_coords(spark, str(tmp_path / "coords.csv")).first()) == ("1200013", -9.8, None)
+
+
+def test_line_ends_and_quoted_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'NR_REGISTRO;MARCA;praga_comum\r\n1;"A\nB";x\r\n2;C;y\r\n')
+    df = readers.read_agrofit(spark, str(tmp_path / "a.csv"))
+    assert df.columns[:3] == ["NR_REGISTRO", "MARCA", "praga_comum"]
+    assert values(df, "NR_REGISTRO", "MARCA", "praga_comum") == [("1", "A\nB", "x"), ("2", "C", "y")]
+    (tmp_path / "b.csv").write_bytes(b"a;b\r\n1;2\r\n")
+    assert values(readers.read_delimited(spark, str(tmp_path / "b.csv"), ";"), "a", "b") == [("1", "2")]
+
+
+def test_each_file_by_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a;b\n1;2\n")
+    (tmp_path / "b.csv").write_text("\ufeffb;a;c\n3;4;5\n")
+    (tmp_path / "c.csv").write_text("")
+    df = readers.read_delimited(spark, str(tmp_path), ";")
+    assert {(r.a, r.b, r.c) for r in df.collect()} == {("1", "2", None), ("4", "3", "5")}
+
+
+def test_overlong_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a|b\n1|2\n3|4|5\n"6|"|7\n')
+    path = str(tmp_path / "a.csv")
+    with pytest.raises(Exception, match="more fields"):
+        readers.read_delimited(spark, path, "|").collect()
+    assert values(readers.read_delimited(spark, path, "|", bad_lines="skip"), "a", "b") == [("1", "2"), ("6|", "7")]
+    assert values(readers.read_delimited(spark, path, "|", bad_lines="cut"), "a", "b")[1] == ("3", "4")
+    assert [r.n for r in readers.bad_lines_of(spark, path, "|").collect()] == [1]
+
+
+def test_places_parse_three_columns(spark, tmp_path):
+    (tmp_path / "z.csv").write_text("cod_municipio_ibge;municipio;uf;dec1;dec2\n1;A;AC;x;y\n")
+    df = readers.zarc_municipios(readers.read_zarc_places(spark, str(tmp_path / "z.csv")))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<cod_municipio_ibge:string,municipio:string,uf:string>" in plan
+    assert [tuple(r) for r in df.collect()] == [("1", "A", "AC")]
+
+
+def test_folder_of_plain_and_packed_files(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("a;b\n1;2\n")
+    (tmp_path / "q.txt").write_bytes(gzip.compress(b"b;a\r\n3;4\r\n"))
+    (tmp_path / "r.gz").write_bytes(gzip.compress(b"a;b\n5;6\n"))
+    df = readers.read_any_gzip(spark, str(tmp_path))
+    assert {(r.a, r.b) for r in df.collect()} == {("1", "2"), ("4", "3"), ("5", "6")}
+    assert readers.read_zarc(spark, str(tmp_path), ["soja"]).count() == 0
