@@ -5,7 +5,7 @@ The test tables hold orders and parts, not harvests; ``views`` reshapes them int
 the raw files and the star schema this package works on.
 """
 
-from agrolume.checks import jobs, operators, questions, stored, values
+from agrolume.checks import files, jobs, operators, questions, stored, values
 from agrolume.checks.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "jobs", "operators", "questions", "stored", "values"]
+__all__ = ["ORACLE", "QUERIES", "files", "jobs", "operators", "questions", "stored", "values"]

@@ -90,7 +90,8 @@ def job_cultivares(spark, folder):
     count(*) FILTER (p_type = 'ECONOMY') AS b, count(*) FILTER (p_size % 31 >= 29) AS c,
     count(*) FILTER (p_size % 4 IN (0, 3)) AS d FROM part),
     LATERAL (VALUES ('rows_in', a), ('accents_corrected', b), ('dates_unparsed', c), ('rows_out', a),
-        ('secondary_names', d), ('missing_nr_registro', 0)) AS m(metric, value)"""
+        ('secondary_names', d), ('missing_nr_registro', 0), ('validity_unparsed', 0),
+        ('duplicates_removed', 0)) AS m(metric, value)"""
 )
 def job_cultivares_metrics(spark, folder):
     # Every raw row differs in its form number, brand or registry number.

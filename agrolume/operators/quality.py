@@ -69,8 +69,20 @@ def load_totals(loads: dict[str, DataFrame]) -> DataFrame:
 
 
 def fresh_files(spark: SparkSession, path: str | list[str], days: int = FRESH_DAYS, now: datetime | None = None) -> DataFrame:
-    """(path, modified, fresh) per file; reads the listing only, never contents."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    clock = F.lit(now).cast("timestamp") if now else F.current_timestamp()
-    age = clock - F.expr(f"interval {days} days")
-    return files.select("path", F.col("modificationTime").alias("modified"), (F.col("modificationTime") >= age).alias("fresh"))
+    """(path, modified, fresh) per file; reads the listing only, never contents.
+
+    A path that is not there is no stale file: it comes with a null ``modified`` and
+    counts as fresh.
+    """
+    paths = [path] if isinstance(path, str) else path
+    jpaths = {p: spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths}
+    absent = [p for p, j in jpaths.items() if not j.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(j)]
+    out = spark.createDataFrame([(p, None, True) for p in absent], "path string, modified timestamp, fresh boolean")
+    there = [p for p in paths if p not in absent]
+    if there:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(there)
+        clock = F.lit(now).cast("timestamp") if now else F.current_timestamp()
+        age = clock - F.expr(f"interval {days} days")
+        found = files.select("path", F.col("modificationTime").alias("modified"), (F.col("modificationTime") >= age).alias("fresh"))
+        out = found.union(out) if absent else found
+    return out

@@ -16,9 +16,13 @@ from pyspark.sql import functions as F
 Star = Mapping[str, DataFrame]
 
 
-def star(tables: Mapping) -> dict[str, DataFrame]:
-    """The latest state of every stored table."""
-    return {name: table.read() for name, table in tables.items()}
+def star(tables: Mapping, parts: Mapping[str, list] | None = None) -> dict[str, DataFrame]:
+    """The latest state of every stored table.
+
+    ``parts`` names the storage partitions a question needs, by table: with
+    ``{"fato_meteorologia": [2024]}`` no other year is even listed.
+    """
+    return {name: table.read(parts=(parts or {}).get(name)) for name, table in tables.items()}
 
 
 def one(df: DataFrame, what: str) -> Row:

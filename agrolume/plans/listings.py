@@ -136,8 +136,9 @@ def list_zarc(
     dim = _filtered(t["dim_municipio"], codigo_ibge=codigo_ibge)
     dim = dim.select("id_municipio", F.col("nome").alias("municipio"), "uf")
     rows = fact.join(_filtered(crops(t), cultura=_lower(cultura)), "id_cultura").join(dim, "id_municipio")
-    out = rows.select("periodo_plantio", "tipo_solo", "risco_climatico", "cultura", "municipio", "uf")
-    return _page(out, ["cultura", "municipio", "uf", "tipo_solo", "periodo_plantio"], page, page_size)
+    out = rows.select("periodo_plantio", "tipo_solo", "risco_climatico", "cultura", "municipio", "uf", "id_zarc")
+    order = ["cultura", "municipio", "uf", "tipo_solo", "periodo_plantio", "id_zarc"]
+    return _page(out, order, page, page_size).drop("id_zarc")
 
 
 def list_culturas(t: Star, page: int | None = 1, page_size: int = 20) -> DataFrame:

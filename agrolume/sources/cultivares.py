@@ -56,17 +56,21 @@ def fact(cleaned: DataFrame, culturas: DataFrame, mantenedores: DataFrame) -> Da
 
 
 def metrics(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """Rows in and out, corrected accents, secondary names, missing numbers."""
+    """Rows in and out and their difference, corrected accents, secondary names, missing
+    numbers, dates that could not be read."""
     common = clean_text("`NOME COMUM`")
+    unread = {"DATA DO REGISTRO": "dates_unparsed", "DATA DE VALIDADE DO REGISTRO": "validity_unparsed"}
     before = dq_metrics(
         raw,
         "cultivares",
         {
             "rows_in": F.count("*"),
             "accents_corrected": F.count_if(replace_values(common) != common),
-            "dates_unparsed": F.count_if(
-                F.col("`DATA DO REGISTRO`").isNotNull() & parse_date("`DATA DO REGISTRO`").isNull()
-            ),
+            **{
+                name: F.count_if(F.col(f"`{c}`").isNotNull() & parse_date(f"`{c}`").isNull())
+                for c, name in unread.items()
+                if c in raw.columns
+            },
         },
     )
     after = dq_metrics(
@@ -78,7 +82,10 @@ def metrics(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
             "missing_nr_registro": null_count("nr_registro"),
         },
     )
-    return before.unionByName(after)
+    both = before.unionByName(after)
+    signed = F.when(F.col("metric") == "rows_in", F.col("value")).when(F.col("metric") == "rows_out", -F.col("value"))
+    removed = both.groupBy("source").agg(F.sum(signed).alias("value"))
+    return both.unionByName(removed.select("source", F.lit("duplicates_removed").alias("metric"), "value"))
 
 
 def load(raw: DataFrame, tables: dict) -> dict[str, int]:
