@@ -106,7 +106,8 @@ def dropped_lines(
     runs = Runs(spark, folder, least_docs, fanout, dict(docs.dtypes)["doc_id"])
     for number in range(len(cuts or []) + 1):
         runs.add_batch(kept.where(F.col("batch") == number))
-    settled = summed(runs.all()).where(F.col("docs") >= least_docs)
+    # Stored first, so that both sides of the join are plain and a hot key can be split.
+    settled = stored(summed(runs.all()).where(F.col("docs") >= least_docs), "settled")
     hit = kept.join(settled.hint("merge"), KEY).where(~F.col("doc").eqNullSafe(F.col("top")))
     return hit.groupBy("doc", "row").agg(F.collect_set("at").alias("drops"))
 
