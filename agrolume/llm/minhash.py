@@ -138,7 +138,9 @@ def _listed(members: DataFrame, needed: Column, held: Column) -> DataFrame:
     ``needed`` of the ``held`` values are in common with any linked document; ``at`` is
     the place of the value, rarest first.
     """
-    often = members.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
+    # Counts are stored before they are joined, here and below: then both sides of the
+    # join are plain, and a value that very many documents hold can be split.
+    often = stored(members.groupBy("value").agg(F.count("*").alias("often")).where("often > 1"), "often")
     common = members.join(often, "value")
     mine = Window.partitionBy("id")
     order = mine.orderBy("often", "value")
@@ -153,7 +155,7 @@ def _listed(members: DataFrame, needed: Column, held: Column) -> DataFrame:
 
 def _crossed(lists: DataFrame, positional: bool) -> DataFrame:
     """Pairs u, v of different components that meet in a list, each list in blocks."""
-    blocks = lists.groupBy("value").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    blocks = stored(lists.groupBy("value").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
     sized = lists.join(blocks, "value")
     left = sized.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     right = sized.select(
@@ -208,7 +210,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # A star in every list.
     centre = lists.groupBy("value").agg(F.max(F.struct("central", -F.col("id"), "n")).alias("best"))
     star = (
-        lists.join(centre.select("value", (-F.col("best.col2")).alias("v"), F.col("best.n").alias("nv")), "value")
+        lists.join(stored(centre.select("value", (-F.col("best.col2")).alias("v"), F.col("best.n").alias("nv")), "centres"), "value")
         .where((F.col("id") != F.col("v")) & _alike(F.col("n"), F.col("nv")))
         .select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v"))
         .distinct()
@@ -224,7 +226,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     mixed = lists.join(roots, lists["id"] == roots["node"], "left").groupBy("value").agg(
         F.min(F.coalesce("root", "id")).alias("low"), F.max(F.coalesce("root", "id")).alias("high"), F.count("*").alias("long")
     )
-    open_lists = stored(rooted.join(mixed.where("low <> high").select("value", "long"), "value"), "open")
+    open_values = stored(mixed.where("low <> high").select("value", "long"), "open-values")
+    open_lists = stored(rooted.join(open_values, "value"), "open")
     short = _crossed(open_lists.where(F.col("long") <= HOT), positional=False)
     hot_ids = stored(open_lists.where(F.col("long") > HOT).select("id", "root").distinct(), "hot")
     hot_sets = full_sets(docs, hot_ids.select("id")).join(hot_ids, "id")
