@@ -37,8 +37,6 @@ AROUND = 80
 CONTEXTS = 3
 DISCLOSES, REMOVES = 0.8, 0.95
 TERM = r"\p{L}{3,}"
-#: Candidate words up to this number are broadcast (some 16 MB), more are joined to counted words.
-BROADCAST_TERMS = 500_000
 
 
 def luhn(digits: Column) -> Column:
@@ -101,25 +99,21 @@ def _whole_words(context: Column) -> Column:
 
 def disclosing(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """entity, term, share: the words that give an entity away."""
-    # Entities of one document meet no word in several surroundings.
-    named = spans.select("doc", "row", _entity(F.col("kind"), F.col("value")).alias("entity"), "before", "after")
-    known = named.groupBy("entity").agg(F.count_distinct("row").alias("n_entity")).where(F.col("n_entity") >= CONTEXTS)
+    # Entities of fewer documents meet no word in several surroundings.
+    named = spans.select(F.struct("doc", "row").alias("document"), _entity(F.col("kind"), F.col("value")).alias("entity"), "before", "after")
+    known = named.groupBy("entity").agg(F.count_distinct("document").alias("n_entity")).where(F.col("n_entity") >= CONTEXTS)
     near = named.join(known, "entity").select(
-        "entity", "n_entity", "row", F.xxhash64("before", "after").alias("context"), F.explode(F.array_union(_whole_words(F.col("before")), _whole_words(F.col("after")))).alias("term")
+        "entity", "n_entity", "document", F.xxhash64("before", "after").alias("context"), F.explode(F.array_union(_whole_words(F.col("before")), _whole_words(F.col("after")))).alias("term")
     )
     met = near.groupBy("entity", "term").agg(
-        F.count_distinct("context").alias("contexts"), F.count_distinct("row").alias("n_both"), F.max("n_entity").alias("n_entity")
+        F.count_distinct("context").alias("contexts"), F.count_distinct("document").alias("n_both"), F.max("n_entity").alias("n_entity")
     )
     candidates = stored(met.where(F.col("contexts") >= CONTEXTS), "candidates")
-    terms = candidates.select("term").distinct()
-    text = F.coalesce("text", F.lit(""))
-    distinct_docs = docs.select(text.alias("text"), F.explode(F.array_distinct(_whole_words(text))).alias("term"))
-    if terms.count() <= BROADCAST_TERMS:
-        often = distinct_docs.join(F.broadcast(terms), "term").select("term", F.xxhash64("text").alias("row")).distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    else:
-        often = distinct_docs.select("term", F.xxhash64("text").alias("row")).distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    every = docs.agg(F.approx_count_distinct(F.xxhash64(text), 0.01).alias("n_all"))
-    counted = candidates.join(often, "term").join(F.broadcast(every))  # one row: the number of texts
+    # All words are counted, each task's first by itself, and only the counts are joined.
+    words = docs.select(F.explode(F.array_distinct(_whole_words(F.coalesce("text", F.lit(""))))).alias("term"))
+    often = words.groupBy("term").agg(F.count("*").alias("n_term"))
+    every = docs.agg(F.count("*").alias("n_all"))
+    counted = candidates.join(often, "term").join(F.broadcast(every))  # one row: the number of documents
     information = F.log(F.col("n_all") / F.col("n_entity"))
     told = F.log(F.col("n_all") * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
     return counted.where("n_all > n_entity").select("entity", "term", (told / information).alias("share")).where(F.col("share") >= DISCLOSES)
