@@ -357,3 +357,14 @@ def dim_municipio(spark, folder):
         "concat(lpad(cast(user_id as string), 7, '0'), '.0') AS cod_municipio_ibge", "event_type AS municipio", "' am ' AS uf"
     )
     return dimensions.municipio_rows(pam, risk)
+
+
+@query(
+    """SELECT p_brand, p_partkey, p_size FROM part WHERE (p_brand, p_partkey) > (SELECT (p_brand, p_partkey) FROM part
+    ORDER BY p_brand, p_partkey LIMIT 1 OFFSET 99) ORDER BY p_brand, p_partkey LIMIT 50"""
+)
+def page_after(spark, folder):
+    """The page that follows the hundredth row, by its key."""
+    part, order = Tables(spark, folder).part, ["p_brand", "p_partkey"]
+    last = ranking.page_after(part, order, page_size=100).orderBy(F.desc("p_brand"), F.desc("p_partkey")).first()
+    return ranking.page_after(part, order, [last[c] for c in order], 50).select("p_brand", "p_partkey", "p_size")

@@ -50,6 +50,18 @@ def paginate(df: DataFrame, order: Sequence[str], page: int = 1, page_size: int
     return df.orderBy(*order).offset((page - 1) * page_size).limit(page_size)
 
 
+def page_after(df: DataFrame, order: Sequence[str], after: Sequence | None = None, page_size: int = 20) -> DataFrame:
+    """The page that follows a row, given by its values of the unique key ``order``.
+
+    Unlike a page far down by number, no task keeps the pages before it, and the
+    condition reaches the scan's rows first.  None starts at the top; null comes first.
+    """
+    if after is not None:
+        last = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, after, strict=True)])
+        df = df.where(F.struct(*order) > last)
+    return df.orderBy(*order).limit(page_size)
+
+
 def page_envelope(df: DataFrame, page: int = 1, page_size: int = 20) -> DataFrame:
     """Total rows and pages beside a page."""
     pages = F.ceil(F.col("total") / page_size) if page_size > 0 else F.lit(0)

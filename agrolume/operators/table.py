@@ -95,8 +95,13 @@ class StoredTable:
         return Commit(version=known[-1] if known else 0)
 
     def _stored_commit(self, version: int) -> Commit:
-        lines = self.spark.read.text(f"{self.root}/commits/{version:08d}.json", wholetext=True).collect()
-        return Commit(**json.loads(lines[0][0] if lines else ""))
+        fs, path = self._fs(f"{self.root}/commits/{version:08d}.json")
+        stream = fs.open(path)
+        try:
+            java = self.spark._jvm.java.io
+            return Commit(**json.loads(java.BufferedReader(java.InputStreamReader(stream, "UTF-8")).readLine() or ""))
+        finally:
+            stream.close()
 
     def _publish(self, commit: Commit) -> None:
         """Create the commit file; the file system refuses if there is one already."""

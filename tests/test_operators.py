@@ -102,3 +102,12 @@ def test_conform(rows):
     df = rows([{"id_cultura": "4.0", "uf": "MT", "ano": "x", "outra": "1"}])
     got = schema.PRECOS_MENSAL.conform(df).first().asDict()
     assert (got["id_cultura"], got["ano"], got["valor_kg"], "outra" in got) == (4, None, None, False)
+
+
+def test_pages_after_a_row(rows):
+    df = rows([(None, 1), (None, 2), ("a", 1), ("a", 3), ("b", 2)], "k string, i int")
+    got, last = [], None
+    while page := ranking.page_after(df, ["k", "i"], last, 2).collect():
+        last = tuple(page[-1])
+        got += map(tuple, page)
+    assert got == [(None, 1), (None, 2), ("a", 1), ("a", 3), ("b", 2)]
