@@ -7,7 +7,8 @@ priority queue by inner product with their centres and takes the best first; how
 leaves it visits is widened until ``TARGET`` of the true neighbours of ``PROBES`` probe
 queries, found by brute force over all rows, lie in the visited leaves.
 
-Queries and rows meet by leaf.  A leaf with many rows or queries is split into blocks,
+Queries and rows meet by leaf, the first visits before the others: the k-th score they
+find is a floor below which no later leaf answers.  A leaf with many rows or queries is split into blocks,
 so a vector that is very common costs many tasks, not one long one.  Scores are
 inner products of the original vectors in double precision.
 
@@ -33,7 +34,9 @@ from agrolume.llm.vectors import best, matrix, nearest, usable
 
 SAMPLE, BRANCHES, LEAF = 20_000, 8, 64
 ROUNDS = 12
-PROBES, TARGET = 64, 0.97
+PROBES, TARGET = 64, 0.95
+#: One visit in so many goes first; the k-th score it finds is the floor of the others.
+FIRST = 8
 ROWS_PER_BLOCK, QUERIES_PER_BLOCK = 4_096, 1_024
 SCHEMA = "query_id long, vec_id long, score double"
 
@@ -110,18 +113,30 @@ def exact_scores(points: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (points * query).sum(axis=1)
 
 
-def answers(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """ids and scores of the k best of ``points`` for each query."""
+def answers(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, floors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of queries, places of points and scores: the k best of ``points`` for each
+    query, other than the row of its ``own`` id and not below its floor."""
     rough = queries @ points.T
-    out = []
-    for i, query in enumerate(queries):
-        row = np.where(ids == own[i], -np.inf, rough[i])
-        floor = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else -np.inf
-        near = np.flatnonzero((row >= floor - 1e-9 * (1 + abs(floor))) & (ids != own[i])) if np.isfinite(floor) else np.flatnonzero(ids != own[i])
-        scores = exact_scores(points[near], query)
-        top = best(scores, ids[near], k)
-        out.append((ids[near][top], scores[top]))
-    return out
+    rough[own[:, None] == ids[None, :]] = -np.inf
+    if len(ids) > k:
+        floors = np.maximum(floors, np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k])
+    low = np.where(np.isfinite(floors), floors - 1e-9 * (1 + np.abs(floors)), floors)
+    near = (rough >= low[:, None]) & np.isfinite(rough)
+    counts = near.sum(axis=1)
+    found = []
+    few = np.flatnonzero((counts > 0) & (counts <= 4 * k))
+    at, place = np.nonzero(near[few])
+    scores = exact_scores(points[place], queries[few[at]])
+    order = np.lexsort((ids[place], -scores, at))
+    turn = np.arange(len(order)) - np.searchsorted(at[order], at[order])
+    order = order[turn < k]
+    found.append((few[at[order]], place[order], scores[order]))
+    for i in np.flatnonzero(counts > 4 * k):  # very many equal vectors
+        place = np.flatnonzero(near[i])
+        scores = exact_scores(points[place], queries[i])
+        top = best(scores, ids[place], k)
+        found.append((np.full(len(top), i), place[top], scores[top]))
+    return tuple(map(np.concatenate, zip(*found)))
 
 
 class Index:
@@ -166,10 +181,10 @@ class Index:
                     continue
                 ids = batch.column(0).to_numpy(zero_copy_only=False)
                 points = np.array(batch.column(1).to_pylist(), np.float64)
-                leaf = dict(zip(ids.tolist(), batch.column(2).to_pylist()))
-                for q, (kept, scores) in zip(own, answers(points, ids, asked, own, k)):
-                    columns = [pa.array([int(q)] * len(kept), pa.int64()), pa.array(kept, pa.int64()), pa.array(scores, pa.float64()), pa.array([leaf[i] for i in kept.tolist()], pa.int32())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score", "leaf"])
+                leaves = batch.column(2).to_numpy(zero_copy_only=False)
+                at, place, scores = answers(points, ids, asked, own, np.full(len(own), -np.inf), k)
+                columns = [pa.array(own[at], pa.int64()), pa.array(ids[place], pa.int64()), pa.array(scores, pa.float64()), pa.array(leaves[place], pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score", "leaf"])
 
         found = self.indexed.mapInArrow(part, f"{SCHEMA}, leaf int")
         leaves = {(r["query_id"], r["vec_id"]): r["leaf"] for r in nearest_with_leaf(found, k).collect()}  # probes * k rows
@@ -193,7 +208,18 @@ class Index:
                 leaves = [shared.value.visits(np.array(v), most) for v in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.int32()))], names=["query_id", "q", "leaves"])
 
-        asked = stored(queries.mapInArrow(visiting, "query_id long, q array<double>, leaves array<int>"), "asked").withColumn("leaf", F.explode("leaves")).drop("leaves")
+        asked = stored(queries.mapInArrow(visiting, "query_id long, q array<double>, leaves array<int>"), "asked")
+        asked = asked.select("query_id", "q", F.posexplode("leaves").alias("turn", "leaf"))
+        first = -(-most // FIRST)
+        found = stored(self._meet(asked.where(F.col("turn") < first).withColumn("floor", F.lit(float("-inf"))), k), "first")
+        if most > first:
+            lowest = nearest(found, k).groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("floor"))
+            rest = asked.where(F.col("turn") >= first).join(lowest.where(F.col("n") >= k).drop("n"), "query_id", "left")
+            found = found.union(self._meet(rest.withColumn("floor", F.coalesce("floor", F.lit(float("-inf")))), k))
+        return nearest(found, k)
+
+    def _meet(self, asked: DataFrame, k: int) -> DataFrame:
+        """Partial answers of queries (query_id, q, leaf, floor) in their leaves."""
         sizes = self.indexed.groupBy("leaf").agg(F.ceil(F.count("*") / ROWS_PER_BLOCK).cast("int").alias("blocks"))
         loads = asked.groupBy("leaf").agg(F.ceil(F.count("*") / QUERIES_PER_BLOCK).cast("int").alias("parts"))
         deal = sizes.join(loads, "leaf")  # one row per leaf: the tree is of bounded size
@@ -201,20 +227,18 @@ class Index:
             "leaf", "vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
         )
         sent = asked.join(F.broadcast(deal), "leaf").select(
-            "leaf", "query_id", "q", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int").alias("part")
+            "leaf", "query_id", "q", "floor", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int").alias("part")
         )
 
         def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if left.empty or right.empty:
                 return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-            own = right["query_id"].to_numpy()
-            found = answers(matrix(left["v"]), left["vec_id"].to_numpy(), matrix(right["q"]), own, k)
-            parts = [pd.DataFrame({"query_id": q, "vec_id": ids, "score": scores}) for q, (ids, scores) in zip(own, found)]
-            return pd.concat(parts)
+            own, ids = right["query_id"].to_numpy(), left["vec_id"].to_numpy()
+            at, place, scores = answers(matrix(left["v"]), ids, matrix(right["q"]), own, right["floor"].to_numpy(), k)
+            return pd.DataFrame({"query_id": own[at], "vec_id": ids[place], "score": scores})
 
         keys = ["leaf", "block", "part"]
-        partial = rows.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInPandas(meet, SCHEMA)
-        return nearest(partial, k)
+        return rows.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInPandas(meet, SCHEMA)
 
 
 def nearest_with_leaf(found: DataFrame, k: int) -> DataFrame:
