@@ -54,33 +54,37 @@ ESCAPED_APOSTROPHE = r"\\+'"
 # White space at the ends of a field; folding turns the typographic spaces into these.
 WHITESPACE = "".join(c for c in map(chr, range(256)) if c.isspace())
 
-# Scripts and symbol blocks whose letters are folded.
-_FOLDED_BLOCKS = (
-    (0x00A0, 0x052F), (0x1AB0, 0x1AFF), (0x1DC0, 0x218B), (0xFB00, 0xFB06),
-    (0x3000, 0x3000), (0xFE20, 0xFE2F), (0xFF01, 0xFFEE),
-)
+# Hangul syllables decompose by rule into 11,172 sequences; they stay as they are.
+_HANGUL = range(0xAC00, 0xD7A4)
 
 
 @lru_cache(maxsize=1)
-def _fold_tables() -> tuple[str, str, dict[str, str]]:
-    """(from, to, expansions) for compatibility decomposition without marks.
+def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
+    """(from, to, expansions) for compatibility decomposition without marks, over all of Unicode.
 
-    Characters that become one character, and marks that vanish, go through a
-    single ``translate``; of those that expand (``½``, ``ﬁ``) the Latin letters,
-    fractions and ligatures are replaced one by one.
+    Characters that become one character, and marks that vanish, go through a single
+    ``translate``.  Those that expand (``½``, ``ﬁ``, ``㎏``) come longest first, so that
+    the n-th characters of the expansions make one ``translate`` each.
     """
     one, marks, many = {}, [], {}
-    for lo, hi in _FOLDED_BLOCKS:
-        for ch in map(chr, range(lo, hi + 1)):
-            if unicodedata.combining(ch):
-                marks.append(ch)
-                continue
-            base = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
-            if len(base) > 1 and (ord(ch) < 0x0250 or ord(ch) >= 0xFB00 or ch in "…™№"):
-                many[ch] = base
-            elif len(base) == 1 and base != ch:
-                one[ch] = base
-    return "".join(one) + "".join(marks), "".join(one.values()), many
+    for code in range(0xA0, 0x110000):
+        if 0xD800 <= code < 0xE000 or code in _HANGUL:
+            continue
+        ch = chr(code)
+        if unicodedata.combining(ch):
+            marks.append(ch)
+            continue
+        flat = unicodedata.normalize("NFKD", ch)
+        if flat == ch:
+            continue
+        base = "".join(x for x in flat if not unicodedata.combining(x))
+        if len(base) == 1 and base != ch:
+            one[ch] = base
+        elif len(base) > 1:
+            many[ch] = base
+        elif not base:
+            marks.append(ch)
+    return "".join(one) + "".join(marks), "".join(one.values()), sorted(many.items(), key=lambda x: (-len(x[1]), x[0]))
 
 
 def as_col(c: str | Column) -> Column:
@@ -94,11 +98,19 @@ def strip(c: str | Column) -> Column:
 
 def _unaccent(c: Column) -> Column:
     src, dst, many = _fold_tables()
-    long = c
-    for ch, base in many.items():
-        long = F.replace(long, F.lit(ch), F.lit(base))
+    wide = "".join(ch for ch, _ in many)
+    nth = ["".join(base[n] for _, base in many if len(base) > n) for n in range(len(many[0][1]))]
+    expanded = F.array_join(
+        F.transform(
+            F.split(c, ""),
+            lambda ch: F.when(
+                F.contains(F.lit(wide), ch) & (ch != ""), F.concat(*[F.translate(ch, wide, own) for own in nth])
+            ).otherwise(ch),
+        ),
+        "",
+    )
     # Few texts hold a character that becomes several: one look tells.
-    flat = F.when(c.rlike(f"[{''.join(many)}]"), long).otherwise(c)
+    flat = F.when(c.rlike(f"[{wide}]"), expanded).otherwise(c)
     # Plain ASCII, told by its length in bytes, has nothing to fold.
     return F.when(F.octet_length(c) > F.length(c), F.translate(flat, src, dst)).otherwise(c)
 

@@ -25,6 +25,13 @@ def test_fold(rows):
     assert apply(rows, A.fold_crop("v"), ["Cana-de_Açúcar "]) == ["cana de acucar"]
 
 
+def test_fold_over_all_blocks(rows):
+    """Every fifth character that decomposes, of every block but Hangul."""
+    wide = [c for c in map(chr, range(0xA0, 0x110000)) if not 0xD800 <= ord(c) < 0xE000 and not 0xAC00 <= ord(c) < 0xD7A4]
+    values = [f"A{c} b" for c in wide if unicodedata.normalize("NFKD", c) != c or unicodedata.combining(c)][::5]
+    assert apply(rows, A.fold("v"), values) == [plain_fold(v) for v in values]
+
+
 def test_clean_text(rows):
     values = ["  'a' ", '"b"', "<b>x</b>", r"d\\'agua", "''", " <" + "y" * 31 + ">", None, "'a\"", "'a'b"]
     want = ["a", "b", "x", "d'agua", None, "<" + "y" * 31 + ">", None, "a", "'a'b"]
