@@ -19,6 +19,7 @@ HEADLINE = (
     "list_pam", "list_agrofit", "risk_mode", "top_pests",
     "fold_text", "clean_html", "to_number", "dedupe_last", "pivot_variables", "unpivot_dec", "resolve_cultura",
     "job_pam", "job_zarc", "job_precos_mensal", "job_sementes_producao", "upsert_merge",
+    "resolve_cultura_by_words", "auditoria_stored", "list_pam_stored", "list_zarc_stored", "read_any_gzip",
 )
 RUNS = 3
 
