@@ -29,6 +29,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agrolume.llm.common import sliced
+
 CHUNK, OVERLAP = 16_384, 512
 CACHED_PIECES = 250_000
 #: Above every rank.
@@ -162,12 +164,12 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(ranks, pattern)
-        for batch in batches:
+        for batch in sliced(batches):
             ids = [encoder.ids(encoder.find.findall(text)) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids, pa.int32())], names=["doc", "ids"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for i, text in enumerate(batch.column(2).to_pylist()):
                 for number, (start, window) in enumerate(windows(text)):
                     columns = [batch.column(0)[i : i + 1], batch.column(1)[i : i + 1], pa.array([number]), pa.array([start]), pa.array([window])]
@@ -175,7 +177,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(ranks, pattern)
-        for batch in batches:
+        for batch in sliced(batches):
             starts, counts, ids, ends = [], [], [], []
             for start, text in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
                 found = encoder.find.findall(text)
@@ -216,7 +218,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {rank: data for data, rank in ranks.value.items()}.__getitem__
-        for batch in batches:
+        for batch in sliced(batches):
             lists = batch.column(place)
             values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
             decoded = [b"".join(map(token, values[a:b].tolist())) for a, b in zip(offsets, offsets[1:])]

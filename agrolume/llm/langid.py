@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from agrolume.llm.common import stored
+from agrolume.llm.common import sliced, stored
 
 #: Labelled documents per language that are counted; the model does not grow with the table.
 SAMPLE = 1500
@@ -49,7 +49,7 @@ def grams(word: str, n: int) -> list[str]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         langs, words, counts = [], [], []
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             found = Counter(map(letters, (text or "").lower().split()))
@@ -152,7 +152,7 @@ def identify(docs: DataFrame, tables: Tables) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Known(shared.value)
-        for batch in batches:
+        for batch in sliced(batches):
             found = [predict(text, known) for text in batch.column(1).to_pylist()]
             langs, scores = pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column(0), langs, scores], names=["doc", "lang_pred", "score"])

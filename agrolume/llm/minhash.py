@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agrolume.llm.common import stored
+from agrolume.llm.common import sliced, stored
 from agrolume.llm.components import components
 
 WORDS = 5
@@ -84,7 +84,7 @@ def shingle_hashes(text: bytes | None, ids: dict) -> np.ndarray:
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ids = _WordIds()
-    for batch in batches:
+    for batch in sliced(batches):
         sizes, keys1, keys2, kept = [], [], [], []
         for text in batch.column(1):
             hashes = shingle_hashes(text.as_py(), ids)
@@ -101,7 +101,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ids = _WordIds()
-    for batch in batches:
+    for batch in sliced(batches):
         sets = [shingle_hashes(text.as_py(), ids) for text in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "hashes"])
 

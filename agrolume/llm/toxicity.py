@@ -29,14 +29,14 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agrolume.llm.common import stored
+from agrolume.llm.common import sliced, stored
 
 #: Labelled rows used of each label; the model does not grow with the table.
 SAMPLE = 4000
 TERMS = 2000
 WINDOW, NEAR = 50, 5
 TREES, DEPTH = 15, 3
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 #: Lexicon terms: this log ratio or more between toxic and other texts.
 LEAST_RATIO = 2.0
 
@@ -128,7 +128,7 @@ def features(text: str | None, words: Words, weights: np.ndarray) -> list[float]
 
 
 def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         names, toxic = [], []
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             found = set()
@@ -177,7 +177,7 @@ def featured(docs: DataFrame, terms: list[tuple[str, float]]) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words({name: i + 1 for i, (name, _) in enumerate(shared.value)})
         weights = np.array([0.0, *(w for _, w in shared.value)])
-        for batch in batches:
+        for batch in sliced(batches):
             x = [features(text, words, weights) for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(x, pa.list_(pa.float64()))], names=[*columns, "x"])
 

@@ -21,8 +21,13 @@ TOXIC = 0.3
 def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxic documents go; the model learns from the labels beside the documents."""
     model = toxic_scores(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    rows = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    return model.score(rows).where(F.col("score") < TOXIC).select("doc.row.*")
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    scored = model.score(docs.select("doc_id", "text", key.alias("key")))
+    toxic = scored.where(F.col("score") >= TOXIC).select(F.col("doc.doc_id").alias("id"), "doc.key").distinct()
+    toxic = stored(toxic, "toxic")  # the texts themselves need not pass through Python and back
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    same = F.col("doc.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce("doc.text", F.lit(""))) == F.col("key"))
+    return rows.join(toxic, same, "left_anti").select("doc.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
