@@ -2,13 +2,17 @@
 
 Emails, IP addresses, card and phone numbers are found by pattern, leftmost and without
 overlap within a kind; what fails its check is dropped.  These are the protected
-entities.  Words that stand near them (``AROUND`` characters on either side) may give
-them away: with document counts over the whole corpus, the information that a word t
-carries about an entity e, PMI(t, e) = log(D n(t, e) / n(t) n(e)), is set against all
-there is to know, IC(e) = log(D / n(e)).  A word whose share PMI / IC reaches
-``DISCLOSES`` and that meets the entity in ``CONTEXTS`` different surroundings becomes a
-span of kind ``term``: it is generalised, or removed from ``REMOVES`` on.  As
-surroundings must differ, copies of one text prove nothing.
+entities.  Words that stand in the same documents may give them away: with document
+counts over the whole corpus, the information that a word t carries about an entity e,
+PMI(t, e) = log(D n(t, e) / n(t) n(e)), is set against all there is to know,
+IC(e) = log(D / n(e)).  A document is a different text: copies are one document in
+every count.  As the share PMI / IC of any chance word of a single document is 1, it is
+smoothed by the evidence: with m surroundings of the entity (``AROUND`` characters on
+either side) that differ among the documents with the word, it is taken
+1 - ``DOUBT`` ** m times.  A word whose share reaches ``DISCLOSES`` becomes a span of
+kind ``term`` wherever it stands in the documents of the entity: it is generalised, or
+removed from ``REMOVES`` on.  Near copies whose entity stands in the same surroundings
+are one observation.
 
 Edges: a null text counts as empty; rows that repeat a doc_id are found each by itself,
 rows that agree in doc_id and text are found once and answered alike; a null doc_id is
@@ -34,7 +38,8 @@ PATTERNS = {
 HINTS = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]"}
 PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 AROUND = 80
-CONTEXTS = 3
+#: Of the share that a word has by one observation, this part is taken for chance; of two, its square.
+DOUBT = 0.25
 DISCLOSES, REMOVES = 0.8, 0.95
 TERM = r"\p{L}{3,}"
 
@@ -93,50 +98,79 @@ def _entity(kind: Column, value: Column) -> Column:
     return F.concat_ws(":", kind, F.when(kind.isin("card", "phone"), F.regexp_replace(value, "[^0-9]", "")).otherwise(F.lower(value)))
 
 
-def _whole_words(context: Column) -> Column:
-    return F.regexp_extract_all(F.lower(context), F.lit(TERM), F.lit(0))
+def _whole_words(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower)
+
+
+def _evidence(observations: Column) -> Column:
+    return 1 - F.pow(F.lit(DOUBT), observations)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(F.col("doc_id").alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+
+
+def _same(doc: str, row: str) -> Column:
+    return F.col("id").eqNullSafe(F.col(doc)) & (F.col("hash") == F.col(row))
+
+
+def word_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """term, n_term: the different texts that hold each word; n_all: the number of different texts.
+
+    All rows are counted, each task's first by itself, then the rows that repeat a text
+    are taken off again, so only texts that repeat are dealt.
+    """
+    texts = _texts(docs)
+    rows = stored(texts.groupBy("id", "hash").agg(F.count("*").alias("n")), "rows")
+    # One row of each text counts; of n rows that agree in doc_id too, n - 1 are taken off.
+    once = rows.groupBy("hash").agg(F.sum("n").alias("copies"), F.min(F.struct("id")).alias("first"))
+    every = once.agg(F.count("*").alias("n_all"))
+    copied = rows.join(once.where("copies > 1"), "hash")
+    spare = copied.select(F.col("id").alias("spare_id"), F.col("hash").alias("spare_hash"), F.when(F.col("id").eqNullSafe(F.col("first.id")), (F.col("n") - 1) / F.col("n")).otherwise(1.0).alias("off"))
+    spare = stored(spare.where("off > 0"), "spare")
+    words = F.explode(F.array_distinct(_whole_words(F.col("text")))).alias("term")
+    counted = texts.select(words).groupBy("term").agg(F.count("*").cast("double").alias("n"))
+    off = texts.join(spare, _same("spare_id", "spare_hash")).select("off", words).groupBy("term").agg((-F.sum("off")).alias("n"))
+    return counted.unionByName(off).groupBy("term").agg(F.round(F.sum("n")).cast("long").alias("n_term")), every
 
 
 def disclosing(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """entity, term, share: the words that give an entity away."""
-    # Entities of fewer documents meet no word in several surroundings.
-    named = spans.select(F.struct("doc", "row").alias("document"), _entity(F.col("kind"), F.col("value")).alias("entity"), "before", "after")
-    known = named.groupBy("entity").agg(F.count_distinct("document").alias("n_entity")).where(F.col("n_entity") >= CONTEXTS)
-    near = named.join(known, "entity").select(
-        "entity", "n_entity", "document", F.xxhash64("before", "after").alias("context"), F.explode(F.array_union(_whole_words(F.col("before")), _whole_words(F.col("after")))).alias("term")
+    named = spans.groupBy("row", _entity(F.col("kind"), F.col("value")).alias("entity")).agg(
+        F.min(F.struct("doc")).alias("first"), F.min(F.xxhash64("before", "after")).alias("context")
     )
-    met = near.groupBy("entity", "term").agg(
-        F.count_distinct("context").alias("contexts"), F.count_distinct("document").alias("n_both"), F.max("n_entity").alias("n_entity")
-    )
-    candidates = stored(met.where(F.col("contexts") >= CONTEXTS), "candidates")
-    # All words are counted, each task's first by itself, and only the counts are joined.
-    words = docs.select(F.explode(F.array_distinct(_whole_words(F.coalesce("text", F.lit(""))))).alias("term"))
-    often = words.groupBy("term").agg(F.count("*").alias("n_term"))
-    every = docs.agg(F.count("*").alias("n_all"))
+    # No word has a higher share than all observations of its entity together allow.
+    known = named.groupBy("entity").agg(F.count("*").alias("n_entity"), F.count_distinct("context").alias("observed"))
+    known = known.where(_evidence(F.col("observed")) >= DISCLOSES).select("entity", "n_entity")
+    holders = stored(named.join(known, "entity").select("entity", "n_entity", "row", F.col("first.doc").alias("doc"), "context"), "holders")
+    held = _texts(docs).join(holders, _same("doc", "row")).select("entity", "n_entity", "row", "context", F.explode(F.array_distinct(_whole_words(F.col("text")))).alias("term"))
+    met = held.groupBy("entity", "term").agg(F.count_distinct("row").alias("n_both"), F.count_distinct("context").alias("observed"), F.max("n_entity").alias("n_entity"))
+    candidates = stored(met.where(_evidence(F.col("observed")) >= DISCLOSES), "candidates")
+    # All words are counted and only the counts are joined.
+    often, every = word_counts(docs)
     counted = candidates.join(often, "term").join(F.broadcast(every))  # one row: the number of documents
     information = F.log(F.col("n_all") / F.col("n_entity"))
     told = F.log(F.col("n_all") * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    return counted.where("n_all > n_entity").select("entity", "term", (told / information).alias("share")).where(F.col("share") >= DISCLOSES)
-
-
-def term_spans(spans: DataFrame, told: DataFrame) -> DataFrame:
-    """doc, row, kind, start, end, share of the disclosing words around their entities."""
-    sides = spans.select(
-        "doc", "row", _entity(F.col("kind"), F.col("value")).alias("entity"),
-        F.explode(F.array(
-            F.struct((F.col("start") - F.char_length("before")).alias("from"), F.col("before").alias("context")),
-            F.struct(F.col("end").alias("from"), F.col("after").alias("context")),
-        )).alias("side"),
-    )
-    words = sides.join(told.groupBy("entity").agg(F.count("*").alias("terms")), "entity", "left_semi").select(
-        "doc", "row", "entity", "side.*", F.posexplode(_whole_words(F.col("side.context"))).alias("at", "term")
-    )
-    hit = words.join(told, ["entity", "term"])
-    # Lower case may change lengths, so places are counted in the context as it is.
-    gaps, found = F.split("context", TERM, -1), F.regexp_extract_all("context", F.lit(TERM), F.lit(0))
-    total = lambda array, n: F.aggregate(F.slice(array, F.lit(1), n), F.lit(0), lambda a, b: a + F.char_length(b))
-    start = F.col("from") + total(gaps, F.col("at") + 1) + total(found, F.col("at"))
-    return hit.select("doc", "row", F.lit("term").alias("kind"), start.alias("start"), (start + F.char_length(F.get(found, F.col("at")))).alias("end"), "share")
+    share = told / information * _evidence(F.col("observed"))
+    return counted.where("n_all > n_entity").select("entity", "term", share.alias("share")).where(F.col("share") >= DISCLOSES)
+
+
+def term_spans(docs: DataFrame, spans: DataFrame, told: DataFrame) -> DataFrame:
+    """doc, row, kind, start, end, share of the disclosing words in the documents of their entities."""
+    told = stored(told, "told")
+    entities = spans.select("doc", "row", _entity(F.col("kind"), F.col("value")).alias("entity")).distinct()
+    entities = stored(entities.join(told.select("entity").distinct(), "entity", "left_semi").select("doc", "row", "entity"), "entities")
+    concerned = _texts(docs).join(entities.select("doc", "row").distinct(), _same("doc", "row"), "left_semi")
+    gaps, found = F.split("text", TERM, -1), F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
+    zipped = F.transform(F.arrays_zip(gaps, found), lambda z: F.struct(F.char_length(z["0"]).alias("gap"), z["1"].alias("word")))
+    words = concerned.select("id", "hash", F.posexplode(zipped).alias("at", "m")).where("m.word is not null").select("id", "hash", "at", "m.*")
+    so_far = Window.partitionBy("id", "hash").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    length = F.char_length("word")
+    end = F.sum(F.col("gap") + length).over(so_far)
+    placed = words.dropDuplicates(["id", "hash", "at"]).select("id", "hash", F.lower("word").alias("term"), (end - length).alias("start"), end.alias("end"))
+    hit = placed.join(told.select("term").distinct(), "term", "left_semi").join(entities, _same("doc", "row")).join(told, ["entity", "term"])
+    return hit.groupBy("doc", "row", F.lit("term").alias("kind"), "start", "end").agg(F.max("share").alias("share"))
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -145,7 +179,7 @@ def find(docs: DataFrame) -> DataFrame:
     Code points, end exclusive.  A term inside a base span is part of that.
     """
     base = stored(base_spans(docs), "spans")
-    terms = term_spans(base, disclosing(docs, base))
+    terms = term_spans(docs, base, disclosing(docs, base))
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
     span = F.struct("start", order.alias("order"), "end", "kind", "share")
     every = base.select("doc", "row", "kind", "start", "end", F.lit(None).cast("double").alias("share")).unionByName(terms)

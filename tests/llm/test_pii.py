@@ -70,3 +70,31 @@ def test_terms_that_disclose(spark):
         assert "Zephyrine" not in got[i].clean and "[email]" in got[i].clean
     assert all(s.kind != "term" for i in got if i >= 10 for s in got[i].spans)
     assert got[900].clean == "copied Quixote same [email] words"
+
+
+def terms_of(spark, rows):
+    found = pii.find(spark.createDataFrame(rows, SCHEMA)).select("doc.doc_id", "doc.text", "spans").collect()
+    return {r.doc_id: {r.text[s.start : s.end] for s in r.spans if s.kind == "term"} for r in found}
+
+
+def test_terms_far_from_their_entity_and_of_two_documents(spark):
+    far = "nothing here but padding " * 20
+    word = lambda i: f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x"
+    rows = [(i, f"Zephyrine {word(i)} {far} {word(i + 40)} zoe@corp.example {word(i + 80)} İ {far} zephyrine", None) for i in range(2)]
+    rows += [(10 + i, f"{far} {word(i)}", None) for i in range(200)]
+    # Copies are one document: were the word counted by rows, its share would be too low.
+    rows += [(300 + i, f"Quillon {word(i % 3 + 120)} {far} ann@corp.example {word(i % 3 + 150)}", None) for i in range(60)]
+    rows += [(400 + i, f"Quillon {far} elsewhere", None) for i in range(60)] + [(400, f"Quillon {far} elsewhere", None)]
+    # Near copies that surround their entity alike are one observation.
+    rows += [(500 + i, f"Mirabel {word(i)} {far} same eve@corp.example words {far}", None) for i in range(5)]
+    got = terms_of(spark, rows)
+    assert got[0] == got[1] == {"Zephyrine", "zephyrine"}
+    assert all(got[300 + i] == {"Quillon"} for i in range(60))
+    assert not any(got[i] for i in got if i not in (0, 1, *range(300, 360)))
+
+
+def test_words_are_counted_by_different_texts(spark):
+    rows = [(1, "one two", None), (1, "one two", None), (2, "one two", None), (None, "one two", None), (None, "one two", None), (3, "one three", None), (4, None, None), (5, "", None), (3, "three", None)]
+    counts, every = pii.word_counts(spark.createDataFrame(rows, SCHEMA))
+    assert {r.term: r.n_term for r in counts.collect()} == {"one": 2, "two": 1, "three": 2}
+    assert every.first().n_all == 4
