@@ -3,7 +3,9 @@
 The labelled rows give a bounded sample (``SAMPLE`` of each label, smallest hash of
 doc_id first), dealt by hash to three uses: one half finds the lexicon (words and word
 beginnings that toxic texts hold far more often), a quarter trains the trees, a quarter
-the calibration.  Every text then becomes a few numbers, whatever its length: lexicon
+the calibration.  Trees and calibration weigh each row by the labelled rows it stands
+for, so a score is the share of toxic ones among like texts, however large the table
+and small the sample.  Every text then becomes a few numbers, whatever its length: lexicon
 densities (overall, peak within ``WINDOW`` words, distinct terms), hits near a word of
 address, capitals, punctuation, and obfuscation (letters mixed with digits or signs,
 and hits that only show after undoing this).
@@ -13,7 +15,8 @@ reach the driver.  Every text is scored where it lies, without a shuffle.
 
 Edges: null and empty texts have zeros as features and get a score like any; a label
 row that repeats counts once, toxic if any says so; null labels are ignored; without
-both labels in the sample every score is the share of toxic labels (0 without labels).
+both labels in the sample every score is the share of toxic labels (0 without labels);
+labels without a document count nowhere.
 """
 
 from __future__ import annotations
@@ -146,14 +149,19 @@ def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
-    """text, toxic, part (0 to 3): at most ``size`` labelled rows of each label."""
+    """text, toxic, part (0 to 3), weight: at most ``size`` labelled rows of each label, and how many of all each stands for."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    known = stored(known.join(docs.select("doc_id"), "doc_id", "left_semi"), "labels")
+    counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     order = F.xxhash64("doc_id", F.lit("sample"))
-    chosen = [known.where(F.col("toxic") == label).orderBy(order, "doc_id").limit(size) for label in (0, 1)]
-    chosen = stored(chosen[0].union(chosen[1]), "labels")
+    chosen = [
+        known.where(F.col("toxic") == label).orderBy(order, "doc_id").limit(size).withColumn("weight", F.lit(max(1.0, counts.get(label, 0) / size)))
+        for label in (0, 1)
+    ]
+    chosen = stored(chosen[0].union(chosen[1]), "chosen")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # 2 * size rows at most
-    one = rows.groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))
-    return one.select("text", "toxic", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4)).alias("part"))
+    one = rows.groupBy("doc_id", "toxic", "weight").agg(F.max("text").alias("text"))
+    return one.select("text", "toxic", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4)).alias("part"), "weight")
 
 
 def lexicon(sample: DataFrame, most: int = TERMS) -> list[tuple[str, float]]:
@@ -192,12 +200,12 @@ class Toxicity:
         self.terms = lexicon(rows.where("part < 2"))
         train = stored(featured(rows.where("part >= 2"), self.terms).withColumn("x", array_to_vector("x")).coalesce(1), "train")
         counts = {(r["part"], r["toxic"]) for r in train.groupBy("part", "toxic").count().collect()}
-        self.share = rows.agg(F.coalesce(F.avg("toxic"), F.lit(0.0))).first()[0]
+        self.share = rows.agg(F.coalesce(F.sum(F.col("toxic") * F.col("weight")) / F.sum("weight"), F.lit(0.0))).first()[0]
         self.trees = self.isotonic = None
         if counts >= {(2, 0), (2, 1), (3, 0), (3, 1)}:
-            self.trees = GBTClassifier(featuresCol="x", labelCol="toxic", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, cacheNodeIds=False).fit(train.where("part = 2"))
+            self.trees = GBTClassifier(featuresCol="x", labelCol="toxic", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, cacheNodeIds=False).fit(train.where("part = 2"))
             scored = self._raw(train.where("part = 3")).withColumn("toxic", F.col("toxic").cast("double"))
-            self.isotonic = IsotonicRegression(featuresCol="raw", labelCol="toxic", predictionCol="score").fit(scored)
+            self.isotonic = IsotonicRegression(featuresCol="raw", labelCol="toxic", weightCol="weight", predictionCol="score").fit(scored)
 
     def _raw(self, rows: DataFrame) -> DataFrame:
         return self.trees.transform(rows).withColumn("raw", vector_to_array("probability")[1]).drop("rawPrediction", "probability", "prediction")

@@ -130,6 +130,19 @@ def test_toxicity_edges(spark):
     assert toxicity.Toxicity(docs.limit(0), labels).score(docs.limit(0)).count() == 0
 
 
+def test_toxicity_scores_mean_the_same_for_a_small_sample(spark):
+    kinds = [("you vile rotten scum idiot", 1, 250), ("maybe so!!!! really!!!!", 1, 50), ("maybe so!!!! really!!!!", 0, 200), ("a calm and friendly remark", 0, 2800)]
+    rows = [(text, toxic) for text, toxic, n in kinds for _ in range(n)]
+    docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, toxic) for i, (_, toxic) in enumerate(rows)], "doc_id long, toxic int")
+    unclear = spark.createDataFrame([(0, kinds[1][0])], "doc_id long, text string")
+    for sample in (10_000, 400):
+        assert abs(toxicity.Toxicity(docs, labels, sample).score(unclear).first().score - 50 / 250) < 0.1, sample
+    absent = spark.createDataFrame([(-i, 1) for i in range(1, 5000)], labels.schema)
+    sample = toxicity.sample_of(docs, labels.union(absent), 100).groupBy("toxic").agg(F.sum("weight").alias("n")).collect()
+    assert {r.toxic: round(r.n) for r in sample} == {0: 3000, 1: 300}
+
+
 # ---- language
 
 
