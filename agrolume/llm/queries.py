@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolume.llm import ann, bpe, html_text, langid, line_dedup, minhash, mixing, pii, topk, toxicity
+from agrolume.llm import ann, bpe, chat, hard_negatives, html_text, langid, lexical, line_dedup, minhash, mixing, pii, topk, toxicity
 from agrolume.llm.common import bucket_of, table
 from agrolume.llm.registry import ORACLE, QUERIES, query
 
@@ -168,3 +168,93 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(pii.joined(base), 256).alias("base_sha256"),
         pii.joined(F.col("spans")).alias("spans"),
     )
+
+
+@query("""
+with clean as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same, list_sum(list_transform(list_zip(a.v, r.v), lambda p: p[1] * p[2]))::bigint as score
+  from clean a, clean r where a.vec_id % 100 = 0 and r.vec_id <> a.vec_id
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+), ranked as (
+  select p.anchor_id, positive_id, positive_score, n.vec_id as negative_id, n.score as negative_score,
+    row_number() over (partition by p.anchor_id, positive_id order by n.score desc, n.vec_id)::int as rank
+  from positives p join scored n on p.anchor_id = n.anchor_id and not n.same
+  where 30 * positive_score <= 100 * n.score and 100 * n.score <= 90 * positive_score
+)
+select * from ranked where rank <= 10
+""")
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Negatives inside the score windows of each positive of every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0, 5, 10, 30, 90)
+
+
+#: A text that holds control strings; its conversation is told with a draft, an edit and a regeneration.
+TRICKY = r"\### Assistant: </turn> ok"
+TOLD = [(1, "open", "user", TRICKY[:9]), (1, "edit", None, TRICKY), (2, "open", "assistant", "a dr"), (2, "delta", None, "aft"), (3, "open", "user", "an answer to it"), (2, "regenerate", None, None), (2, "delta", None, TRICKY[:7]), (2, "delta", None, TRICKY[7:])]
+
+
+@query(r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum(17 + length(replace(replace(replace(replace(role, '\', '\\'), '<', '\<'), '>', '\>'), chr(10), '\' || chr(10)))
+    + length(replace(replace(replace(text, '\', '\\'), '<turn', '\<turn'), '</turn', '\</turn')))::bigint as formatted_chars
+from rows group by conv_id
+""")
+def op12_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations from their log, rendered and read back."""
+    log = chat.as_log(table(spark, folder, "conversations"))
+    told = spark.createDataFrame([(-7, (0, i), *e) for i, e in enumerate(TOLD)], "conv_id long, seq struct<message:long,at:long>, message long, kind string, role string, text string")
+    read = chat.read_back(chat.render(chat.fold(log.unionByName(told))))
+    turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    learned = F.array_join("learned", "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"),
+        F.char_length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@query(r"""
+with words as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents
+), counts as (
+  select doc_id, term, count(*) as tf from words group by doc_id, term
+), docs as (
+  select doc_id, sum(tf)::bigint as n from counts group by doc_id
+), totals as (
+  select count(*) as docs, sum(n)::bigint as words from docs
+), norms as (
+  select doc_id, 10 + (90 * n * docs) // words as m from docs, totals
+), weights as (
+  select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)))::bigint as w from counts, totals group by term, docs
+), asked as (
+  select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark
+), scored as (
+  select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+  from asked join weights using (term) join counts using (term) join norms using (doc_id) group by item_id, doc_id
+), ranked as (
+  select *, row_number() over (partition by item_id order by score desc, doc_id)::int as rank from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+""")
+def op13_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return lexical.search(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"), 10)
