@@ -13,9 +13,9 @@ so a vector that is very common costs many tasks, not one long one.  Scores are
 inner products of the original vectors in double precision.
 
 Edges: vectors that are null, empty, zero or hold a null or non-finite component take no
-part; vectors of another length than the most common one neither; null ids neither; a
-query with fewer candidates than k gets all of them, as leaf visits are widened to all
-leaves for a small table.
+part; null ids neither; each length of vectors has a tree of its own, and vectors meet
+those of their length; a query goes on until the leaves it has visited hold k other rows,
+so with fewer candidates than k it gets all of them.
 """
 
 from __future__ import annotations
@@ -140,104 +140,130 @@ def answers(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.nd
 
 
 class Index:
-    """Every row of ``vectors`` (vec_id, embedding) in a leaf of the tree."""
+    """Every row of ``vectors`` (vec_id, embedding) in a leaf of the tree of its length."""
 
     def __init__(self, vectors: DataFrame, k: int):
         clean = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-        clean = clean.where(F.exists("embedding", lambda x: x != 0)).select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-        lengths = clean.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
-        self.dim, self.rows = (lengths[0]["d"], lengths[0]["n"]) if lengths else (1, 0)
-        clean = clean.where(F.size("v") == self.dim)
+        clean = clean.where(F.exists("embedding", lambda x: x != 0)).select("vec_id", F.col("embedding").cast("array<double>").alias("v"), F.size("embedding").alias("dim"))
+        self.rows, self.k = clean.count(), k
         drawn = F.pmod(F.xxhash64("vec_id", F.lit("tree")), F.lit(1_000_003)) < 1_000_003.0 * SAMPLE / max(self.rows, 1)
-        sample = [r["v"] for r in clean.where(drawn).orderBy("vec_id").select("v").limit(2 * SAMPLE).collect()]
-        self.tree = Tree(np.array(sample, np.float64).reshape(-1, self.dim))
-        self.k = k
-        shared = clean.sparkSession.sparkContext.broadcast(self.tree)
+        sample: dict[int, list] = {}
+        for r in clean.where(drawn).orderBy("vec_id", "v").limit(2 * SAMPLE).collect():
+            sample.setdefault(r["dim"], []).append(r["v"])
+        #: A length that the sample does not hold has one leaf.
+        self.trees = {dim: Tree(np.array(points, np.float64)) for dim, points in sample.items()}
+        shared = clean.sparkSession.sparkContext.broadcast(self.trees)
 
         def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                points = np.array(batch.column(1).to_pylist(), np.float64).reshape(batch.num_rows, -1)
-                leaves = shared.value.place(points) if batch.num_rows else np.zeros(0, np.int32)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.int32())], names=["vec_id", "v", "leaf"])
-
-        self.indexed = stored(clean.mapInArrow(placed, "vec_id long, v array<double>, leaf int"), "index")
+                dims, leaves = batch.column("dim").to_numpy(), np.zeros(batch.num_rows, np.int32)
+                for dim in np.unique(dims):
+                    if dim in shared.value:
+                        rows = np.flatnonzero(dims == dim)
+                        points = np.array(batch.column("v").take(pa.array(rows)).to_pylist(), np.float64)
+                        leaves[rows] = shared.value[dim].place(points)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.int32())], names=["vec_id", "v", "dim", "leaf"])
+
+        self.indexed = stored(clean.mapInArrow(placed, "vec_id long, v array<double>, dim int, leaf int"), "index")
+        shared.unpersist()
+        #: Rows of each leaf: as many entries as there are leaves and lengths.
+        self.sizes = {(r["dim"], r["leaf"]): r["count"] for r in self.indexed.groupBy("dim", "leaf").count().collect()}
+
+    def most_leaves(self) -> int:
+        return max((tree.leaves for tree in self.trees.values()), default=1)
 
     def calibrated(self, queries: DataFrame, probes: int = PROBES, target: float = TARGET) -> int:
         """Leaves to visit so that ``target`` of the probes' true neighbours are found."""
-        if not self.rows:
-            return 1
-        drawn = queries.orderBy(F.xxhash64("vec_id", F.lit("probe")), "vec_id").limit(probes).collect()
+        drawn = queries.orderBy(F.xxhash64("vec_id", F.lit("probe")), "vec_id").limit(probes).collect() if self.rows else []
         if not drawn:
             return 1
-        own = np.array([r["vec_id"] for r in drawn])
-        asked = np.array([r["v"] for r in drawn], np.float64)
-        k = self.k
-        shared = self.indexed.sparkSession.sparkContext.broadcast((own, asked))
+        own, k = np.array([r["vec_id"] for r in drawn]), self.k
+        asked = {dim: np.flatnonzero([len(r["v"]) == dim for r in drawn]) for dim in {len(r["v"]) for r in drawn}}
+        probe = {dim: np.array([drawn[i]["v"] for i in at], np.float64) for dim, at in asked.items()}
+        shared = self.indexed.sparkSession.sparkContext.broadcast((own, asked, probe))
 
         def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own, asked = shared.value
+            own, asked, probe = shared.value
             for batch in batches:
-                if not batch.num_rows:
-                    continue
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
-                points = np.array(batch.column(1).to_pylist(), np.float64)
-                leaves = batch.column(2).to_numpy(zero_copy_only=False)
-                at, place, scores = answers(points, ids, asked, own, np.full(len(own), -np.inf), k)
-                columns = [pa.array(own[at], pa.int64()), pa.array(ids[place], pa.int64()), pa.array(scores, pa.float64()), pa.array(leaves[place], pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score", "leaf"])
+                dims = batch.column("dim").to_numpy()
+                for dim in np.unique(dims):
+                    if dim not in asked:
+                        continue
+                    inside = batch.take(pa.array(np.flatnonzero(dims == dim)))
+                    ids, leaves = inside.column("vec_id").to_numpy(), inside.column("leaf").to_numpy()
+                    points = np.array(inside.column("v").to_pylist(), np.float64)
+                    ask = own[asked[dim]]
+                    at, place, scores = answers(points, ids, probe[dim], ask, np.full(len(ask), -np.inf), k)
+                    columns = [pa.array(ask[at], pa.int64()), pa.array(ids[place], pa.int64()), pa.array(scores, pa.float64()), pa.array(leaves[place], pa.int32())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score", "leaf"])
 
         found = self.indexed.mapInArrow(part, f"{SCHEMA}, leaf int")
         leaves = {(r["query_id"], r["vec_id"]): r["leaf"] for r in nearest_with_leaf(found, k).collect()}  # probes * k rows
-        turns = []
-        order = {int(q): {leaf: i for i, leaf in enumerate(self.tree.visits(v, self.tree.leaves))} for q, v in zip(own, asked)}
-        for (query, _), leaf in leaves.items():
-            turns.append(order[query][leaf] + 1)
+        order = {}
+        for r in drawn:
+            if tree := self.trees.get(len(r["v"])):
+                order[r["vec_id"]] = {leaf: i for i, leaf in enumerate(tree.visits(np.array(r["v"]), tree.leaves))}
+        turns = [order[query].get(leaf, 0) + 1 for (query, _), leaf in leaves.items() if query in order]
         if not turns or self.rows <= 4 * self.k:
-            return self.tree.leaves
+            return self.most_leaves()
         return int(np.quantile(turns, target, method="higher"))
 
     def search(self, is_query: Column, k: int | None = None, visits: int | None = None) -> DataFrame:
         """query_id, rank, vec_id, score for the rows that are queries."""
         k = k or self.k
-        queries = self.indexed.where(is_query).select("vec_id", "v")
+        queries = self.indexed.where(is_query).select("vec_id", "v", "dim")
         most = visits or self.calibrated(queries)
-        shared = self.indexed.sparkSession.sparkContext.broadcast(self.tree)
+        shared = self.indexed.sparkSession.sparkContext.broadcast((self.trees, self.sizes))
+
+        def to_visit(query: np.ndarray) -> list[int]:
+            """The first ``most`` leaves, and more until they hold k rows besides the query's own."""
+            trees, sizes = shared.value
+            tree = trees.get(len(query))
+            if tree is None:
+                return [0]
+            size = lambda leaf: sizes.get((len(query), leaf), 0)
+            leaves = tree.visits(query, most)
+            if sum(map(size, leaves)) <= k:
+                leaves = tree.visits(query, tree.leaves)
+                held = np.cumsum([size(leaf) for leaf in leaves])
+                leaves = leaves[: int(np.searchsorted(held, k, side="right")) + 1]
+            return leaves
 
         def visiting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                leaves = [shared.value.visits(np.array(v), most) for v in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.int32()))], names=["query_id", "q", "leaves"])
+                leaves = [to_visit(np.array(v)) for v in batch.column("v").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.int32()))], names=["query_id", "q", "dim", "leaves"])
 
-        asked = stored(queries.mapInArrow(visiting, "query_id long, q array<double>, leaves array<int>"), "asked")
-        asked = asked.select("query_id", "q", F.posexplode("leaves").alias("turn", "leaf"))
+        asked = stored(queries.mapInArrow(visiting, "query_id long, q array<double>, dim int, leaves array<int>"), "asked")
+        asked = asked.select("query_id", "q", "dim", F.posexplode("leaves").alias("turn", "leaf"))
         first = -(-most // FIRST)
         found = stored(self._meet(asked.where(F.col("turn") < first).withColumn("floor", F.lit(float("-inf"))), k), "first")
-        if most > first:
-            lowest = nearest(found, k).groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("floor"))
-            rest = asked.where(F.col("turn") >= first).join(lowest.where(F.col("n") >= k).drop("n"), "query_id", "left")
-            found = found.union(self._meet(rest.withColumn("floor", F.coalesce("floor", F.lit(float("-inf")))), k))
+        lowest = nearest(found, k).groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("floor"))
+        rest = asked.where(F.col("turn") >= first).join(lowest.where(F.col("n") >= k).drop("n"), "query_id", "left")
+        found = found.union(self._meet(rest.withColumn("floor", F.coalesce("floor", F.lit(float("-inf")))), k))
         return nearest(found, k)
 
     def _meet(self, asked: DataFrame, k: int) -> DataFrame:
-        """Partial answers of queries (query_id, q, leaf, floor) in their leaves."""
-        sizes = self.indexed.groupBy("leaf").agg(F.ceil(F.count("*") / ROWS_PER_BLOCK).cast("int").alias("blocks"))
-        loads = asked.groupBy("leaf").agg(F.ceil(F.count("*") / QUERIES_PER_BLOCK).cast("int").alias("parts"))
-        deal = sizes.join(loads, "leaf")  # one row per leaf: the tree is of bounded size
-        rows = self.indexed.join(F.broadcast(deal), "leaf").select(
-            "leaf", "vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+        """Partial answers of queries (query_id, q, dim, leaf, floor) in their leaves."""
+        at = ["dim", "leaf"]
+        sizes = self.indexed.groupBy(*at).agg(F.ceil(F.count("*") / ROWS_PER_BLOCK).cast("int").alias("blocks"))
+        loads = asked.groupBy(*at).agg(F.ceil(F.count("*") / QUERIES_PER_BLOCK).cast("int").alias("parts"))
+        deal = sizes.join(loads, at)  # one row per leaf: the trees are of bounded size
+        rows = self.indexed.join(F.broadcast(deal), at).select(
+            *at, "vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
         )
-        sent = asked.join(F.broadcast(deal), "leaf").select(
-            "leaf", "query_id", "q", "floor", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int").alias("part")
+        sent = asked.join(F.broadcast(deal), at).select(
+            *at, "query_id", "q", "floor", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int").alias("part")
         )
 
         def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if left.empty or right.empty:
                 return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
             own, ids = right["query_id"].to_numpy(), left["vec_id"].to_numpy()
-            at, place, scores = answers(matrix(left["v"]), ids, matrix(right["q"]), own, right["floor"].to_numpy(), k)
-            return pd.DataFrame({"query_id": own[at], "vec_id": ids[place], "score": scores})
+            found, place, scores = answers(matrix(left["v"]), ids, matrix(right["q"]), own, right["floor"].to_numpy(), k)
+            return pd.DataFrame({"query_id": own[found], "vec_id": ids[place], "score": scores})
 
-        keys = ["leaf", "block", "part"]
+        keys = [*at, "block", "part"]
         return rows.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInPandas(meet, SCHEMA)
 
 

@@ -15,7 +15,8 @@ from agrolume.llm.common import stored
 
 
 def _least(links: DataFrame) -> DataFrame:
-    return links.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    """The smallest node at each node, stored: a join with it can split the links of a hot one."""
+    return stored(links.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
 
 
 def _large(links: DataFrame) -> DataFrame:
@@ -35,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
     links = stored(links.where("u <> v").select("u", "v").distinct(), "links")
     before = None
     while True:
-        links = stored(_small(_large(links)).where("u <> v").distinct(), "links")
+        links = stored(_large(links), "large")
+        links = stored(_small(links).where("u <> v").distinct(), "links")
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -18,8 +18,9 @@ of their sets is 0.85 or more; documents with equal sets are linked.
 4. These pairs are checked in the same way, and all links give the components.
 
 At similarity 0.85 the union sketch agrees in 54 of 64 values on average; with AGREE =
-40 a link is lost with a probability below 1e-5.  Documents of fewer than 64 shingles
-have their whole set as sketch and lose nothing.  No list, group or pair count is cut.
+40 a link is lost with a probability below 1e-5 (none with ``exact``, which lists all
+shingles).  Documents of fewer than 64 shingles have their whole set as sketch and lose
+nothing.  No list, group or pair count is cut.
 
 Edges: a null or empty text, or one of white space only, has no shingles and no links;
 a null doc_id is never linked and is kept, with a null component; rows that repeat a
@@ -175,8 +176,8 @@ def _crossed(lists: DataFrame, positional: bool) -> DataFrame:
     return same.select(F.col("id").alias("u"), F.col("id2").alias("v")).distinct()
 
 
-def links_of(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The pairs (u, v) that are linked: union sketches first, then full sets."""
+def links_of(pairs: DataFrame, docs: DataFrame, reps: DataFrame, exact: bool = False) -> DataFrame:
+    """The pairs (u, v) that are linked: union sketches first (unless ``exact``), then full sets."""
     a = reps.select(F.col("id").alias("u"), F.col("sketch").alias("s1"), F.col("n").alias("n1"))
     b = reps.select(F.col("id").alias("v"), F.col("sketch").alias("s2"), F.col("n").alias("n2"))
     near = pairs.join(a, "u").join(b, "v").where(_alike(F.col("n1"), F.col("n2")))
@@ -185,7 +186,7 @@ def links_of(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     agree = F.size(F.array_intersect(both, F.slice(union, 1, KEEP)))
     whole = 100 * F.size(both) >= PERCENT * F.size(union)
     likely = F.when(F.greatest("n1", "n2") < KEEP, whole).otherwise(agree >= AGREE)
-    near = stored(near.where(likely).select("u", "v"), "pairs")
+    near = stored((near if exact else near.where(likely)).select("u", "v"), "pairs")
     sets = stored(full_sets(docs, near.select(F.col("u").alias("id")).union(near.select(F.col("v").alias("id")))), "sets")
     # Rows that repeat a doc_id bring several sets; those of the representative have its size.
     first = sets.select(F.col("id").alias("u"), F.col("hashes").alias("h1"))
@@ -195,8 +196,12 @@ def links_of(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     return verified.where(100 * shared >= PERCENT * (F.size("h1") + F.size("h2") - shared)).select("u", "v").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
+def near_duplicates(docs: DataFrame, exact: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row of ``docs``.
+
+    With ``exact`` no link is left to chance: all documents go through the lists of all
+    their shingles, and no pair is judged by its sketches.
+    """
     all_rows = stored(sketches(docs), "sketches")
     with_set = all_rows.where("n_shingles > 0 and doc_id is not null")
     equal = with_set.groupBy("n_shingles", "k1", "k2").agg(F.min(F.struct("doc_id", "sketch")).alias("first"))
@@ -218,7 +223,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     repeated = with_set.join(reps.select("id", "n", "k1", "k2").withColumnRenamed("n", "n_shingles"), ["n_shingles", "k1", "k2"])
     first_rep = repeated.groupBy("doc_id").agg(F.min("id").alias("u"), F.max("id").alias("top")).where("u <> top")
     same_id = repeated.join(first_rep, "doc_id").where("id <> u").select("u", F.col("id").alias("v"))
-    links = stored(links_of(star, docs, reps).union(same_id), "links")
+    links = stored(links_of(star, docs, reps, exact).union(same_id), "links")
     roots = stored(components(links), "roots")
 
     # What lies between the components.
@@ -228,13 +233,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     open_values = stored(mixed.where("low <> high").select("value", "long"), "open-values")
     open_lists = stored(rooted.join(open_values, "value"), "open")
-    short = _crossed(open_lists.where(F.col("long") <= HOT), positional=False)
-    hot_ids = stored(open_lists.where(F.col("long") > HOT).select("id", "root").distinct(), "hot")
+    if exact:
+        every = reps.join(roots, reps["id"] == roots["node"], "left").select("id", F.coalesce("root", "id").alias("root"))
+        short, hot_ids = None, stored(every, "hot")
+    else:
+        short = _crossed(open_lists.where(F.col("long") <= HOT), positional=False)
+        hot_ids = stored(open_lists.where(F.col("long") > HOT).select("id", "root").distinct(), "hot")
     hot_sets = full_sets(docs, hot_ids.select("id")).join(hot_ids, "id")
     shingles = stored(hot_sets.select("id", "root", F.size("hashes").cast("long").alias("n"), F.explode("hashes").alias("value")), "shingles")
     exact = _listed(shingles.select("id", "n", "value"), -F.floor(-(PERCENT * F.col("n")) / 100), F.col("n"))
     deep = _crossed(stored(exact.join(hot_ids, "id"), "deep"), positional=True)
-    more = links_of(stored(short.union(deep).distinct(), "crossed"), docs, reps)
+    more = links_of(stored(deep if short is None else short.union(deep).distinct(), "crossed"), docs, reps, exact)
     final = components(links.union(more))
 
     named = reps.select("n", "k1", "k2", "id").join(final, F.col("id") == F.col("node"), "left").select(

@@ -35,27 +35,22 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.col("rank") - 1, F.lit(len(weights))) + 1).cast("int"))
     capped = ranked.withColumn("weight", weight.cast("long")).withColumn("cap", most * F.col("source_size"))
     ratio = F.col("cap").cast("double") / F.col("weight")
-    summed = running(
-        capped.withColumn("ratio", ratio),
-        [F.col("ratio"), F.col("rank")],
-        {"caps": F.col("cap"), "weights": F.col("weight")},
+    summed = stored(
+        running(capped.withColumn("ratio", ratio), [F.col("ratio"), F.col("rank")], {"caps": F.col("cap"), "weights": F.col("weight")}),
+        "summed",
     )
-    every = totals.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("all_sizes"))
-    weighed = capped.agg(F.sum("weight").alias("all_weights"))
-    # One row beside the sources: the sums of all.
-    leveled = summed.join(F.broadcast(every)).join(F.broadcast(weighed))
+    # One row beside the sources: the sums of all, then the source that sets the level.
+    every = summed.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("all_sizes"), F.sum("weight").alias("all_weights"))
     left = F.col("all_sizes") - F.col("caps") + F.col("cap")
     shared = F.col("all_weights") - F.col("weights") + F.col("weight")
-    leveled = leveled.withColumns({"left": left, "shared": shared})
+    leveled = summed.join(F.broadcast(every)).withColumns({"left": left, "shared": shared})
     fits = F.col("left").cast("double") * F.col("weight") / F.col("shared") <= F.col("cap")
-    first = leveled.where(fits).agg(
-        F.min(F.struct("ratio", "rank", "left", "shared")).alias("level")
-    )
+    first = leveled.where(fits).agg(F.min(F.struct("ratio", "rank", "left", "shared")).alias("level"))
     target = F.least(
         F.col("cap").cast("double"),
         F.coalesce(F.col("level.left").cast("double") * F.col("weight") / F.col("level.shared"), F.lit(0.0)),
     )
-    return leveled.join(F.broadcast(first)).select("source", "source_size", target.alias("target"))
+    return stored(summed.join(F.broadcast(first)).select("source", "source_size", target.alias("target")), "targets")
 
 
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:

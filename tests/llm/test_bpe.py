@@ -53,10 +53,32 @@ def test_windows_agree_with_the_whole(text):
     ranges = bpe.stitch(starts, [s + len(w) for s, w in parts])
     joined = [p for f, (a, b) in zip(pieces, ranges) for p in f[a:b]]
     assert joined == encoder.find.findall(text)
-    assert encoder.ids(joined).tolist() == KNOWN.encode_ordinary(text)
+    assert np.frombuffer(b"".join(encoder.blobs(joined)), np.int32).tolist() == KNOWN.encode_ordinary(text)
+
+
+MERGER = bpe.Merger(RANK)
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.text(alphabet="abcdeé", min_size=1, max_size=400))
-def test_long_pieces_merge_alike(piece):
-    assert bpe._merged_long(piece.encode(), RANK) == KNOWN.encode_ordinary(piece)
+@given(st.lists(st.text(alphabet="abcdeéx日", max_size=400), min_size=1, max_size=9))
+def test_pieces_merge_alike(pieces):
+    for long in (bpe.LONG, 0, 10**6):
+        before, bpe.LONG = bpe.LONG, long
+        try:
+            got = [np.frombuffer(b, np.int32).tolist() for b in MERGER.ids([p.encode() for p in pieces])]
+        finally:
+            bpe.LONG = before
+        assert got == [KNOWN._core_bpe.encode_single_piece(p.encode()) if p else [] for p in pieces]
+
+
+def test_remembered_pieces_stay_right(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_PIECES", 3)
+    encoder = bpe.Encoder(RANK, PATTERN)
+    for text in ["one two three four", "three four five", "one six seven one", "two two xyzzyq"] * 3:
+        found = encoder.find.findall(text)
+        assert np.frombuffer(b"".join(encoder.blobs(found)), np.int32).tolist() == KNOWN.encode_ordinary(text)
+
+
+def test_windows_are_linear():
+    for text in ("x" * 4_000_000, "x" * 2_000_000 + " y" * 100_000, "日本" * 1_000_000 + " "):
+        assert sum(len(w) for _, w in bpe.windows(text)) <= 1.1 * len(text)

@@ -57,3 +57,10 @@ def test_edges(spark, rows):
     docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
     got = sorted((tuple(r) for r in near_duplicates(docs).collect()), key=str)
     assert got == ([(3, 2, 3, True), (3, 2, 3, True), (None, 2, None, True), (None, 2, None, True)] if rows else [])
+
+
+def test_exact_lists_all_shingles(spark):
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(words[3 * i : 3 * i + 200])) for i in range(12)] + [(50 + i, " ".join(words[i : i + 6])) for i in range(4)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
+    assert sorted(tuple(r) for r in near_duplicates(docs, exact=True).collect()) == brute(rows)

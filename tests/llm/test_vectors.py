@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from agrolume.llm import ann, topk
+from agrolume.llm import ann, topk, vectors
 from pyspark.sql import functions as F
 
 SCHEMA = "vec_id long, embedding array<float>, score int"
@@ -51,8 +51,9 @@ def test_hot_vector_and_odd_rows(spark):
 
 
 def test_many_shards(spark, monkeypatch):
-    for name, value in (("SHARD", 64), ("BLOCK", 8), ("LEAF", 4)):
-        monkeypatch.setattr(topk, name, value)
+    for name, value in (("SHARD_BYTES", 64 * 4 * 8), ("WAVE", 8)):
+        monkeypatch.setattr(vectors, name, value)
+    monkeypatch.setattr(topk, "LEAF", 4)
     monkeypatch.setattr(ann, "ROWS_PER_BLOCK", 16)
     monkeypatch.setattr(ann, "QUERIES_PER_BLOCK", 4)
     random = np.random.default_rng(2)
@@ -73,3 +74,20 @@ def test_small_tables(spark, rows):
     expected = [(100, 1, 1, 2.0)] if len(rows) == 3 else []
     assert [tuple(r) for r in ann.Index(df, 20).search(F.col("vec_id") % 20 == 0).collect()] == expected
     assert [(r.query_id, r.rank, r.vec_id) for r in topk.top_k(df, F.col("vec_id") % 50 == 0, 5).collect()] == [e[:3] for e in expected]
+
+
+def test_every_length_is_searched(spark):
+    random = np.random.default_rng(3)
+    rows = [(i, random.normal(size=4).tolist()) for i in range(1, 200)] + [(200 + 20 * i, [float(i), 1.0]) for i in range(3)] + [(400 + i, random.normal(size=64).tolist()) for i in range(100)]
+    got = {}
+    for r in ann.Index(make(spark, rows), 20).search(F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert {q: len(v) for q, v in got.items()} == {i: min(20, sum(len(w) == len(v) for _, w in rows) - 1) for i, v in rows if i % 20 == 0}
+    assert sorted(got[240]) == [(1, 220), (2, 200)]
+
+
+def test_small_leaves_are_filled_up(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LEAF", 2)
+    rows = [(i, [float(np.cos(i)), float(np.sin(i))]) for i in range(400)]
+    got = ann.Index(make(spark, rows), 20).search(F.col("vec_id") % 20 == 0, visits=1).groupBy("query_id").count().collect()
+    assert len(got) == 20 and {r["count"] for r in got} == {20}
