@@ -152,6 +152,87 @@ def read_coords(spark, folder):
     return readers.read_coords(spark, path)
 
 
+def _renamed(spark, path: str, end: str) -> None:
+    """Packed part files under a name that does not tell."""
+    for file in readers.files_of(spark, path):
+        fs, source = readers._fs(spark, file)
+        fs.rename(source, readers._fs(spark, file.removesuffix(".txt.gz") + end)[1])
+
+
+@query(
+    """SELECT p_type AS nome_comum, count(*) AS n, count(DISTINCT p_name) AS cultivares, CAST(sum(p_partkey) AS BIGINT) AS total
+    FROM part GROUP BY 1"""
+)
+def read_packed_register(spark, folder):
+    """Gzip files called .csv, in folders inside folders, with line breaks inside quotes; two layouts."""
+    path, part = scratch_dir(spark, "packed-register"), Tables(spark, folder).part
+    named = "concat('\"', replace(p_name, ' ', '\\n'), '\"')"
+    for rest, line, header in (
+        (0, f"concat_ws(',', {named}, p_type, p_partkey)", "CULTIVAR,NOME COMUM,Nº REGISTRO"),
+        (1, f"concat_ws(',', p_partkey, {named}, 'x', p_type)", "Nº REGISTRO,CULTIVAR,OUTRO,NOME COMUM"),
+    ):
+        inner = f"{path}/a/b{rest}"
+        _write(part.where(F.col("p_partkey") % 2 == rest).selectExpr(f"{line} AS value"), header, inner, "\r\n", compression="gzip")
+        _renamed(spark, inner, ".csv")
+    df = readers.read_cultivares(spark, path)
+    return df.groupBy(F.col("NOME COMUM").alias("nome_comum")).agg(
+        F.count("*").alias("n"),
+        F.count_distinct(F.regexp_replace("CULTIVAR", "\\s+", " ")).alias("cultivares"),
+        F.sum(F.col("`Nº REGISTRO`").cast("bigint")).alias("total"),
+    )
+
+
+@query(sql("municipio", body="SELECT codigo_ibge AS cod_municipio_ibge, nome AS municipio, uf FROM municipio"))
+def zarc_places_packed(spark, folder):
+    """Municipalities of a gzip risk file of forty columns, of which three are taken out of each line."""
+    path, star = scratch_dir(spark, "places-packed"), Star(spark, folder)
+    rows = star.source.lineitem.select(F.col("l_suppkey").alias("id_municipio"), "l_linestatus", "l_tax")
+    wide = rows.join(star["dim_municipio"], "id_municipio", "right")
+    decs = [f"dec{i}" for i in range(1, 37)]
+    tax, status = F.expr("coalesce(l_tax, 0)"), F.expr("coalesce(l_linestatus, '')")
+    line = F.concat_ws(";", status, "codigo_ibge", F.concat(F.lit('"'), "nome", F.lit('"')), "uf", *[tax] * len(decs))
+    _write(wide.select(line.alias("value")), ";".join(["cod_solo", *readers.PLACE_COLUMNS, *decs]), path, compression="gzip")
+    _renamed(spark, path, ".csv")
+    return readers.zarc_municipios(readers.read_zarc_places(spark, path))
+
+
+@query(
+    """SELECT o_orderstatus AS dados, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1
+    UNION ALL SELECT 'falhou', count(DISTINCT o_orderstatus) - 2 FROM orders"""
+)
+def read_conab_one_bad(spark, folder):
+    """A dataset without a readable file does not stop the other two."""
+    root, orders, failed = scratch_dir(spark, "conab-bad"), Tables(spark, folder).orders, {}
+    for key, status in (("producao_historica", "F"), ("precos_uf_mensal", "O")):
+        rows = orders.where(F.col("o_orderstatus") == status).selectExpr("o_orderstatus AS dados")
+        rows.write.csv(f"{root}/{readers.CONAB_FILES[key]}", header=True)
+    bad = f"{root}/{readers.CONAB_FILES['producao_estimativa']}"  # a folder with a mark and no file
+    orders.limit(0).selectExpr("o_orderkey", "o_orderstatus AS dados").write.partitionBy("dados").parquet(bad)
+    found = readers.read_conab_folder(spark, root, failed)
+    counts = [df.groupBy("dados").agg(F.count("*").alias("n")) for df in found.values()]
+    return readers.union_all([*counts, spark.createDataFrame([("falhou", len(failed))], "dados string, n bigint")])
+
+
+@query(
+    """SELECT lpad(CAST(s_suppkey AS VARCHAR), 7, '0') AS codigo_ibge, count(*) AS n, round(sum(l_extendedprice), 2) AS chuva,
+    count(*) FILTER (l_tax > 0) AS maximas, min(strftime(l_shipdate, '%Y-%m-%d')) AS primeiro
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1"""
+)
+def read_weather_json(spark, folder):
+    """One JSON object of parallel arrays per municipality, the code in the file's name."""
+    path, t = scratch_dir(spark, "weather"), Tables(spark, folder)
+    day = F.expr("struct(date_format(l_shipdate, 'yyyy-MM-dd') AS time, l_extendedprice AS rain, CASE WHEN l_tax > 0 THEN l_tax END AS top)")
+    days = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy(F.expr("lpad(cast(s_suppkey as string), 7, '0')").alias("code"))
+    daily = days.agg(F.collect_list(day).alias("d")).selectExpr(
+        "code", "to_json(named_struct('daily', named_struct('time', d.time, 'precipitation_sum', d.rain, 'temperature_2m_max', d.top))) AS value"
+    )
+    daily.repartition("code").write.partitionBy("code").text(path)
+    got = readers.read_weather_json(spark, f"{path}/*", r"code=(\d+)/[^/]*$")
+    return got.groupBy("codigo_ibge").agg(
+        F.count("*").alias("n"), F.round(F.sum("precipitation_sum"), 2).alias("chuva"), F.count("temperature_2m_max").alias("maximas"), F.min("time").alias("primeiro")
+    )
+
+
 @query("SELECT true AS fresh, modified, count(*) AS n FROM (SELECT r_regionkey, true AS modified FROM region UNION ALL SELECT -1, false) GROUP BY 1, 2")
 def fresh_files(spark, folder):
     """One file per region just written, and one that is not there."""
@@ -168,7 +249,8 @@ def write_bronze(spark, folder):
     """Raw rows keep their place in the file in the Parquet copy."""
     root = scratch_dir(spark, "bronze")
     lines = Tables(spark, folder).lineitem.select("l_returnflag", "l_orderkey")
-    lines.orderBy("l_orderkey").coalesce(1).write.csv(f"{root}/raw", header=True)
+    # A sort over ranges writes the ranges in the order of the file names.
+    lines.orderBy("l_orderkey").write.csv(f"{root}/raw", header=True)
     bronze(readers.read_delimited(spark, f"{root}/raw"), f"{root}/bronze")
     copy = spark.read.parquet(f"{root}/bronze")
     return copy.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.max_by("l_orderkey", "_seq").alias("maior"))

@@ -6,17 +6,21 @@ and read back what was written.
 
 from __future__ import annotations
 
+import contextlib
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agrolume import schema
+from agrolume.checks import files
 from agrolume.checks.registry import Tables, query
 from agrolume.checks.views import Star, sales, sql, zarc_wide
 from agrolume.operators.table import StoredTable, weekly_reset_due
 from agrolume.session import scratch_dir
 from agrolume.sources import readers
 from agrolume.sources.common import open_tables
-from agrolume.streaming import stream_prices, stream_zarc
+from agrolume.streaming import stream_prices, stream_zarc, stream_zarc_files
 from agrolume.streaming.loads import file_stream
 
 
@@ -218,6 +222,51 @@ def zarc_stream(spark, folder):
     return rows.select("cultura", "codigo_ibge", "tipo_solo", "periodo_plantio", "risco_climatico")
 
 
+class _Lost(Exception):
+    """A run that stops between two chunks."""
+
+
+@query(
+    sql(
+        "municipio", "zarc",
+        body="""SELECT cultura, codigo_ibge, tipo_solo, periodo_plantio, risco_climatico
+        FROM zarc JOIN municipio USING (id_municipio)""",
+    )
+)
+def zarc_stream_packed(spark, folder):
+    """Risk files, packed and plain, of two layouts, in chunks of rows; the first run stops inside a file."""
+    root, star = scratch_dir(spark, "zarc-packed"), Star(spark, folder)
+    wide = zarc_wide(star.source).selectExpr("p_type", "cd_mun", "l_linestatus", "dec1", "dec2", "dec3", "dec4")
+    half = F.pmod(F.xxhash64("cd_mun"), F.lit(2))
+    text = lambda *names: F.concat_ws(";", *[F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names]).alias("value")
+    decs = ("dec1", "dec2", "dec3", "dec4")
+    files._write(wide.where(half == 0).select(text("p_type", "cd_mun", "l_linestatus", *decs)), "cultura_raw;cd_mun;cod_solo;" + ";".join(decs), f"{root}/in/plain")
+    files._write(wide.where(half == 1).select(text("cd_mun", *decs, "l_linestatus", "p_type")), "cd_mun;" + ";".join(decs) + ";cod_solo;Nome_cultura", f"{root}/in/packed", compression="gzip")
+    files._renamed(spark, f"{root}/in/packed", ".csv")
+    tables = open_tables(spark, f"{root}/tables")
+    tables["dim_cultura"].insert_if_absent(star["dim_cultura"])
+    tables["dim_municipio"].insert_if_absent(star["dim_municipio"])
+    # Chunks so that each half takes several of them.
+    size = {"rows": max(1, wide.count() // 5), "files": 64}
+    table, stored = tables["fato_risco_zarc"], []
+    upsert = table.upsert
+
+    def until_lost(*args, **kwargs):
+        if len(stored) == 2:
+            raise _Lost
+        stored.append(upsert(*args, **kwargs))
+
+    table.upsert = until_lost
+    with contextlib.suppress(StreamingQueryException):
+        stream_zarc_files(spark, f"{root}/in", tables, f"{root}/checkpoint", **size).awaitTermination()
+    table.upsert = upsert
+    stream_zarc_files(spark, f"{root}/in", tables, f"{root}/checkpoint", **size).awaitTermination()
+    crops = star["dim_cultura"].selectExpr("id_cultura", "nome_padronizado AS cultura")
+    places = star["dim_municipio"].select("id_municipio", "codigo_ibge")
+    rows = table.read().join(crops, "id_cultura").join(places, "id_municipio")
+    return rows.select("cultura", "codigo_ibge", "tipo_solo", "periodo_plantio", "risco_climatico")
+
+
 @query(
     sql(
         "municipio",

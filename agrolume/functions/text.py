@@ -54,8 +54,10 @@ ESCAPED_APOSTROPHE = r"\\+'"
 # White space at the ends of a field; folding turns the typographic spaces into these.
 WHITESPACE = "".join(c for c in map(chr, range(256)) if c.isspace())
 
-# Hangul syllables decompose by rule into 11,172 sequences; they stay as they are.
+# Hangul syllables decompose by arithmetic: a lead, a vowel and perhaps a tail.
 _HANGUL = range(0xAC00, 0xD7A4)
+_LEAD, _VOWEL, _TAIL = 0x1100, 0x1161, 0x11A7
+_VOWELS, _TAILS = 21, 28
 
 
 @lru_cache(maxsize=1)
@@ -96,21 +98,37 @@ def strip(c: str | Column) -> Column:
     return F.trim(as_col(c), F.lit(WHITESPACE))
 
 
+def _jamo(syllable: Column) -> Column:
+    """The letters of one Hangul syllable."""
+    place = F.ascii(syllable) - _HANGUL.start
+    lead, vowel, tail = F.floor(place / (_VOWELS * _TAILS)), F.floor(place % (_VOWELS * _TAILS) / _TAILS), place % _TAILS
+    letters = lambda first, n: F.lit("".join(map(chr, range(first, first + n))))
+    at = lambda c: c.cast("int") + 1
+    return F.concat(
+        F.substr(letters(_LEAD, 19), at(lead), F.lit(1)),
+        F.substr(letters(_VOWEL, _VOWELS), at(vowel), F.lit(1)),
+        F.when(tail > 0, F.substr(letters(_TAIL, _TAILS), at(tail), F.lit(1))).otherwise(""),
+    )
+
+
+def _each_replaced(c: Column, found: Column, change) -> Column:
+    """``c`` with ``change`` of each of the ``found`` characters in its place."""
+    return F.aggregate(found, c, lambda text, ch: F.replace(text, ch, change(ch)))
+
+
 def _unaccent(c: Column) -> Column:
     src, dst, many = _fold_tables()
     wide = "".join(ch for ch, _ in many)
     nth = ["".join(base[n] for _, base in many if len(base) > n) for n in range(len(many[0][1]))]
-    expanded = F.array_join(
-        F.transform(
-            F.split(c, ""),
-            lambda ch: F.when(
-                F.contains(F.lit(wide), ch) & (ch != ""), F.concat(*[F.translate(ch, wide, own) for own in nth])
-            ).otherwise(ch),
-        ),
-        "",
+    # Few texts hold a character that becomes several.  A dictionary tells which, and
+    # there each different one is replaced.
+    widened = _each_replaced(
+        c, F.array_intersect(F.split(c, ""), F.split(F.lit(wide), "")), lambda ch: F.concat(*[F.translate(ch, wide, own) for own in nth])
     )
-    # Few texts hold a character that becomes several: one look tells.
-    flat = F.when(c.rlike(f"[{wide}]"), expanded).otherwise(c)
+    flat = F.when(F.translate(c, wide, "") != c, widened).otherwise(c)
+    first, last = chr(_HANGUL.start), chr(_HANGUL.stop - 1)
+    syllables = F.filter(F.array_distinct(F.split(flat, "")), lambda ch: (ch >= first) & (ch <= last))
+    flat = F.when(c.rlike(f"[{first}-{last}]"), _each_replaced(flat, syllables, _jamo)).otherwise(flat)
     # Plain ASCII, told by its length in bytes, has nothing to fold.
     return F.when(F.octet_length(c) > F.length(c), F.translate(flat, src, dst)).otherwise(c)
 

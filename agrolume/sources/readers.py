@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Sequence
+import warnings
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 from agrolume.functions import NULL_TOKENS, STRICT_NULL_TOKENS, null_tokens
 from agrolume.operators.dedupe import SEQ, file_order, keep_first
-from agrolume.sources.gzip_lines import gzip_lines
+from agrolume.sources.streamed import streamed
 
 _BAD = "_bad_line"
 _SEQ_TYPE = T.StructType(
@@ -28,16 +29,24 @@ def _fs(spark: SparkSession, path: str):
 
 
 def files_of(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """Files that a path, a folder or a pattern names, in any file system Spark knows."""
+    """Files that a path, a folder or a pattern names, in any file system Spark knows.
+
+    Folders are entered at any depth; names that start with a dot or an underscore are
+    passed over.  What names no file at all is an error.
+    """
     out = []
     for one in [path] if isinstance(path, str) else path:
         fs, jpath = _fs(spark, one)
-        found = fs.globStatus(jpath)
-        if not found:
-            raise FileNotFoundError(one)
-        for status in found:
-            inner = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
-            out += sorted(x.getPath().toString() for x in inner if x.isFile() and x.getPath().getName()[0] not in "._")
+        found, inside = list(fs.globStatus(jpath) or []), []
+        while found:
+            status = found.pop()
+            if status.isDirectory():
+                found += [x for x in fs.listStatus(status.getPath()) if x.getPath().getName()[0] not in "._"]
+            else:
+                inside.append(status.getPath().toString())
+        if not inside:
+            raise FileNotFoundError(f"no file in {one}")
+        out += sorted(inside)
     return out
 
 
@@ -125,16 +134,24 @@ def read_delimited(
     Short lines are filled with nulls.  Lines with too many fields stop the read
     (``bad_lines="raise"``), are left out (``"skip"``, see ``bad_lines_of``) or lose
     the surplus (``"cut"``, which alone lets Spark parse only the columns in use).
-    Line ends may be LF or CRLF.  Files split freely unless ``multiline`` (line
-    breaks inside quotes) is asked for.
+    Line ends may be LF or CRLF.  Plain files split freely unless ``multiline`` (line
+    breaks inside quotes) is asked for.  Gzip files under any name are streamed, one
+    task each, and keep line breaks inside quotes.
     """
-    layouts: dict[tuple[str, ...], list[str]] = {}
+    layouts: dict[tuple[tuple[str, ...], bool], list[str]] = {}
     for file in files_of(spark, path):
         if (line := first_line(spark, file, encoding)) is not None:
-            layouts.setdefault(header_names(line, sep, ignore_leading_space), []).append(file)
+            # Spark itself unpacks what is called .gz; gzip under another name is streamed.
+            packed = not file.endswith(".gz") and is_gzip(spark, file)
+            layouts.setdefault((header_names(line, sep, ignore_leading_space), packed), []).append(file)
     if not layouts:
         return spark.createDataFrame([], T.StructType([T.StructField(SEQ, _SEQ_TYPE)]))
-    frames = [_parsed(spark, f, n, sep, encoding, bad_lines, ignore_leading_space, multiline) for n, f in layouts.items()]
+    frames = [
+        _unpacked(spark, f, n, sep, encoding, bad_lines, ignore_leading_space)
+        if packed
+        else _parsed(spark, f, n, sep, encoding, bad_lines, ignore_leading_space, multiline)
+        for (n, packed), f in layouts.items()
+    ]
     return null_tokens(union_all(frames), tokens)
 
 
@@ -180,10 +197,35 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def read_conab_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The datasets present in a folder; absent files are skipped."""
+def read_each(readers: dict[str, Callable[[], DataFrame]], failed: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The datasets that can be opened.
+
+    One that can't (broken packing, a name that is a folder without files) does not
+    stop the others: it is left out, told by a warning, and put in ``failed``.  Errors
+    that show only while rows are read appear in the job of that dataset.
+    """
+    out = {}
+    for key, read in readers.items():
+        try:
+            out[key] = read()
+        except Exception as error:  # noqa: BLE001 whatever it is, it belongs to this dataset
+            message = str(error).strip().splitlines()[0] if str(error).strip() else type(error).__name__
+            warnings.warn(f"{key} was left out: {message}", stacklevel=2)
+            if failed is not None:
+                failed[key] = message
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of one's own."""
+    fs, jpath = _fs(spark, path)
+    fs.delete(jpath, True)
+
+
+def read_conab_folder(spark: SparkSession, folder: str, failed: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The datasets present in a folder; absent files are skipped, unreadable ones are told (``read_each``)."""
     paths = {k: f"{folder}/{n}" for k, n in CONAB_FILES.items()}
-    return {k: read_conab(spark, p) for k, p in paths.items() if exists(spark, p)}
+    return read_each({k: lambda p=p: read_conab(spark, p) for k, p in paths.items() if exists(spark, p)}, failed)
 
 
 def read_agrofit(spark: SparkSession, path, multiline: bool = True) -> DataFrame:
@@ -196,22 +238,31 @@ def read_fertilizantes(spark: SparkSession, path, multiline: bool = True) -> Dat
     return read_delimited(spark, path, ";", "ISO-8859-1", ignore_leading_space=True, multiline=multiline)
 
 
-def read_sigef_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Seed production and seed reserve; the reserve has an alternate file name."""
-    out = {}
+def read_sigef_folder(spark: SparkSession, folder: str, failed: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Seed production and seed reserve; the reserve has an alternate file name.
+    Unreadable files are told (``read_each``)."""
+    found = {}
     for key, names in SEED_FILES.items():
         path = next((p for n in names if exists(spark, p := f"{folder}/{n}")), None)
         if path:
-            out[key] = read_delimited(spark, path, ";", bad_lines="skip")
-    return out
+            found[key] = lambda p=path: read_delimited(spark, p, ";", bad_lines="skip")
+    return read_each(found, failed)
 
 
-def read_any_gzip(spark: SparkSession, path: str | list[str], sep: str = ";", partitions: int | None = None) -> DataFrame:
+def read_any_gzip(
+    spark: SparkSession,
+    path: str | list[str],
+    sep: str = ";",
+    partitions: int | None = None,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
     """Delimited text that may be gzip under any name; overlong lines skipped.
 
     Plain files split freely.  A gzip stream cannot be split: one task unpacks each
-    such file, then the lines spread over ``partitions`` and parse in the JVM.
-    Each file is read by its own header.
+    such file as it reads, then the records spread over ``partitions`` and parse in the
+    JVM.  Each file is read by its own header.  With ``columns`` only those of them that
+    a file has are taken out of its lines, and what a line holds beyond its header is not
+    looked at.
     """
     plain, packed = [], {}
     for file in files_of(spark, path):
@@ -219,25 +270,52 @@ def read_any_gzip(spark: SparkSession, path: str | list[str], sep: str = ";", pa
             plain.append(file)
         elif (line := first_line(spark, file)) is not None:
             packed.setdefault(header_names(line, sep), []).append(file)
-    frames = [_unpacked(spark, files, names, sep, partitions) for names, files in packed.items()]
+    bad = "skip" if columns is None else "cut"
+    frames = [null_tokens(_unpacked(spark, f, names, sep, "UTF-8", bad, False, partitions, columns)) for names, f in packed.items()]
     if plain or not frames:
-        frames.append(read_delimited(spark, plain, sep, bad_lines="skip"))
+        whole = read_delimited(spark, plain, sep, bad_lines=bad)
+        frames.append(whole if columns is None else whole.select(*[c for c in columns if c in whole.columns], SEQ))
     return union_all(frames)
 
 
-def _unpacked(spark: SparkSession, files: list[str], names: tuple[str, ...], sep: str, partitions: int | None) -> DataFrame:
+def _unpacked(
+    spark: SparkSession,
+    files: list[str],
+    names: tuple[str, ...],
+    sep: str,
+    encoding: str,
+    bad_lines: str,
+    ignore_leading_space: bool,
+    partitions: int | None = None,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
     """Gzip files of one layout."""
-    lines = gzip_lines(spark, files).where("line > 0 AND value <> ''")
+    lines = streamed(spark, files, "records", sep, encoding).where("row > 0 AND value <> ''")
     spread = lines.repartition(partitions or spark.sparkContext.defaultParallelism)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BAD]])
-    options = {"sep": sep, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
-    parsed = spread.select(
-        _seq(F.col("file"), F.lit(0), F.col("line")).alias(SEQ), F.from_csv("value", schema.simpleString(), options).alias("r")
-    )
-    return null_tokens(
-        parsed.where(F.col(f"r.{_BAD}").isNull() | (_fields(F.col(f"r.{_BAD}"), sep) <= len(names)))
-        .select(*[F.col(f"r.`{n}`") for n in names], SEQ)
-    )
+    place = _seq(F.col("file"), F.lit(0), F.col("row")).alias(SEQ)
+    strict = bad_lines != "cut"
+    quoted = {n: "`" + n.replace("`", "``") + "`" for n in (*names, _BAD)[: len(names) + strict]}
+    schema = ", ".join(f"{q} string" for q in quoted.values())
+    options = {"sep": sep, "escape": '"', "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": str(ignore_leading_space).lower()}
+    if strict:
+        options["columnNameOfCorruptRecord"] = _BAD
+    record = F.from_csv("value", schema, options)
+    if columns is not None:
+        wanted = [n for n in names if n in set(columns)]
+        if not wanted:
+            return spread.select(place)
+        # Up to the last wanted column a line is cut at its separators; the rest stays one piece.
+        places = [names.index(n) for n in wanted]
+        cut = F.split("value", re.escape(sep), max(places) + 2)
+        field = lambda n, i: F.when(F.contains("value", F.lit('"')), record.getField(n)).otherwise(F.get(cut, F.lit(i)))
+        return spread.select(*[field(n, i).alias(n) for n, i in zip(wanted, places)], place)
+    parsed = spread.select(place, record.alias("r"))
+    if strict:
+        fits = F.col(f"r.{_BAD}").isNull() | (_fields(F.col(f"r.{_BAD}"), sep) <= len(names))
+        if bad_lines == "raise":
+            fits = fits | F.raise_error(F.concat(F.lit("more fields than the header has: "), F.substring(f"r.{_BAD}", 1, 200))).cast("boolean")
+        parsed = parsed.where(fits)
+    return parsed.select(*[F.col(f"r.{quoted[n]}") for n in names], SEQ)
 
 
 def is_gzip(spark: SparkSession, path: str) -> bool:
@@ -264,6 +342,12 @@ def read_zarc(spark: SparkSession, folder: str, crops: Sequence[str]) -> DataFra
     return union_all(frames)
 
 
+def read_zarc_files(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Some risk files, gzip or not, each by its own header; the crop as in ``read_zarc``."""
+    crop = lambda f: re.sub(r"^zarc_|\.[^.]*$", "", f.rstrip("/").rpartition("/")[2])
+    return union_all([with_crop(read_any_gzip(spark, f), F.lit(crop(f))) for f in files])
+
+
 def _seq(file: Column, block: Column, row: Column) -> Column:
     return F.struct(file.alias("file"), block.cast("bigint").alias("block"), row.cast("bigint").alias("row"))
 
@@ -275,14 +359,17 @@ def with_crop(df: DataFrame, fallback: Column) -> DataFrame:
 
 
 def read_zarc_places(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A plain risk file for ``zarc_municipios``: only the columns in use are parsed, and
-    what a line holds beyond its header is not looked at."""
-    return read_delimited(spark, path, ";", bad_lines="cut")
+    """A risk file, gzip or not, for ``zarc_municipios``: only the columns in use are
+    taken, and what a line holds beyond its header is not looked at."""
+    return read_any_gzip(spark, path, columns=PLACE_COLUMNS)
+
+
+PLACE_COLUMNS = ("cod_municipio_ibge", "municipio", "uf")
 
 
 def zarc_municipios(df: DataFrame) -> DataFrame:
     """Distinct municipalities of a risk file."""
-    geo = ["cod_municipio_ibge", "municipio", "uf"]
+    geo = list(PLACE_COLUMNS)
     order = [SEQ] if SEQ in df.columns else None
     if "cod_municipio_ibge" not in df.columns:
         return df.sparkSession.createDataFrame([], ", ".join(f"{c} string" for c in geo))
@@ -292,18 +379,17 @@ def zarc_municipios(df: DataFrame) -> DataFrame:
 _PAM_COLUMNS = ("D2N", "V", "D1C", "D1N", "D3N")
 
 
-def read_pam_long(spark: SparkSession, path: str, crop_in_path: str = r"([^/_]+)\.json$") -> DataFrame:
-    """Statistics payloads, one JSON list per file; the first record is the header.
+def read_pam_long(spark: SparkSession, path: str | list[str], crop_in_path: str = r"([^/_]+)\.json$") -> DataFrame:
+    """Statistics payloads, one JSON list per file, gzip or not; the first record is the header.
 
-    The crop is what ``crop_in_path`` finds in the path (``pam_soja.json``).
-    A payload is one service response, so it fits a row.
+    The crop is what ``crop_in_path`` finds in the path (``pam_soja.json``).  A payload
+    is cut into its records as it streams, so it may be of any size.
     """
-    record = "array<struct<" + ",".join(f"{c}:string" for c in _PAM_COLUMNS) + ">>"
-    payload = spark.read.text(path, wholetext=True).select(
-        F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), crop_in_path, 1)).alias("cultura_raw"),
-        F.from_json("value", record).alias("records"),
+    record = "struct<" + ",".join(f"{c}:string" for c in _PAM_COLUMNS) + ">"
+    rows = streamed(spark, files_of(spark, path), "elements").where("row > 0").select(
+        F.url_decode(F.regexp_extract("file", crop_in_path, 1)).alias("cultura_raw"),
+        F.from_json("value", record).alias("r"),
     )
-    rows = payload.select("cultura_raw", F.posexplode("records").alias("pos", "r")).where("pos > 0")
     return null_tokens(rows.select("r.*", "cultura_raw"))
 
 
@@ -322,10 +408,10 @@ WEATHER_VARIABLES = ("precipitation_sum", "temperature_2m_max", "temperature_2m_
 
 def read_weather_json(spark: SparkSession, path, pattern: str = r"(\d+)\.json$") -> DataFrame:
     """Daily weather, one JSON object per municipality with parallel arrays; one
-    row per day.  The municipality code is what ``pattern`` finds in the file name."""
+    row per day.  The municipality code is what ``pattern`` finds in the path."""
     daily = "daily struct<time: array<string>, " + ", ".join(f"{v}: array<double>" for v in WEATHER_VARIABLES) + ">"
     raw = spark.read.schema(daily).json(path, multiLine=True)
-    raw = raw.withColumn("codigo_ibge", F.regexp_extract(F.col("_metadata.file_name"), pattern, 1))
+    raw = raw.withColumn("codigo_ibge", F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)))
     return explode_daily(raw)
 
 
@@ -333,7 +419,9 @@ def explode_daily(df: DataFrame) -> DataFrame:
     """Struct ``daily`` of parallel arrays to one row per day."""
     others = [c for c in df.columns if c != "daily"]
     names = ("time", *WEATHER_VARIABLES)
-    zipped = F.arrays_zip(*[F.col(f"daily.{n}").alias(n) for n in names])
+    # A variable that a payload lacks is null on its days; the days stay.
+    present = [F.coalesce(F.col(f"daily.{n}"), F.array().cast(f"array<{'string' if n == 'time' else 'double'}>")) for n in names]
+    zipped = F.arrays_zip(*[c.alias(n) for c, n in zip(present, names)])
     return df.select(*others, F.inline(zipped))
 
 

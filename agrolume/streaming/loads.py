@@ -2,6 +2,10 @@
 
 The batch number is stored in the same commit as the rows, so a batch that is
 replayed after a failure is skipped.  A later batch wins on equal keys.
+
+``stream_chunks`` takes files of any packing and layout and upserts a bounded number of
+rows at a time: a file is unpacked once, its chunks are numbered in the order of its
+rows, and a run that stops inside a file goes on with the chunk after the last stored.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from pyspark.sql.types import StructType
 
 from agrolume.operators.dedupe import SEQ
 from agrolume.operators.table import StoredTable, weekly_reset_due
-from agrolume.sources import conab, zarc
+from agrolume.sources import conab, readers, zarc
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "csv", **options) -> DataFrame:
@@ -102,6 +106,79 @@ def stream_upsert(
     return Run(query, lambda: table.end_run(query_id(spark, checkpoint)))
 
 
+#: Chunk numbers of one micro-batch.
+MOST_CHUNKS = 1 << 20
+_FILE = "path string, modificationTime timestamp, length long, content binary"
+
+
+def _chunked(raw: DataFrame, rows: int, folder: str) -> int:
+    """Land rows in ``folder`` by chunk of about ``rows``, in file order; the number of chunks.
+
+    What is landed stays as it is when the micro-batch is replayed.
+    """
+    spark = raw.sparkSession
+    if not readers.exists(spark, f"{folder}/raw/_SUCCESS"):
+        raw.write.mode("overwrite").parquet(f"{folder}/raw")
+    landed = spark.read.parquet(f"{folder}/raw")
+    chunks = max(1, -(-landed.count() // rows))
+    if not readers.exists(spark, f"{folder}/chunks/_SUCCESS"):
+        dealt = landed.repartitionByRange(chunks, SEQ).withColumn("_chunk", F.spark_partition_id())
+        dealt.write.mode("overwrite").partitionBy("_chunk").parquet(f"{folder}/chunks")
+    return chunks
+
+
+def stream_chunks(
+    spark: SparkSession,
+    path: str,
+    table: StoredTable,
+    read: Callable[[SparkSession, list[str]], DataFrame],
+    to_rows: Callable[[DataFrame], DataFrame],
+    checkpoint: str,
+    name: str,
+    rows: int = 1_000_000,
+    files: int = 1,
+) -> StreamingQuery:
+    """Upsert new files below ``path``, ``files`` per micro-batch, about ``rows`` raw rows at a time.
+
+    The stream itself carries names only; ``read`` opens the files of a micro-batch, each
+    by its own header.  Chunks land beside the checkpoint until their batch is done.
+    """
+    names = (
+        spark.readStream.schema(_FILE).format("binaryFile").option("maxFilesPerTrigger", files)
+        .option("recursiveFileLookup", "true").load(path).select("path")
+    )
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        stream, first = query_id(spark, checkpoint), batch_id * MOST_CHUNKS
+        folder = f"{checkpoint.rstrip('/')}-landed/{batch_id}"
+        paths = sorted(r["path"] for r in batch.collect())  # ``files`` at most
+        if not paths or table.commit().streams.get(stream, -1) >= first + MOST_CHUNKS - 1:
+            return
+        chunks = _chunked(read(spark, paths), rows, folder)
+        landed = spark.read.parquet(f"{folder}/chunks")
+        for chunk in range(chunks):
+            number = first + (chunk if chunk + 1 < chunks else MOST_CHUNKS - 1)
+            if table.commit().streams.get(stream, -1) < number:
+                part = landed.where(F.col("_chunk") == chunk).drop("_chunk")
+                table.upsert(to_rows(part), stream=stream, batch_id=number)
+        readers.remove(spark, folder)
+
+    return (
+        names.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).queryName(name)
+        .trigger(availableNow=True).start()
+    )
+
+
+def stream_zarc_files(spark: SparkSession, path: str, tables: dict, checkpoint: str, name: str = "zarc-files", **size) -> StreamingQuery:
+    """Climate risk files, gzip or plain, each by its own header, in chunks of rows (``stream_chunks``)."""
+    culturas, municipios = tables["dim_cultura"].read(), tables["dim_municipio"].read()
+
+    def to_rows(batch: DataFrame) -> DataFrame:
+        return zarc.fact(zarc.clean(batch), culturas, municipios)
+
+    return stream_chunks(spark, path, tables["fato_risco_zarc"], readers.read_zarc_files, to_rows, checkpoint, name, **size)
+
+
 def stream_zarc(source: DataFrame, tables: dict, checkpoint: str, name: str = "zarc") -> Run:
     """Climate risk files: clean, resolve, unpivot, upsert.  The size of a batch is
     the source's ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``."""
