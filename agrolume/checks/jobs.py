@@ -11,6 +11,7 @@ from agrolume.checks.registry import Tables, query
 from agrolume.checks.views import Star, sales, sql
 from agrolume.operators.dedupe import SEQ, keep_last
 from agrolume.operators.table import assign_ids
+from agrolume.session import scratch_dir
 from agrolume.sources import (
     agrofit,
     conab,
@@ -22,6 +23,7 @@ from agrolume.sources import (
     sementes,
     zarc,
 )
+from agrolume.sources.common import open_tables
 
 # The crop list the jobs resolve to; part types are spelled as crops below.  Two of
 # them are the same crop, so rows of different spelling meet on one key.
@@ -85,20 +87,30 @@ def job_cultivares(spark, folder):
     return named.drop("id_mantenedor", "data_val")
 
 
-@query(
-    """SELECT 'cultivares' AS source, m.metric, CAST(m.value AS BIGINT) AS value FROM (SELECT count(*) AS a,
+_CULTIVARES_METRICS = """SELECT 'cultivares' AS source, m.metric, CAST(m.value AS BIGINT) AS value FROM (SELECT count(*) AS a,
     count(*) FILTER (p_type = 'ECONOMY') AS b, count(*) FILTER (p_size % 31 >= 29) AS c,
     count(*) FILTER (p_size % 4 IN (0, 3)) AS d FROM part),
     LATERAL (VALUES ('rows_in', a), ('accents_corrected', b), ('dates_unparsed', c), ('rows_out', a),
         ('secondary_names', d), ('missing_nr_registro', 0), ('validity_unparsed', 0),
         ('duplicates_removed', 0)) AS m(metric, value)"""
-)
+
+
+@query(_CULTIVARES_METRICS)
 def job_cultivares_metrics(spark, folder):
     # Every raw row differs in its form number, brand or registry number.
     raw = _raw_cultivares(Tables(spark, folder)).withColumn("linha", F.col("_seq.row").cast("string"))
     return cultivares.metrics(raw, cultivares.clean(raw))
 
 
+@query(_CULTIVARES_METRICS)
+def job_cultivares_observed(spark, folder):
+    """The counts that come with the load, in its one scan of the raw rows."""
+    raw = _raw_cultivares(Tables(spark, folder)).withColumn("linha", F.col("_seq.row").cast("string"))
+    tables = open_tables(spark, scratch_dir(spark, "cultivares-load"))
+    tables["dim_cultura"].insert_if_absent(_crops(spark))
+    return cultivares.load_with_metrics(raw, tables)[1]
+
+
 # ---- production statistics ------------------------------------------------
 
 

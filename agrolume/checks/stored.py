@@ -66,6 +66,24 @@ def upsert_merge(spark, folder):
     return table.read().selectExpr(*_PRICE_KEYS.split(", "), "valor_kg")
 
 
+@query(
+    f"""WITH f AS (SELECT id_cultura, id_municipio, nivel_comercializacao, ano, mes, o_orderkey % 11 = 0 AS a, o_orderkey % 7 = 0 AS b,
+    coalesce(id_municipio % 5 = 0, false) AS c FROM ({_ORDERS}))
+    SELECT 'not_null:mes' AS reason, count(*) AS n FROM f WHERE a UNION ALL SELECT 'max_length:uf', count(*) FROM f WHERE b
+    UNION ALL SELECT 'reference:id_municipio', count(*) FROM f WHERE c UNION ALL SELECT 'stored', count(*) FROM (
+    SELECT DISTINCT id_cultura, id_municipio, nivel_comercializacao, ano, mes FROM f WHERE NOT (a OR b OR c))"""
+)
+def upsert_checked(spark, folder):
+    """Nulls, long texts and orphans land among the rejects with their reasons; the rest is stored."""
+    table, rows = _table(spark, schema.PRECOS_MENSAL), _prices(Tables(spark, folder))
+    rows = rows.withColumn("uf", F.expr("CASE WHEN o_orderkey % 7 = 0 THEN 'XYZ' ELSE uf END"))
+    rows = rows.withColumn("mes", F.expr("CASE WHEN o_orderkey % 11 > 0 THEN mes END"))
+    places = rows.select("id_municipio").distinct().where("id_municipio % 5 <> 0")
+    table.upsert(rows, order=["o_orderkey"], references={"dim_municipio": places})
+    stored = table.read().agg(F.count("*").alias("n")).select(F.lit("stored").alias("reason"), "n")
+    return table.rejects().select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n")).union(stored)
+
+
 @query(
     f"""SELECT CAST(1 AS INTEGER) AS version, count(*) AS n, round(sum(valor_kg), 2) AS total FROM (SELECT * FROM ({_ORDERS})
     WHERE ano < 1998 QUALIFY row_number() OVER (PARTITION BY {_PRICE_KEYS} ORDER BY o_orderkey DESC) = 1)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from agrolume.schema import Table
+from agrolume.schema import TABLES, Table
 
 # Days after which an input file is stale.
 FRESH_DAYS = 30
@@ -33,6 +33,55 @@ def column_violations(df: DataFrame, table: Table) -> DataFrame:
     return _as_rows(df, [(F.lit(k), F.lit(c), n) for k, c, n in checks], ("check", "column", "n"))
 
 
+#: Why a row is turned away, as ``check:column``; empty for a row that fits.
+REASONS = "reasons"
+
+
+def violations(df: DataFrame, table: Table, references: Mapping[str, DataFrame]) -> DataFrame:
+    """``df`` with ``reasons``: nulls in required columns, texts over their length, and
+    keys that are not in the given dimensions.  Rows stay as many as they are."""
+    wrong = [F.when(F.col(c).isNull(), f"not_null:{c}") for c in table.required]
+    wrong += [F.when(F.length(c) > n, f"max_length:{c}") for c, n in table.max_length.items()]
+    marks = []
+    for name in table.references:
+        if name not in references:
+            continue
+        key = TABLES[name].pk
+        mark, known = f"_in_{name}", F.col(f"_{name}")
+        dim = references[name].select(F.col(key).alias(f"_{name}")).distinct().withColumn(mark, F.lit(True))
+        df = df.join(dim, F.col(key) == known, "left").drop(f"_{name}")
+        wrong.append(F.when(F.col(key).isNotNull() & F.col(mark).isNull(), f"reference:{key}"))
+        marks.append(mark)
+    reasons = F.array_compact(F.array(*wrong)) if wrong else F.array().cast("array<string>")
+    return df.withColumn(REASONS, reasons).drop(*marks)
+
+
+class Observed:
+    """Counts that come with a write: ``watch`` a DataFrame, run its action, read ``rows``.
+
+    The aggregates are taken as the rows go by (``DataFrame.observe``), so nothing is
+    read again.  Distinct counts can't be taken so.
+    """
+
+    def __init__(self, spark: SparkSession, source: str):
+        self.spark, self.source = spark, source
+        self._watched: list[Observation] = []
+
+    def watch(self, df: DataFrame, metrics: dict[str, Column]) -> DataFrame:
+        seen = Observation()
+        self._watched.append(seen)
+        return df.observe(seen, *[expr.cast("bigint").alias(name) for name, expr in metrics.items()])
+
+    def values(self) -> dict[str, int]:
+        """Metric to value; waits for the action."""
+        return {name: value for seen in self._watched for name, value in seen.get.items()}
+
+    def rows(self) -> DataFrame:
+        """(source, metric, value) as ``dq_metrics`` gives them."""
+        found = [(self.source, name, value) for name, value in self.values().items()]
+        return self.spark.createDataFrame(found, "source string, metric string, value bigint")
+
+
 def dq_metrics(df: DataFrame, source: str, metrics: dict[str, Column]) -> DataFrame:
     """(source, metric, value) rows from aggregate expressions, in a single pass."""
     rows = [(F.lit(source), F.lit(name), expr) for name, expr in metrics.items()]

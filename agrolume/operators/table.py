@@ -12,7 +12,8 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from functools import reduce
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agrolume.operators.dedupe import SEQ, keep_first, keep_last
+from agrolume.operators.quality import REASONS, violations
 from agrolume.schema import STAMP, Table
 
 # Partition values become folder names; values that fall together share a folder.
@@ -53,6 +55,7 @@ class Commit:
     folders: dict[str, list[str]] = field(default_factory=dict)  # partition -> write folders
     streams: dict[str, int] = field(default_factory=dict)  # id of a streaming query -> last batch applied
     runs: dict[str, str] = field(default_factory=dict)  # id of a streaming query -> its run, until that has ended
+    rejects: list[str] = field(default_factory=list)  # write folders of rows that a checked load turned away
 
 
 class StoredTable:
@@ -135,12 +138,22 @@ class StoredTable:
     def read(self, version: int | None = None, parts: list | None = None) -> DataFrame:
         """The table as of a commit, or only the storage partitions of some values
         (``parts=["2022/23"]`` for a table split by crop year): others are never listed."""
-        folders = self.commit(version).folders
+        return self.as_of(self.commit(version), parts)
+
+    def as_of(self, commit: Commit, parts: list | None = None) -> DataFrame:
+        """``read`` of a commit in hand."""
+        folders = commit.folders
         if parts is not None and self.table.partition:
             wanted = {_part_of(v) for v in parts}
             folders = {p: ws for p, ws in folders.items() if p in wanted}
         return self._load(folders).select(*self.table.schema.names)
 
+    def rejects(self) -> DataFrame:
+        """The declared columns and ``reasons`` of all rows that checked loads turned away."""
+        paths = [f"{self.root}/rejects/write={w}" for w in self.commit().rejects]
+        columns = self.table.data_schema.add(REASONS, T.ArrayType(T.StringType()))
+        return self.spark.read.schema(columns).parquet(*paths) if paths else self.spark.createDataFrame([], columns)
+
     def history(self) -> DataFrame:
         """One row per commit still on record."""
         rows = [(c.version, c.written_at, len(c.folders)) for c in map(self.commit, self.versions())]
@@ -178,20 +191,21 @@ class StoredTable:
         mark = f"{self.split_by}="
         return [n.removeprefix(mark) for n in names if n.startswith(mark)]
 
-    def _next(self, old: Commit, folders, stream=None, batch_id=None, run=None) -> None:
+    def _next(self, old: Commit, folders, stream=None, batch_id=None, run=None, rejects: list[str] | None = None) -> None:
         streams, runs = dict(old.streams), dict(old.runs)
         if stream is not None:
             streams[stream] = batch_id
         if run is not None:
             runs[stream] = run
-        self._publish(Commit(old.version + 1, datetime.now(UTC).isoformat(), folders, streams, runs))
+        rejects = old.rejects if rejects is None else rejects
+        self._publish(Commit(old.version + 1, datetime.now(UTC).isoformat(), folders, streams, runs, rejects))
 
     def end_run(self, stream: str) -> None:
         """Forget the run of a streaming query: it has read all there was."""
         old = self.commit()
         if stream in old.runs:
             runs = {k: v for k, v in old.runs.items() if k != stream}
-            self._publish(Commit(old.version + 1, datetime.now(UTC).isoformat(), old.folders, old.streams, runs))
+            self._publish(Commit(old.version + 1, datetime.now(UTC).isoformat(), old.folders, old.streams, runs, old.rejects))
 
     def upsert(
         self,
@@ -201,6 +215,7 @@ class StoredTable:
         stream: str | None = None,
         batch_id: int | None = None,
         run: str | None = None,
+        references: Mapping[str, DataFrame] | None = None,
     ) -> int:
         """Insert the batch; on an equal key the batch row wins, column by column.
 
@@ -209,6 +224,11 @@ class StoredTable:
         ``replace`` the previous content is dropped in the same commit.  A
         ``(stream, batch_id)`` already applied is skipped; ``run`` is recorded with it.
         Two keys with one surrogate id stop the upsert.  Returns the rows written.
+
+        With ``references`` (dimensions by name; an empty mapping checks columns only)
+        the load is checked: rows that lack a required value, hold a text over its
+        length or point at no dimension row are parted from the others in the one pass
+        over the batch, and ``rejects()`` shows them from the same commit on.
         """
         old, t = self.commit(), self.table
         if stream is not None and old.streams.get(stream, -1) >= batch_id:
@@ -216,7 +236,11 @@ class StoredTable:
         # ``order`` may name columns of the batch that are not stored.
         extra = tuple(dict.fromkeys([SEQ] if order is None and SEQ in batch.columns else order or ()))
         extra = tuple(c for c in extra if c not in t.data_schema.names)
-        rows = keep_last(t.conform(batch, extra), t.keys, order).drop(*extra)
+        rows, rejects, staged = t.conform(batch, extra), None, None
+        if references is not None:
+            rows, found, staged = self._checked(rows, references)
+            rejects = (old.rejects if not replace else []) + found
+        rows = keep_last(rows, t.keys, order).drop(*extra)
         new = self._write(self._stamped(rows))
         fresh = {p: [new] for p in self._partitions(new)}
         written = self._load(fresh)
@@ -234,9 +258,40 @@ class StoredTable:
                     folders[p] = [w for w in folders[p] if w not in gone] + ([kept] if p in still else [])
         for p, ws in fresh.items():
             folders[p] = folders.get(p, []) + ws
-        self._next(old, folders, stream, batch_id, run)
+        self._next(old, folders, stream, batch_id, run, rejects)
+        if staged:
+            fs, jpath = self._fs(staged)
+            fs.delete(jpath, True)
         return written.count()
 
+    def _checked(self, rows: DataFrame, references: Mapping[str, DataFrame]) -> tuple[DataFrame, list[str], str]:
+        """The rows that fit, the folders (one or none) of those that do not, the staging folder.
+
+        The batch is judged and written once, good and bad rows apart; what follows
+        reads the good ones from there.
+        """
+        write = uuid.uuid4().hex
+        staged, bad = f"{self.root}/staged/write={write}", F.col("_bad")
+        judged = violations(rows, self.table, references)
+        judged.withColumn("_bad", F.size(REASONS) > 0).write.partitionBy("_bad").parquet(staged)
+        stored = self.spark.read.schema(T.StructType([*judged.schema, T.StructField("_bad", T.BooleanType())])).parquet(staged)
+        if not self._children(f"{staged}/_bad=true"):
+            return stored.where(~bad).drop(REASONS, "_bad"), [], staged
+        turned_away = stored.where(bad).select(*self.table.data_schema.names, REASONS)
+        turned_away.write.parquet(f"{self.root}/rejects/write={write}")
+        return stored.where(~bad).drop(REASONS, "_bad"), [write], staged
+
+    @contextmanager
+    def staged(self, df: DataFrame) -> Iterator[DataFrame]:
+        """``df`` written once beside the table, for as long as several steps read it."""
+        path = f"{self.root}/staged/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        try:
+            yield self.spark.read.schema(df.schema).parquet(path)
+        finally:
+            fs, jpath = self._fs(path)
+            fs.delete(jpath, True)
+
     def compact(self, parts: list | None = None) -> int:
         """Merge the folders of each partition (or of those of the given values) into one.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from agrolume.functions import capacity_grade, month_label, nonzero
 from agrolume.functions.grading import CAPACITY
-from agrolume.plans.base import Star, find_municipio, places
+from agrolume.plans.base import Star, find_municipio, places, within
 
 # Rain in mm, suppliers needed, mark of an active one (it is also
 # found inside INATIVO, which therefore counts).
@@ -51,7 +51,7 @@ def janela_aplicacao(t: Star, codigo_ibge: str, ano: int, mes: int, ladder=CAPAC
     mun = find_municipio(t, codigo_ibge)
     start = F.make_timestamp_ntz(F.lit(ano), F.lit(mes), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
     month = (F.col("data") >= start) & (F.col("data") < start + F.expr("interval 1 month"))
-    rain = t["fato_meteorologia"].where((F.col("id_municipio") == mun.id_municipio) & month)
+    rain = within(t, "fato_meteorologia", [ano]).where((F.col("id_municipio") == mun.id_municipio) & month)
     row = rain.agg(F.sum("precipitacao_total_mm").alias("_chuva")).select(
         F.lit(mun.nome).alias("municipio"),
         F.lit(mun.uf).cast("string").alias("uf"),

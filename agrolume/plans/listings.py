@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agrolume.operators.ranking import page_envelope, paginate
-from agrolume.plans.base import Star, crops, one, places
+from agrolume.plans.base import Star, crops, one, places, within, years
 
 total_pages = page_envelope
 
@@ -44,7 +44,7 @@ def _named_places(t: Star) -> DataFrame:
 
 
 def list_pam(t: Star, cultura=None, uf=None, ano=None, page: int | None = 1, page_size: int = 20) -> DataFrame:
-    fact = _filtered(t["fato_producao_pam"], ano=ano)
+    fact = _filtered(within(t, "fato_producao_pam", [ano]) if ano else t["fato_producao_pam"], ano=ano)
     rows = fact.join(_filtered(crops(t), cultura=_lower(cultura)), "id_cultura").join(
         _filtered(_named_places(t), uf=_upper(uf)), "id_municipio"
     )
@@ -112,7 +112,8 @@ def list_clima(
     page_size: int = 20,
 ) -> DataFrame:
     """Days from ``data_inicio`` to ``data_fim``, both included."""
-    fact = t["fato_meteorologia"]
+    both = data_inicio and data_fim
+    fact = within(t, "fato_meteorologia", years(data_inicio, data_fim)) if both else t["fato_meteorologia"]
     if data_inicio:
         fact = fact.where(F.col("data") >= F.lit(data_inicio).cast("timestamp_ntz"))
     if data_fim:

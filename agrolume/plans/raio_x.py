@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from agrolume.functions import nonzero, year_of
 from agrolume.operators.ranking import group_mode
-from agrolume.plans.base import Star, crops, find_cultura, find_municipio, places
+from agrolume.plans.base import Star, crops, find_cultura, find_municipio, places, within
 
 # Fixed value: below this yield (t/ha) the harvest counts as failed.
 FAILURE_YIELD = 1.0
@@ -70,7 +70,8 @@ def raio_x_municipal(
         [tuple(asked[c] for c in ("id_municipio", "id_cultura", "ano", "nome", "uf", "nome_padronizado"))],
         f"{keys}, municipio string, uf string, cultura string",
     )
-    pam = t["fato_producao_pam"].where(here & crop & (F.col("ano") == ano)).select(*PAM_COLUMNS)
-    meteo = t["fato_meteorologia"].where(here & (F.col("data") >= start) & (F.col("data") < end))
+    pam = within(t, "fato_producao_pam", [ano]).where(here & crop & (F.col("ano") == ano)).select(*PAM_COLUMNS)
+    meteo = within(t, "fato_meteorologia", [ano]).where(here & (F.col("data") >= start) & (F.col("data") < end))
     base = row.join(pam, ["id_municipio", "id_cultura", "ano"], "left")
-    return _profile(base, t["fato_risco_zarc"].where(here & crop), meteo, failure_yield)
+    risk = within(t, "fato_risco_zarc", [cult.id_cultura]).where(here & crop)
+    return _profile(base, risk, meteo, failure_yield)
