@@ -125,6 +125,7 @@ def word_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = stored(texts.groupBy("id", "hash").agg(F.count("*").alias("n")), "rows")
     # One row of each text counts; of n rows that agree in doc_id too, n - 1 are taken off.
     once = rows.groupBy("hash").agg(F.sum("n").alias("copies"), F.min(F.struct("id")).alias("first"))
+    once = stored(once, "once")  # a plain side in the join below, which can then split a text with very many copies
     every = once.agg(F.count("*").alias("n_all"))
     copied = rows.join(once.where("copies > 1"), "hash")
     spare = copied.select(F.col("id").alias("spare_id"), F.col("hash").alias("spare_hash"), F.when(F.col("id").eqNullSafe(F.col("first.id")), (F.col("n") - 1) / F.col("n")).otherwise(1.0).alias("off"))
