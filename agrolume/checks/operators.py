@@ -144,6 +144,21 @@ def resolve_cultura_by_words(spark, folder):
     return _resolved(spark, folder, lookup.resolve_cultura_by_words)
 
 
+@query(
+    """WITH cultivar AS (SELECT o_custkey, o_orderpriority, min(o_orderkey) AS id_cultura FROM orders GROUP BY 1, 2)
+    SELECT id_cultura, count(*) AS n, sum(l_quantity) AS total FROM lineitem LEFT JOIN cultivar ON o_custkey = l_partkey
+    AND o_orderpriority = CASE l_linestatus WHEN 'O' THEN '5-LOW' ELSE '4-NOT SPECIFIED' END GROUP BY 1"""
+)
+def resolve_long_list(spark, folder):
+    """A crop for every order, looked for in long names, and short names looked for in the crops."""
+    t = Tables(spark, folder)
+    crops = t.orders.selectExpr("o_orderkey AS id_cultura", "concat('cultivar ', o_custkey, ' ', o_orderpriority) AS nome_padronizado")
+    spelled = """CASE l_linestatus WHEN 'O' THEN concat(l_returnflag, ' Cultivar ', l_partkey, ' 5-Low ', l_linenumber)
+        ELSE concat(l_partkey, '_4 NOT') END AS nome"""
+    found = lookup.resolve_cultura_by_words(t.lineitem.selectExpr("l_quantity", spelled), "nome", crops)
+    return found.groupBy("id_cultura").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("total"))
+
+
 @query(
     sql(
         "municipio",
@@ -368,3 +383,13 @@ def page_after(spark, folder):
     part, order = Tables(spark, folder).part, ["p_brand", "p_partkey"]
     last = ranking.page_after(part, order, page_size=100).orderBy(F.desc("p_brand"), F.desc("p_partkey")).first()
     return ranking.page_after(part, order, [last[c] for c in order], 50).select("p_brand", "p_partkey", "p_size")
+
+
+@query(
+    """SELECT o_orderdate, o_orderkey, o_totalprice FROM orders ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST
+    LIMIT 50 OFFSET (SELECT count(*) // 100 * 50 FROM orders)"""
+)
+def page_deep(spark, folder):
+    """The page in the middle of all orders by date, by its number."""
+    orders = Tables(spark, folder).orders.select("o_orderdate", "o_orderkey", "o_totalprice")
+    return ranking.paginate(orders, ["o_orderdate", "o_orderkey"], orders.count() // 100 + 1, 50, deep=1_000)

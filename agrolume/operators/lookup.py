@@ -94,56 +94,57 @@ def resolve_cultura(
     return named.withColumn("id_cultura", F.when(raw != "", F.coalesce(exact, found)).cast("int")).drop("_crop")
 
 
-def _runs(words: Column) -> Column:
-    """Every run of consecutive words."""
-    n = F.size(words)
-    lengths = F.sequence(F.lit(1), n)
-    runs = F.transform(
-        lengths, lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.array_join(F.slice(words, i, k), " "))
-    )
-    return F.array_distinct(F.flatten(runs))
+def _words(texts: DataFrame, text: str) -> DataFrame:
+    """A row per different word of each text: (_text, _word), the text as its hash."""
+    return texts.select(F.xxhash64(text).alias("_text"), F.explode(F.array_distinct(F.split(text, " "))).alias("_word"))
+
 
+def texts_within(inner: DataFrame, outer: DataFrame, inside: str, around: str) -> DataFrame:
+    """Pairs of texts (column ``inside`` of the one, ``around`` of the other) of which
+    the first's words stand in a row within the second.
 
-def _marked(mark: str, texts: Column) -> Column:
-    return F.transform(texts, lambda x: F.concat(F.lit(mark), x))
+    A text that lies within another shares all of its words with it, so each is
+    looked up by the one word that the fewest of the others hold, and confirmed on the
+    texts.  Keys grow with the words, and carry hashes instead of texts; a hash that
+    two texts share only proposes a pair more.  Both sides are expected without repeats.
+    """
+    held = _words(outer, around).withColumnRenamed("_text", "_outer")
+    counts = held.groupBy("_word").agg(F.count("*").alias("_n"))
+    asked = _words(inner, inside).withColumnRenamed("_text", "_inner").join(counts, "_word", "left")
+    n = F.coalesce("_n", F.lit(0))
+    rarest = asked.groupBy("_inner").agg(F.min(F.struct(n.alias("n"), "_word")).alias("_least"))
+    # A word that no other text holds settles that there is no pair.
+    rarest = rarest.where("_least.n > 0").select("_inner", F.col("_least._word").alias("_word"))
+    pairs = rarest.join(held, "_word").select("_inner", "_outer")
+    pairs = pairs.join(inner.select(inside, F.xxhash64(inside).alias("_inner")), "_inner")
+    pairs = pairs.join(outer.select(around, F.xxhash64(around).alias("_outer")), "_outer")
+    padded = [F.concat(F.lit(" "), c, F.lit(" ")) for c in (around, inside)]
+    return pairs.where(F.contains(*padded)).select(inside, around)
 
 
 def resolve_cultura_by_words(
     df: DataFrame, name: str, culturas: DataFrame, order_by: str = "id_cultura", strict_reference: bool = False
 ) -> DataFrame:
-    """``resolve_cultura`` as one equi-join over the distinct names, for long crop lists.
+    """``resolve_cultura`` through equi-joins over the distinct names, for long crop lists.
 
-    " a b " lies inside " x a b y " exactly when (a, b) is a run of consecutive
-    words, so containment turns into equality on runs.  A mark before each text
-    tells exact names (=), crops inside a name (>) and names inside a crop (<) apart.
+    Crops within a name and names within a crop are found by ``texts_within``, so the
+    cost grows with the words of both lists and the pairs that share a rare word.
     """
     key = F.col(f"`{name}`")
     names = df.where(key != "").select(key.alias("_name")).distinct()
     names = names.withColumn("_crop", _canonical(fold_crop("_name"), strict_reference))
-    asked = names.select(
-        "_name",
-        F.explode(
-            F.concat(
-                F.array(F.concat(F.lit("="), "_name"), F.concat(F.lit("<"), "_crop")),
-                _marked(">", _runs(F.split("_crop", " "))),
-            )
-        ).alias("_key"),
-    )
     crops = culturas.where("nome_padronizado IS NOT NULL").select(
-        "id_cultura", "nome_padronizado", fold_crop("nome_padronizado").alias("_target"), F.col(order_by).alias("_ord")
-    )
-    offered = crops.select(
-        "id_cultura",
-        "_ord",
-        F.explode(
-            F.concat(
-                F.array(F.concat(F.lit("="), "nome_padronizado"), F.concat(F.lit(">"), "_target")),
-                _marked("<", _runs(F.split("_target", " "))),
-            )
-        ).alias("_key"),
+        "nome_padronizado",
+        fold_crop("nome_padronizado").alias("_target"),
+        F.struct(F.col(order_by).alias("ord"), F.col("id_cultura").alias("id")).alias("_place"),
     )
-    place = F.struct(~F.startswith("_key", F.lit("=")), F.col("_ord"), F.col("id_cultura"))
-    chosen = asked.join(offered, "_key").groupBy("_name").agg(F.min_by("id_cultura", place).alias("id_cultura"))
+    exact = crops.groupBy(F.col("nome_padronizado").alias("_name")).agg(F.min("_place").alias("_exact"))
+    targets = crops.groupBy("_target").agg(F.min("_place").alias("_place"))
+    texts, asked = names.select("_crop").distinct(), targets.select("_target")
+    found = texts_within(asked, texts, "_target", "_crop").unionByName(texts_within(texts, asked, "_crop", "_target"))
+    first = found.join(targets, "_target").groupBy("_crop").agg(F.min("_place").alias("_found"))
+    chosen = names.join(exact, "_name", "left").join(first, "_crop", "left")
+    chosen = chosen.select("_name", F.coalesce("_exact", "_found")["id"].alias("id_cultura"))
     return df.join(chosen, key == F.col("_name"), "left").drop("_name")
 
 

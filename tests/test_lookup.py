@@ -100,3 +100,22 @@ def test_repeated_and_null_crop_names(rows, resolve):
     crops = rows([(5, "soja"), (2, "soja"), (1, None), (3, "milho")], "id_cultura int, nome_padronizado string")
     df = rows([{"nome": n} for n in ("soja", "Milho doce", None)])
     assert {r.nome: r.id_cultura for r in resolve(df, "nome", crops).collect()} == {"soja": 2, "Milho doce": 3, None: None}
+
+
+def test_long_list(rows):
+    """Thousands of crops of few words, long names among them, against the plain rule."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(400)] + ["de", "da", "do"]
+    text = lambda low, high: " ".join(rng.choices(words + ["de"] * 200, k=rng.randint(low, high)))
+    crops = list(enumerate(dict.fromkeys(text(1, 4) for _ in range(5500)), 1))
+    asked = [text(1, 6) for _ in range(300)] + [text(200, 300), crops[-1][1], "de", "  ", "w1  w2"]
+    df = rows([(n,) for n in asked], "nome string")
+    got = lookup.resolve_cultura_by_words(df, "nome", rows(crops, "id_cultura int, nome_padronizado string"))
+    assert {r.nome: r.id_cultura for r in got.collect()} == {n: plain_crop(n, crops) for n in asked}
+
+
+def test_texts_within_emits_words_not_runs(rows):
+    name = " ".join(f"w{i}" for i in range(2000))
+    outer, inner = rows([(name,)], "o string"), rows([("w7 w8",), ("w8 w7",), ("x w8",), (name,)], "i string")
+    assert lookup._words(outer, "o").count() == 2000
+    assert {r.i for r in lookup.texts_within(inner, outer, "i", "o").collect()} == {"w7 w8", name}

@@ -1,5 +1,7 @@
 from datetime import datetime
 
+import pytest
+
 from agrolume import schema
 from agrolume.operators import dedupe, quality, ranking, reshape
 from agrolume.sources import zarc
@@ -111,3 +113,35 @@ def test_pages_after_a_row(rows):
         last = tuple(page[-1])
         got += map(tuple, page)
     assert got == [(None, 1), (None, 2), ("a", 1), ("a", 3), ("b", 2)]
+
+
+@pytest.mark.parametrize("size", [7, 40])
+def test_deep_pages(rows, size):
+    """Every page is that of plain sorting, with nulls, ties in the first column and pages beyond the end."""
+    keys = [(None if i % 5 == 0 else "abc"[i % 3], i if i % 11 else None) for i in range(400)]
+    keys = list(dict.fromkeys(keys))
+    df = rows(keys, "k string, i int")
+    wanted = sorted(keys, key=lambda x: (x[0] is not None, x[0] or "", x[1] is not None, x[1] or 0))
+    last = len(wanted) // size + 2
+    for page in (1, 2, last // 2, last - 2, last - 1, last):
+        got = ranking.paginate(df, ["k", "i"], page, size, deep=size).collect()
+        assert list(map(tuple, got)) == wanted[(page - 1) * size : page * size], page
+
+
+def test_deep_page_sorts_one_range(spark):
+    df = spark.range(200_000).selectExpr("id * 7 % 200000 AS id", "'x' AS v")
+    part, skip = ranking._range_of(df, ["id"], 150_000, 20, most=1_000)
+    assert part.count() <= 20_000 and skip < part.count()  # a sixty-fourth, give or take the draw
+    assert [r.id for r in ranking.paginate(df, ["id"], 7_501, 20, deep=1_000).collect()] == list(range(150_000, 150_020))
+
+
+def test_equal_keys_end_the_narrowing(rows):
+    df = rows([(1,)] * 300 + [(2,)], "k int")
+    assert [r.k for r in ranking.paginate(df, ["k"], 31, 10, deep=10).collect()] == [2]
+
+
+def test_page_after_reaches_the_scan(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 3 AS j").write.parquet(str(tmp_path / "t"))
+    page = ranking.page_after(spark.read.parquet(str(tmp_path / "t")), ["id", "j"], [50, 2], 5)
+    assert "GreaterThanOrEqual(id,50)" in page._jdf.queryExecution().executedPlan().toString()
+    assert [r.id for r in page.collect()] == [51, 52, 53, 54, 55]
