@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from agrolume.functions import code7, fold_crop, strip
 from agrolume.functions.text import fold_text
 from agrolume.operators.dedupe import keep_first
+from agrolume.session import scratch_dir
 
 # Scientific name found in a text, and the crop it stands for.
 CROP_SYNONYMS = {
@@ -122,22 +123,33 @@ def texts_within(inner: DataFrame, outer: DataFrame, inside: str, around: str) -
     return pairs.where(F.contains(*padded)).select(inside, around)
 
 
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def resolve_cultura_by_words(
     df: DataFrame, name: str, culturas: DataFrame, order_by: str = "id_cultura", strict_reference: bool = False
 ) -> DataFrame:
     """``resolve_cultura`` through equi-joins over the distinct names, for long crop lists.
 
+    The distinct names and the crops are folded once, into the shared scratch folder, when
+    this is called; the rows of ``df`` are joined when the result is used.
     Crops within a name and names within a crop are found by ``texts_within``, so the
     cost grows with the words of both lists and the pairs that share a rare word.
     """
     key = F.col(f"`{name}`")
     names = df.where(key != "").select(key.alias("_name")).distinct()
-    names = names.withColumn("_crop", _canonical(fold_crop("_name"), strict_reference))
+    # Exploding one element keeps the long folding expression a column of its own, once.
+    names = names.select("_name", F.explode(F.array(fold_crop("_name"))).alias("_folded"))
+    names = _stored(names.select("_name", _canonical(F.col("_folded"), strict_reference).alias("_crop")), "names")
     crops = culturas.where("nome_padronizado IS NOT NULL").select(
         "nome_padronizado",
-        fold_crop("nome_padronizado").alias("_target"),
+        F.explode(F.array(fold_crop("nome_padronizado"))).alias("_target"),
         F.struct(F.col(order_by).alias("ord"), F.col("id_cultura").alias("id")).alias("_place"),
     )
+    crops = _stored(crops, "crops")
     exact = crops.groupBy(F.col("nome_padronizado").alias("_name")).agg(F.min("_place").alias("_exact"))
     targets = crops.groupBy("_target").agg(F.min("_place").alias("_place"))
     texts, asked = names.select("_crop").distinct(), targets.select("_target")
