@@ -2,7 +2,10 @@
 
 The tree is fitted on a bounded sample (about ``SAMPLE`` vectors by hash of the id):
 every node splits its part into ``BRANCHES`` clusters until ``LEAF`` sample vectors are
-left.  Every row goes down the tree to one leaf.  A query keeps the open nodes in a
+left.  Every row goes down the tree to one leaf.  The tree grows with the table: leaves
+that hold far more than ``ROWS_PER_LEAF`` rows are split by trees of their own, fitted
+side by side in tasks on a bounded sample of each, until ``CENTRES`` components of centres
+bound the size of the whole tree.  A query keeps the open nodes in a
 priority queue by inner product with their centres and takes the best first; how many
 leaves it visits is widened until ``TARGET`` of the true neighbours of ``PROBES`` probe
 queries, found by brute force over all rows, lie in the visited leaves.
@@ -20,8 +23,9 @@ so with fewer candidates than k it gets all of them.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -34,6 +38,10 @@ from agrolume.llm.vectors import best, matrix, nearest, usable
 
 SAMPLE, BRANCHES, LEAF = 20_000, 8, 64
 ROUNDS = 12
+#: Rows that a leaf is meant to hold; all centres together have about so many components (64 MB) at most.
+ROWS_PER_LEAF, CENTRES = 4_096, 8_000_000
+#: A leaf is split at most so many times; each turn splits it into up to SAMPLE / LEAF parts.
+TURNS = 6
 PROBES, TARGET = 64, 0.95
 #: One visit in so many goes first; the k-th score it finds is the floor of the others.
 FIRST = 8
@@ -96,17 +104,31 @@ class Tree:
 
     def visits(self, query: np.ndarray, most: int) -> list[int]:
         """The first ``most`` leaves, best bin first."""
-        scores = self.centres @ query
-        heap, out = [(-scores[0], 0)], []
-        heapify(heap)
+        heap, out = [(0.0, 0)], []
         while heap and len(out) < most:
             _, node = heappop(heap)
             if self.leaf[node] >= 0:
                 out.append(self.leaf[node])
-            for child in self.children[node]:
-                heappush(heap, (-scores[child], child))
+                continue
+            children = self.children[node]
+            for child, score in zip(children, (self.centres[children] @ query).tolist()):
+                heappush(heap, (-score, child))
         return out
 
+    def graft(self, parts: dict[int, "Tree"]) -> None:
+        """Leaves that become trees; one leaf of each keeps the number, the others get new ones."""
+        node_of = {leaf: node for node, leaf in enumerate(self.leaf) if leaf in parts}
+        centres = [self.centres]
+        for leaf, part in sorted(parts.items()):
+            node, offset = node_of[leaf], len(self.leaf) - 1  # the root of the part is the leaf's node
+            self.children[node] = [child + offset for child in part.children[0]]
+            self.leaf[node] = -1
+            self.children += [[child + offset for child in children] for children in part.children[1:]]
+            self.leaf += [number if number < 0 else leaf if number == 0 else self.leaves + number - 1 for number in part.leaf[1:]]
+            self.leaves += part.leaves - 1
+            centres.append(part.centres[1:])
+        self.centres = np.concatenate(centres)
+
 
 def exact_scores(points: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Inner products, summed alike for equal vectors wherever they stand."""
@@ -142,32 +164,81 @@ def answers(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.nd
 class Index:
     """Every row of ``vectors`` (vec_id, embedding) in a leaf of the tree of its length."""
 
-    def __init__(self, vectors: DataFrame, k: int):
+    def __init__(self, vectors: DataFrame, k: int, sample_size: int = SAMPLE, rows_per_leaf: int = ROWS_PER_LEAF):
         clean = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
         clean = clean.where(F.exists("embedding", lambda x: x != 0)).select("vec_id", F.col("embedding").cast("array<double>").alias("v"), F.size("embedding").alias("dim"))
         self.rows, self.k = clean.count(), k
-        drawn = F.pmod(F.xxhash64("vec_id", F.lit("tree")), F.lit(1_000_003)) < 1_000_003.0 * SAMPLE / max(self.rows, 1)
+        drawn = F.pmod(F.xxhash64("vec_id", F.lit("tree")), F.lit(1_000_003)) < 1_000_003.0 * sample_size / max(self.rows, 1)
         sample: dict[int, list] = {}
-        for r in clean.where(drawn).orderBy("vec_id", "v").limit(2 * SAMPLE).collect():
+        for r in clean.where(drawn).orderBy("vec_id", "v").limit(2 * sample_size).collect():
             sample.setdefault(r["dim"], []).append(r["v"])
         #: A length that the sample does not hold has one leaf.
         self.trees = {dim: Tree(np.array(points, np.float64)) for dim, points in sample.items()}
-        shared = clean.sparkSession.sparkContext.broadcast(self.trees)
+        self.indexed = self._placed(clean)
+        self.sizes = self._sizes()
+        settled: set[tuple[int, int]] = set()
+        for _ in range(TURNS):
+            parts = self._split(sample_size, rows_per_leaf, settled)
+            if not parts:
+                break
+            for dim, of_dim in parts.items():
+                self.trees[dim].graft(of_dim)
+            self.indexed = self._placed(self.indexed.drop("leaf"))
+            self.sizes = self._sizes()
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        """The rows (vec_id, v, dim) with their leaves, stored."""
+        shared = rows.sparkSession.sparkContext.broadcast(self.trees)
 
         def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 dims, leaves = batch.column("dim").to_numpy(), np.zeros(batch.num_rows, np.int32)
                 for dim in np.unique(dims):
                     if dim in shared.value:
-                        rows = np.flatnonzero(dims == dim)
-                        points = np.array(batch.column("v").take(pa.array(rows)).to_pylist(), np.float64)
-                        leaves[rows] = shared.value[dim].place(points)
+                        at = np.flatnonzero(dims == dim)
+                        points = np.array(batch.column("v").take(pa.array(at)).to_pylist(), np.float64)
+                        leaves[at] = shared.value[dim].place(points)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.int32())], names=["vec_id", "v", "dim", "leaf"])
 
-        self.indexed = stored(clean.mapInArrow(placed, "vec_id long, v array<double>, dim int, leaf int"), "index")
+        out = stored(rows.mapInArrow(placed, "vec_id long, v array<double>, dim int, leaf int"), "index")
         shared.unpersist()
-        #: Rows of each leaf: as many entries as there are leaves and lengths.
-        self.sizes = {(r["dim"], r["leaf"]): r["count"] for r in self.indexed.groupBy("dim", "leaf").count().collect()}
+        return out
+
+    def _sizes(self) -> dict[tuple[int, int], int]:
+        """Rows of each leaf: as many entries as there are leaves and lengths."""
+        return {(r["dim"], r["leaf"]): r["count"] for r in self.indexed.groupBy("dim", "leaf").count().collect()}
+
+    def _split(self, sample_size: int, rows_per_leaf: int, settled: set[tuple[int, int]]) -> dict[int, dict[int, Tree]]:
+        """Trees for the leaves that hold more than twice the rows a leaf is meant to hold.
+
+        About half of LEAF sample vectors, as the parts of a tree hold on average, stand
+        for those rows.  A leaf whose sample can't be told apart, as of one very common
+        vector, is settled.
+        """
+        components = sum(dim * size for (dim, _), size in self.sizes.items())
+        meant = max(rows_per_leaf, -(-components // CENTRES))
+        large = {at: size for at, size in self.sizes.items() if size > 2 * meant and at not in settled and at[0] in self.trees}
+        if not large:
+            return {}
+        spark = self.indexed.sparkSession
+        shares = [(dim, leaf, min(LEAF / 2 / meant, sample_size / size)) for (dim, leaf), size in large.items()]
+        rates = F.broadcast(spark.createDataFrame(shares, "dim int, leaf int, share double"))
+        drawn = self.indexed.join(rates, ["dim", "leaf"]).where(
+            F.pmod(F.xxhash64("vec_id", F.lit("leaf")), F.lit(1_000_003)) < 1_000_003.0 * F.col("share")
+        )
+
+        def fitted(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+            points = matrix(part.sort_values("vec_id", kind="stable")["v"])
+            return pd.DataFrame({"dim": [key[0]], "leaf": [key[1]], "tree": [pickle.dumps(Tree(points))]})
+
+        fits = drawn.select("dim", "leaf", "vec_id", "v").groupBy("dim", "leaf").applyInPandas(fitted, "dim int, leaf int, tree binary")
+        parts: dict[int, dict[int, Tree]] = {}
+        for r in fits.collect():  # centres: bounded by CENTRES
+            tree = pickle.loads(r["tree"])
+            if tree.leaves > 1:
+                parts.setdefault(r["dim"], {})[r["leaf"]] = tree
+        settled.update(at for at in large if at[1] not in parts.get(at[0], {}))
+        return parts
 
     def most_leaves(self) -> int:
         return max((tree.leaves for tree in self.trees.values()), default=1)

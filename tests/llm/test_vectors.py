@@ -91,3 +91,33 @@ def test_small_leaves_are_filled_up(spark, monkeypatch):
     rows = [(i, [float(np.cos(i)), float(np.sin(i))]) for i in range(400)]
     got = ann.Index(make(spark, rows), 20).search(F.col("vec_id") % 20 == 0, visits=1).groupBy("query_id").count().collect()
     assert len(got) == 20 and {r["count"] for r in got} == {20}
+
+
+def test_tree_grows_with_the_table(spark):
+    random = np.random.default_rng(5)
+    middles = random.normal(size=(60, 8))
+    points = middles[random.integers(0, 60, 6000)] + 0.4 * random.normal(size=(6000, 8))
+    points[random.permutation(6000)[:1500]] = points[1]  # one very common vector
+    rows = [(i, v.tolist()) for i, v in enumerate(points)] + [(10_000 + i, random.normal(size=3).tolist()) for i in range(500)]
+    df = make(spark, rows)
+    plain, grown = ann.Index(df, 20, sample_size=400), ann.Index(df, 20, sample_size=400, rows_per_leaf=32)
+    assert grown.trees[8].leaves > 3 * plain.trees[8].leaves and grown.trees[3].leaves > 1
+    for dim, tree in grown.trees.items():
+        assert sorted(leaf for leaf in tree.leaf if leaf >= 0) == list(range(tree.leaves))
+        assert sorted(tree.visits(np.ones(dim), tree.leaves)) == list(range(tree.leaves))
+        assert len(tree.centres) == len(tree.children) == len(tree.leaf)
+        assert sorted(c for children in tree.children for c in children) == list(range(1, len(tree.leaf)))
+    assert sum(grown.sizes.values()) == 6500 and sorted(grown.sizes.values())[-2] < sorted(plain.sizes.values())[-2]
+    m = np.array([v for _, v in rows[:6000]], np.float32).astype(float)
+    truth = {}
+    for q in range(0, 6000, 20):
+        s = ann.exact_scores(m, m[q])
+        s[q] = -np.inf
+        truth[q] = np.lexsort((np.arange(6000), -s))[:20].tolist()
+    for visits, least in ((grown.trees[8].leaves, 1.0), (None, 0.9)):
+        got = {}
+        for r in grown.search(F.col("vec_id") % 20 == 0, visits=visits).where("query_id < 6000").orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        assert sum(len(set(truth[q]) & set(got[q])) for q in truth) >= least * 20 * len(truth)
+        if least == 1.0:
+            assert got == truth
