@@ -247,7 +247,7 @@ class StoredTable:
 
         folders = {} if replace else dict(old.folders)
         touched = {p: folders[p] for p in fresh if p in folders}
-        self._check_ids(touched, written)
+        self._check_ids(written)
         if touched:
             outdated = self._outdated(touched, written)
             if outdated:
@@ -305,18 +305,19 @@ class StoredTable:
             self._next(old, old.folders | {p: [new] for p in many})
         return len(many)
 
-    def _check_ids(self, touched: dict[str, list[str]], written: DataFrame) -> None:
-        """No surrogate id may stand for two keys, in the batch or in the partitions it touches."""
-        t = self.table
-        if not t.is_fact or t.pk in t.data_schema.names:
-            return
-        twice = written.groupBy(t.pk).count().where("count > 1").select(t.pk)
-        if touched:
-            new = self._key_columns(written, t.pk)
-            met = self._load(touched).join(new, F.col(t.pk) == F.col(f"_new_{t.pk}")).where(~self._same_key())
-            twice = twice.union(met.select(t.pk))
-        if found := twice.limit(1).collect():
-            raise ValueError(f"{t.pk} {found[0][0]} of {t.name} stands for two keys")
+    def _hashed_ids(self) -> bool:
+        """Whether surrogate ids are made from the keys."""
+        return self.table.is_fact and self.table.pk not in self.table.data_schema.names
+
+    def _collide(self, ids: list) -> None:
+        if ids:
+            raise ValueError(f"{self.table.pk} {ids[0]} of {self.table.name} stands for two keys")
+
+    def _check_ids(self, written: DataFrame) -> None:
+        """No surrogate id may stand for two keys of the batch."""
+        if self._hashed_ids():
+            pk = self.table.pk
+            self._collide([r[0] for r in written.groupBy(pk).count().where("count > 1").select(pk).limit(1).collect()])
 
     def _key_columns(self, df: DataFrame, *more: str) -> DataFrame:
         return df.select(*[F.col(k).alias(f"_new_{k}") for k in (*self.table.keys, *more)])
@@ -329,12 +330,23 @@ class StoredTable:
     def _outdated(self, touched: dict[str, list[str]], written: DataFrame) -> dict[str, list[str]]:
         """Folders, per partition, that hold a key the batch brings again.
 
-        Reads key columns only; folders without such a key stay as they are.
+        Reads key columns only, once; folders without such a key stay as they are.
+        Equal keys have equal ids where ids are made from keys, so rows meet by id
+        there, and one that meets another key stops the load.
         """
-        hits = self._load(touched).join(self._key_columns(written), self._same_key(), "left_semi")
+        pk, same = self.table.pk, self._same_key()
+        new, stored = self._key_columns(written, pk), self._load(touched)
+        if self._hashed_ids():
+            met = stored.join(new, F.col(pk) == F.col(f"_new_{pk}"))
+            found = met.groupBy("write", "part").agg(F.max(same).alias("again"), F.max(F.when(~same, F.col(pk))).alias("other"))
+        else:
+            found = stored.join(new, same, "left_semi").groupBy("write", "part").agg(F.lit(True).alias("again"), F.lit(None).alias("other"))
+        folders = found.collect()  # at most one row per folder
+        self._collide([r["other"] for r in folders if r["other"] is not None])
         out: dict[str, list[str]] = {}
-        for write, part in hits.select("write", "part").distinct().collect():  # at most one row per folder
-            out.setdefault(part, []).append(write)
+        for r in folders:
+            if r["again"]:
+                out.setdefault(r["part"], []).append(r["write"])
         return out
 
     def insert_if_absent(self, rows: DataFrame) -> int:

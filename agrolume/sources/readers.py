@@ -6,18 +6,22 @@ from __future__ import annotations
 import csv
 import re
 import warnings
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
+from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agrolume.functions import NULL_TOKENS, STRICT_NULL_TOKENS, null_tokens
 from agrolume.operators.dedupe import SEQ, file_order, keep_first
-from agrolume.sources.streamed import streamed
+from agrolume.sources.streamed import head, reachable, streamed
 
 _BAD = "_bad_line"
+#: So many files are opened by the driver in turn, more of them in tasks.
+DRIVER_HEADS = 32
 _SEQ_TYPE = T.StructType(
     [T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("row", T.LongType())]
 )
@@ -50,19 +54,52 @@ def files_of(spark: SparkSession, path: str | list[str]) -> list[str]:
     return out
 
 
-def first_line(spark: SparkSession, file: str, encoding: str = "UTF-8") -> str | None:
-    """The first line of a file, gzip or not; None if it is empty."""
+class Head(NamedTuple):
+    """The first line of a file, None if it is empty, and whether the file is gzip."""
+
+    line: str | None
+    packed: bool
+
+
+def head_of(spark: SparkSession, file: str, encoding: str = "UTF-8") -> Head:
+    """The head of one file, read by the driver."""
     fs, jpath = _fs(spark, file)
-    jvm, stream = spark._jvm, fs.open(jpath)
+    java, stream = spark._jvm.java, fs.open(jpath)
     try:
-        packed = is_gzip(spark, file)
-        plain = jvm.java.util.zip.GZIPInputStream(stream) if packed else stream
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, encoding)).readLine()
-        return None if line is None else line.removeprefix("\ufeff")
+        start = java.io.BufferedInputStream(stream)
+        start.mark(2)
+        packed = (start.read(), start.read()) == (0x1F, 0x8B)
+        start.reset()
+        plain = java.util.zip.GZIPInputStream(start) if packed else start
+        line = java.io.BufferedReader(java.io.InputStreamReader(plain, encoding)).readLine()
+        return Head(None if line is None else line.removeprefix("\ufeff"), packed)
     finally:
         stream.close()
 
 
+def heads_of(spark: SparkSession, files: list[str], encoding: str = "UTF-8") -> dict[str, Head]:
+    """The heads of files, each opened once.
+
+    Beyond ``DRIVER_HEADS`` files they are opened side by side in tasks; the driver gets
+    a line for each.  Files of a file system that only Spark knows are opened in turn.
+    """
+    near = [f for f in files if reachable(f)] if len(files) > DRIVER_HEADS else []
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            lines, packed = zip(*(head(name, encoding) for name in names))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.string()), pa.array(packed)], names=["file", "line", "packed"])
+
+    out = {}
+    if near:
+        parts = min(len(near) // 8 + 1, 4 * spark.sparkContext.defaultParallelism)
+        dealt = spark.createDataFrame([(f,) for f in near], "file string").repartition(parts)
+        found = dealt.mapInArrow(opened, "file string, line string, packed boolean")
+        out = {r["file"]: Head(r["line"], r["packed"]) for r in found.collect()}
+    return {f: out[f] if f in out else head_of(spark, f, encoding) for f in files}
+
+
 def header_names(line: str, sep: str, ignore_leading_space: bool = True) -> tuple[str, ...]:
     """Column names of a header line; a name that repeats gets its place appended."""
     names = next(csv.reader([line], delimiter=sep, skipinitialspace=ignore_leading_space), [])
@@ -139,11 +176,11 @@ def read_delimited(
     task each, and keep line breaks inside quotes.
     """
     layouts: dict[tuple[tuple[str, ...], bool], list[str]] = {}
-    for file in files_of(spark, path):
-        if (line := first_line(spark, file, encoding)) is not None:
+    for file, (line, packed) in heads_of(spark, files_of(spark, path), encoding).items():
+        if line is not None:
             # Spark itself unpacks what is called .gz; gzip under another name is streamed.
-            packed = not file.endswith(".gz") and is_gzip(spark, file)
-            layouts.setdefault((header_names(line, sep, ignore_leading_space), packed), []).append(file)
+            streams = packed and not file.endswith(".gz")
+            layouts.setdefault((header_names(line, sep, ignore_leading_space), streams), []).append(file)
     if not layouts:
         return spark.createDataFrame([], T.StructType([T.StructField(SEQ, _SEQ_TYPE)]))
     frames = [
@@ -156,13 +193,22 @@ def read_delimited(
 
 
 def bad_lines_of(spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
-    """(file, n): lines with more fields than the header of their file has."""
+    """(file, n): lines with more fields than the header of their file has; empty files have no row."""
+    layouts: dict[tuple[int, bool], list[str]] = {}
+    for file, (line, packed) in heads_of(spark, files_of(spark, path), encoding).items():
+        if line is not None:
+            layouts.setdefault((len(header_names(line, sep)), packed), []).append(file)
     counts = []
-    for file in files_of(spark, path):
-        if (line := first_line(spark, file, encoding)) is not None:
-            text = spark.read.option("encoding", encoding).text(file)
-            wide = text.where(_fields(F.col("value"), sep) > len(header_names(line, sep)))
-            counts.append(wide.agg(F.count("*").alias("n")).select(F.lit(file).alias("file"), "n"))
+    for (width, packed), files in layouts.items():
+        if packed:
+            lines = streamed(spark, files, "lines", sep, encoding)
+        else:
+            # The name as files_of gives it: Spark has it as a URI.
+            name = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+            text = spark.read.option("encoding", encoding).text(files)
+            lines = text.select(F.regexp_replace(name, "^file:/+", "file:/").alias("file"), "value")
+        wide = (_fields(F.col("value"), sep) > width).cast("long")
+        counts.append(lines.groupBy("file").agg(F.sum(wide).alias("n")))
     return union_all(counts) if counts else spark.createDataFrame([], "file string, n bigint")
 
 
@@ -265,10 +311,10 @@ def read_any_gzip(
     looked at.
     """
     plain, packed = [], {}
-    for file in files_of(spark, path):
-        if not is_gzip(spark, file):
+    for file, (line, is_packed) in heads_of(spark, files_of(spark, path)).items():
+        if not is_packed:
             plain.append(file)
-        elif (line := first_line(spark, file)) is not None:
+        elif line is not None:
             packed.setdefault(header_names(line, sep), []).append(file)
     bad = "skip" if columns is None else "cut"
     frames = [null_tokens(_unpacked(spark, f, names, sep, "UTF-8", bad, False, partitions, columns)) for names, f in packed.items()]

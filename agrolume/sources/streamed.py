@@ -60,6 +60,16 @@ def _opened(path: str):
     return _unpacked(system.open_input_stream(inner), packed)
 
 
+def head(path: str, encoding: str) -> tuple[str | None, bool]:
+    """The first line of a file, None if it is empty, and whether the file is gzip."""
+    system, inner = _located(path)
+    with io.BufferedReader(system.open_input_stream(inner)) as start:
+        packed = start.peek(2)[:2] == b"\x1f\x8b"
+        with io.TextIOWrapper(_unpacked(start, packed), encoding, errors="replace") as text:
+            line = text.readline()
+    return line.removeprefix("\ufeff").removesuffix("\n") if line else None, packed
+
+
 def _unpacked(stream, packed: bool):
     return gzip.GzipFile(fileobj=stream) if packed else stream
 

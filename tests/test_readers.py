@@ -165,3 +165,30 @@ def test_folder_of_plain_and_packed_files(spark, tmp_path):
     df = readers.read_any_gzip(spark, str(tmp_path))
     assert {(r.a, r.b) for r in df.collect()} == {("1", "2"), ("4", "3"), ("5", "6")}
     assert readers.read_zarc(spark, str(tmp_path), ["soja"]).count() == 0
+
+
+def test_heads_in_tasks_as_by_the_driver(spark, tmp_path, monkeypatch):
+    texts = ["a;b\n1;2\n", "\ufeffa;c\r\n1;2\r\n", "", "\n1;2\n", "só;um", "a;b\n1;2;3\n4;5\n"]
+    for i, text in enumerate(texts):
+        (tmp_path / f"p {i}+ç%20.csv").write_text(text, encoding="utf-8")
+        (tmp_path / f"q{i}.csv").write_bytes(gzip.compress(text.encode("utf-8")))
+    files = readers.files_of(spark, str(tmp_path))
+    one = readers.heads_of(spark, files)
+    monkeypatch.setattr(readers, "DRIVER_HEADS", 0)
+    assert readers.heads_of(spark, files) == one and list(one) == files
+    assert [h.line for h in one.values()] == 2 * ["a;b", "a;c", None, "", "só;um", "a;b"]
+    assert [h.packed for h in one.values()] == 6 * [False] + 6 * [True]
+    df = readers.read_delimited(spark, [f for f, h in one.items() if h.line == "a;b"], ";", bad_lines="skip")
+    assert sorted((r.a, r.b) for r in df.collect()) == 2 * [("1", "2")] + 2 * [("4", "5")]
+
+
+def test_bad_lines_of_many_files(spark, tmp_path):
+    for i in range(6):
+        (tmp_path / f"f {i}+ç%20.csv").write_text("a;b\n" + i * "1;2;3\n" + "1;2\n", encoding="utf-8")
+    (tmp_path / "g.csv").write_bytes(gzip.compress(b"a;b;c\n1;2;3\n1;2;3;4\n"))
+    (tmp_path / "h.csv").write_text("")
+    df = readers.bad_lines_of(spark, str(tmp_path), ";")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan text") == 1  # not one for each file
+    files = readers.files_of(spark, str(tmp_path))
+    assert {r.file: r.n for r in df.collect()} == {**{files[i]: i for i in range(6)}, files[6]: 1}

@@ -189,3 +189,22 @@ def test_a_commit_cut_off_is_passed_over(rows, prices):
     assert content(prices) == [(2022, 1, 1, 1.0)]
     prices.upsert(rows([price(2023, 1, 2.0)], DDL))
     assert prices.versions() == [1, 2, 3] and len(content(prices)) == 2
+
+
+def test_an_id_of_a_stored_row_with_another_key_stops_the_load(rows, prices, monkeypatch):
+    monkeypatch.setattr("agrolume.operators.table.surrogate_id", lambda keys: F.lit(7).cast("long"))
+    prices.upsert(rows([price(2023, 1, 1.0)], DDL))
+    assert prices.upsert(rows([price(2023, 1, 2.0)], DDL)) == 1
+    before = prices.commit()
+    with pytest.raises(ValueError, match="two keys"):
+        prices.upsert(rows([price(2023, 2, 3.0)], DDL))
+    assert prices.commit() == before and content(prices) == [(2023, 1, 1, 2.0)]
+
+
+def test_upsert_reads_the_touched_partitions_once_for_ids_and_folders(rows, prices, monkeypatch):
+    prices.upsert(rows([price(2023, 1, 1.0)], DDL))
+    loads = []
+    load = prices._load
+    monkeypatch.setattr(prices, "_load", lambda folders: loads.append(folders) or load(folders))
+    prices.upsert(rows([price(2023, 2, 2.0)], DDL))
+    assert len(loads) == 2  # what was written, and the touched partitions
