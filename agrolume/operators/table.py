@@ -335,12 +335,12 @@ class StoredTable:
         there, and one that meets another key stops the load.
         """
         pk, same = self.table.pk, self._same_key()
-        new, stored = self._key_columns(written, pk), self._load(touched)
+        stored = self._load(touched)
         if self._hashed_ids():
-            met = stored.join(new, F.col(pk) == F.col(f"_new_{pk}"))
+            met = stored.join(self._key_columns(written, pk), F.col(pk) == F.col(f"_new_{pk}"))
             found = met.groupBy("write", "part").agg(F.max(same).alias("again"), F.max(F.when(~same, F.col(pk))).alias("other"))
         else:
-            found = stored.join(new, same, "left_semi").groupBy("write", "part").agg(F.lit(True).alias("again"), F.lit(None).alias("other"))
+            found = stored.join(self._key_columns(written), same, "left_semi").groupBy("write", "part").agg(F.lit(True).alias("again"), F.lit(None).alias("other"))
         folders = found.collect()  # at most one row per folder
         self._collide([r["other"] for r in folders if r["other"] is not None])
         out: dict[str, list[str]] = {}

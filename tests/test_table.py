@@ -208,3 +208,12 @@ def test_upsert_reads_the_touched_partitions_once_for_ids_and_folders(rows, pric
     monkeypatch.setattr(prices, "_load", lambda folders: loads.append(folders) or load(folders))
     prices.upsert(rows([price(2023, 2, 2.0)], DDL))
     assert len(loads) == 2  # what was written, and the touched partitions
+
+
+def test_a_table_whose_key_is_its_id_is_updated(spark, tmp_path):
+    table = StoredTable(spark, str(tmp_path / "cultivar"), schema.REGISTRO_CULTIVARES)
+    assert table.table.keys == (table.table.pk,)
+    ddl = "nr_registro bigint, cultivar string"
+    for name in ("A", "B"):
+        table.upsert(spark.createDataFrame([(9, name)], ddl))
+    assert [r.cultivar for r in table.read().collect()] == ["B"]
