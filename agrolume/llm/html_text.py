@@ -8,12 +8,14 @@ copy of the page; of two, the one whose path agrees longest (the former on a tie
 longest common subsequence aligns the two pages, and lines that both share are template,
 not article: they are deleted.  A page that has only copies beside it loses nothing.
 
-What the markup says comes first: navigation, headers, footers, sidebars, forms,
-scripts, styles and elements whose whole name says notice, advert or comment are no
-lines at all, and a page that marks its article (``article``, ``main``) keeps exactly
-the lines in there, also those that another article shares, such as a quoted passage.
-So differencing decides for the pages that mark none, and for what is named otherwise
-(``social-history``, ``share-price``).
+Navigation, headers, footers, sidebars, forms, scripts, styles and elements whose whole
+name says notice, advert or comment are no lines at all.  Every page is differenced.  On
+a page that marks articles (``article``, ``main``) an exact check follows: a marked
+article with a line of its own is main text and keeps all its lines, also those that
+another page shares, such as a quoted passage; one whose lines all stand on the partner,
+and on the page at its other side if that is no copy either, is template (a teaser, a
+notice) and goes; lines outside of articles go.  If no article has a line of its own,
+differencing tells nothing and all of them stay.
 
 Only hashes of lines are dealt and compared, by ranges of host and path, so a hot host
 spreads over many tasks.  What a range has to know of the others is two pages: the one
@@ -98,19 +100,22 @@ def _left_out(name: str, tag: str, inside: bool) -> bool:
     return False
 
 
-def lines_of(html: str | None) -> tuple[list[tuple[str, bool]], bool]:
-    """(line, stands in a marked article) for each block, and whether the page marks any."""
+def lines_of(html: str | None) -> tuple[list[tuple[str, int]], bool]:
+    """(line, number of the marked article it stands in or 0) for each block, and whether the page marks any.
+
+    Articles inside one count as part of it; ``main`` is one of its own where no article is.
+    """
     found = _lines_of(html or "", True)
     if not found[0] and re.search("<form", html or "", re.I):  # the whole body may stand in a form
         found = _lines_of(html, False)
     return found
 
 
-def _lines_of(html: str, forms_out: bool) -> tuple[list[tuple[str, bool]], bool]:
-    lines: list[tuple[str, bool]] = []
+def _lines_of(html: str, forms_out: bool) -> tuple[list[tuple[str, int]], bool]:
+    lines: list[tuple[str, int]] = []
     buffer: list[str] = []
-    depth = 0  # of marked articles
-    marked = False
+    marks: list[tuple[int, bool]] = []  # number of each open mark, and whether an article is open
+    marked = 0  # articles so far
     skipping, skipped = "", 0  # the element left out, and how many of its name are open
     at, end = 0, len(html)
 
@@ -119,7 +124,7 @@ def _lines_of(html: str, forms_out: bool) -> tuple[list[tuple[str, bool]], bool]
             line = " ".join(unescape("".join(buffer)).split())
             buffer.clear()
             if line:
-                lines.append((line, depth > 0))
+                lines.append((line, marks[-1][0] if marks else 0))
 
     while at < end:
         opening = html.find("<", at)
@@ -159,13 +164,13 @@ def _lines_of(html: str, forms_out: bool) -> tuple[list[tuple[str, bool]], bool]
                 skipped -= 1
             elif not closing and name == skipping:
                 skipped += 1
-            if skipped and not (name in MAIN and not closing and not depth) and not (skipping == "p" and name in BLOCKS):
+            if skipped and not (name in MAIN and not closing and not marks) and not (skipping == "p" and name in BLOCKS):
                 continue
             ended = closing and name == skipping
             skipping = ""
             if ended:
                 continue
-        if not closing and name not in VOID and (forms_out or name != "form") and _left_out(name, html[opening:close], depth > 0):
+        if not closing and name not in VOID and (forms_out or name != "form") and _left_out(name, html[opening:close], bool(marks)):
             flush()
             skipping, skipped = name, 1
             continue
@@ -174,10 +179,16 @@ def _lines_of(html: str, forms_out: bool) -> tuple[list[tuple[str, bool]], bool]
         elif name in ("br", "td", "th", "wbr") and name != "wbr":
             buffer.append(" ")
         if name in MAIN:
-            depth = max(0, depth + (-1 if closing else 1))
-            marked = True
+            if not closing:
+                number, inside = marks[-1] if marks else (0, False)
+                if not number or (name == "article" and not inside):
+                    number = marked = marked + 1
+                marks.append((number, inside or name == "article"))
+            elif marks:
+                marks.pop()
+            marked = marked or 1
     flush()
-    return lines, marked
+    return lines, marked > 0
 
 
 def shared_lines(own: list[str], other: list[str]) -> set[int]:
@@ -226,8 +237,8 @@ def _agree(a: str, b: str) -> int:
 class Page:
     """What is compared of a page: its place, and the hashes of its lines."""
 
-    def __init__(self, row: int, page_id: object, url: str | None, host: str, path: str, marked: bool, hashes: bytes):
-        self.row, self.id, self.host, self.path, self.marked, self.hashes = row, (page_id, url), host, path, marked, hashes
+    def __init__(self, row: int, page_id: object, url: str | None, host: str, path: str, articles: bytes | None, hashes: bytes):
+        self.row, self.id, self.host, self.path, self.articles, self.hashes = row, (page_id, url), host, path, articles, hashes
 
     def lines(self) -> list[int]:
         return np.frombuffer(self.hashes, np.int64).tolist()
@@ -244,18 +255,27 @@ class Page:
         return len(shared_lines(own, its)) >= NEARLY * max(len(own), len(its))
 
     def kept(self, before: Page | None, after: Page | None) -> list[int] | None:
-        """Places of the lines left beside the partner; None for all."""
-        if self.marked:
-            return None
+        """Places of the lines left beside the partner, among those of the articles if any is marked; None for all."""
         near = [p for p in (before, after) if p and p.host == self.host and not p.copies(self)]
         if not near:
             return None
-        own, partner = self.lines(), max(near, key=lambda p: _agree(p.path, self.path))
-        shared = shared_lines(own, partner.lines())
-        return [i for i in range(len(own)) if i not in shared]
+        near.sort(key=lambda p: -_agree(p.path, self.path))
+        own = self.lines()
+        shared = shared_lines(own, near[0].lines())
+        if self.articles is None:
+            return [i for i in range(len(own)) if i not in shared]
+        articles = np.frombuffer(self.articles, np.int32).tolist()
+        own_text = {a for i, a in enumerate(articles) if a and i not in shared}
+        inside = [a for a in articles if a]
+        if not own_text or own_text.issuperset(inside):
+            return None
+        if len(near) > 1:  # template stands on both sides
+            shared &= shared_lines(own, near[1].lines())
+            own_text.update(a for i, a in enumerate(articles) if a and i not in shared)
+        return [i for i, a in enumerate(inside) if a in own_text]
 
 
-COMPARED = ("row", "page_id", "url", "host", "path", "marked", "hashes")
+COMPARED = ("row", "page_id", "url", "host", "path", "articles", "hashes")
 EDGES = ("first", "last", "before_last_break", "at_first_break")
 
 
@@ -335,16 +355,16 @@ def _compared(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) ->
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """page_id, url, host, path, marked, lines (of a marked page: those of its article), hashes (of all lines)."""
+    """page_id, url, host, path, articles (of each line, null if none is marked), lines (those of the articles if any is marked), hashes (of all lines)."""
     for batch in sliced(batches):
-        marks, lines, hashes = [], [], []
+        articles, lines, hashes = [], [], []
         for html in batch.column("html").to_pylist():
             found, marked = lines_of(html)
-            marks.append(marked)
-            lines.append([line for line, inside in found if inside or not marked])
+            articles.append(np.array([a for _, a in found], np.int32).tobytes() if marked else None)
+            lines.append([line for line, a in found if a or not marked])
             hashes.append(np.array([xxhash.xxh3_64_intdigest(line) for line, _ in found], np.uint64).tobytes())
-        columns = [*(batch.column(c) for c in ("page_id", "url", "host", "path")), pa.array(marks, pa.bool_()), pa.array(lines, pa.list_(pa.string())), pa.array(hashes, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "host", "path", "marked", "lines", "hashes"])
+        columns = [*(batch.column(c) for c in ("page_id", "url", "host", "path")), pa.array(articles, pa.binary()), pa.array(lines, pa.list_(pa.string())), pa.array(hashes, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "host", "path", "articles", "lines", "hashes"])
 
 
 def host_of(url: Column) -> Column:
@@ -359,7 +379,7 @@ def extract(pages: DataFrame, ranges: int | None = None) -> DataFrame:
     """page_id, url, text of every page; ``ranges`` says in how many parts pages are compared."""
     keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     id_type = dict(pages.dtypes)["page_id"]
-    parsed = keyed.mapInArrow(_parsed, f"page_id {id_type}, url string, host string, path string, marked boolean, lines array<string>, hashes binary")
+    parsed = keyed.mapInArrow(_parsed, f"page_id {id_type}, url string, host string, path string, articles binary, lines array<string>, hashes binary")
     parsed = stored(parsed.withColumn("row", F.monotonically_increasing_id()), "parsed")
 
     order = ["host", "path", "page_id", "url", "row"]
@@ -375,7 +395,6 @@ def extract(pages: DataFrame, ranges: int | None = None) -> DataFrame:
     kept = in_order(ranged.unionByName(beside)).applyInArrow(_compared, "row long, kept array<int>")
 
     whole = F.array_join("lines", "\n\n")
-    marked = parsed.where("marked").select("page_id", "url", whole.alias("text"))
-    rest = parsed.where("NOT marked").select("row", "page_id", "url", "lines").join(stored(kept, "kept"), "row", "left")
     left = F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n\n")
-    return marked.union(rest.select("page_id", "url", F.when(F.col("kept").isNull(), whole).otherwise(left).alias("text")))
+    texts = parsed.select("row", "page_id", "url", "lines").join(stored(kept, "kept"), "row", "left")
+    return texts.select("page_id", "url", F.when(F.col("kept").isNull(), whole).otherwise(left).alias("text"))

@@ -130,3 +130,24 @@ def test_the_test_table_keeps_whole_articles(spark):
         article = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
         blocks = [" ".join(unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>|<br>", article)]
         assert got[r.page_id] == "\n\n".join(b for b in blocks if b)
+
+
+def test_differencing_decides_which_marked_articles_are_template(spark):
+    page = (
+        "<main><article><h1>{0} title</h1><p>{0} body</p><p>Quoted by all</p></article></main>"
+        "<article><p>Read our best stories</p><article><p>Teaser</p></article></article>"
+    )
+    plain = "<article><p>{0}</p><p>Quoted by all</p></article>"
+    rows = [(i, f"http://h.example/p/{i}", page.format(f"text {i}"), None) for i in range(4)]
+    rows += [(10 + i, f"http://p.example/p/{i}", plain.format(f"text {i}"), None) for i in range(3)]
+    rows += [(20, "http://alone.example/", page.format("alone"), None)]
+    # An article that only the nearest page quotes whole is no template; one without any line of its own stays too.
+    quoted = "<article><p>{0}</p></article><article><p>From {1}</p></article>"
+    rows += [(30 + i, f"http://q.example/p/{i}", quoted.format(f"text {i}", i // 2), None) for i in range(4)]
+    rows += [(40, "http://s.example/a", "<article><p>a</p><p>b</p></article>", None), (41, "http://s.example/b", "<article><p>b</p></article>", None)]
+    got = run(spark, rows)
+    assert all(got[i] == f"text {i} title\n\ntext {i} body\n\nQuoted by all" for i in range(4))
+    assert all(got[10 + i] == f"text {i}\n\nQuoted by all" for i in range(3))
+    assert got[20] == "alone title\n\nalone body\n\nQuoted by all\n\nRead our best stories\n\nTeaser"
+    assert got[31] == "text 1\n\nFrom 0" and got[32] == "text 2\n\nFrom 1"
+    assert got[40] == "a\n\nb" and got[41] == "b"
