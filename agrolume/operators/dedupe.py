@@ -25,18 +25,22 @@ def file_order() -> Column:
     )
 
 
-def _order(df: DataFrame, order: Sequence[str | Column] | None) -> Column:
+def _order(order: Sequence[str | Column] | None) -> Column:
     if order is None:
-        order = [SEQ] if SEQ in df.columns else sorted(df.columns)
+        order = [SEQ]
     return F.struct(*[F.col(f"`{o}`") if isinstance(o, str) else o for o in order])
 
 
-def _keep(df: DataFrame, keys: Sequence[str], order, pick) -> DataFrame:
+def _keep(df: DataFrame, keys: Sequence[str], order, pick, least) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    row = F.struct(*[F.col(f"`{c}`") for c in rest])
-    grouped = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(pick(row, _order(df, order)).alias("_kept"))
+    if order is None and SEQ not in df.columns:
+        # By all columns; those besides the keys are compared and kept as one struct.
+        kept = least(F.struct(*[F.col(f"`{c}`") for c in sorted(rest)]))
+    else:
+        kept = pick(F.struct(*[F.col(f"`{c}`") for c in rest]), _order(order))
+    grouped = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(kept.alias("_kept"))
     return grouped.select(
         *[F.col(f"`{c}`") if c in keys else F.col("_kept").getField(c).alias(c) for c in df.columns]
     )
@@ -44,9 +48,9 @@ def _keep(df: DataFrame, keys: Sequence[str], order, pick) -> DataFrame:
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None) -> DataFrame:
     """First row per key in file order (``_seq``), or in the given order."""
-    return _keep(df, keys, order, F.min_by)
+    return _keep(df, keys, order, F.min_by, F.min)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None) -> DataFrame:
     """Last row per key in file order (``_seq``), or in the given order."""
-    return _keep(df, keys, order, F.max_by)
+    return _keep(df, keys, order, F.max_by, F.max)

@@ -162,24 +162,27 @@ class StoredTable:
     # ---- writing ----
 
     def _stamped(self, df: DataFrame) -> DataFrame:
+        """Rows with their surrogate id and load time, unless they have them."""
         t = self.table
         if t.is_fact:
             if t.pk not in df.columns:
                 df = df.withColumn(t.pk, surrogate_id(t.keys))
-            df = df.withColumn(STAMP, F.current_timestamp().cast("timestamp_ntz"))
-        return df.select(*t.schema.names)
+            if STAMP not in df.columns:
+                df = df.withColumn(STAMP, F.current_timestamp().cast("timestamp_ntz"))
+        return df
 
     def _write(self, df: DataFrame) -> str:
-        """Write rows to a new folder and return its name."""
+        """Write rows to a new folder and return its name; ids are made after the rows are dealt."""
         write, t = uuid.uuid4().hex, self.table
         # Rebalancing sizes the files by bytes: hot partitions are split, small ones merged.
         if t.partition:
             if self.split_by == "part":
                 df = df.withColumn("part", _part(F.expr(t.partition)))
-            df = df.hint("rebalance", self.split_by).sortWithinPartitions(self.split_by, *t.sort)
+            df = self._stamped(df.hint("rebalance", self.split_by)).sortWithinPartitions(self.split_by, *t.sort)
+            df = df.select(*t.schema.names, *([] if self.split_by in t.schema.names else [self.split_by]))
             df.write.partitionBy(self.split_by).parquet(f"{self.root}/data/write={write}")
         else:
-            df = df.hint("rebalance")
+            df = self._stamped(df.hint("rebalance")).select(*t.schema.names)
             df = df.sortWithinPartitions(*t.sort) if t.sort else df
             df.write.parquet(f"{self.root}/data/write={write}")
         return write
@@ -241,7 +244,7 @@ class StoredTable:
             rows, found, staged = self._checked(rows, references)
             rejects = (old.rejects if not replace else []) + found
         rows = keep_last(rows, t.keys, order).drop(*extra)
-        new = self._write(self._stamped(rows))
+        new = self._write(rows)
         fresh = {p: [new] for p in self._partitions(new)}
         written = self._load(fresh)
 
@@ -249,9 +252,13 @@ class StoredTable:
         touched = {p: folders[p] for p in fresh if p in folders}
         self._check_ids(written)
         if touched:
-            outdated = self._outdated(touched, written)
+            outdated, whole = self._outdated(touched, written)
+            for p, gone in whole.items():
+                folders[p] = [w for w in folders[p] if w not in gone]
             if outdated:
-                rest = self._load(outdated).join(self._key_columns(written), self._same_key(), "left_anti")
+                # Ids that stand for two keys have stopped the load by now.
+                same = (self._key_columns(written, pk=True), F.col(t.pk) == F.col(f"_new_{t.pk}")) if self._hashed_ids() else (self._key_columns(written), self._same_key())
+                rest = self._load(outdated).join(*same, "left_anti")
                 kept = self._write(rest.select(*t.schema.names))
                 still = set(self._partitions(kept))
                 for p, gone in outdated.items():
@@ -319,35 +326,41 @@ class StoredTable:
             pk = self.table.pk
             self._collide([r[0] for r in written.groupBy(pk).count().where("count > 1").select(pk).limit(1).collect()])
 
-    def _key_columns(self, df: DataFrame, *more: str) -> DataFrame:
-        return df.select(*[F.col(k).alias(f"_new_{k}") for k in (*self.table.keys, *more)])
+    def _key_columns(self, df: DataFrame, pk: bool = False) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"_new_{k}") for k in ((self.table.pk,) if pk else self.table.keys)])
 
     def _same_key(self):
         return reduce(
             lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in self.table.keys]
         )
 
-    def _outdated(self, touched: dict[str, list[str]], written: DataFrame) -> dict[str, list[str]]:
-        """Folders, per partition, that hold a key the batch brings again.
+    def _outdated(self, touched: dict[str, list[str]], written: DataFrame) -> tuple[dict[str, list[str]], dict[str, list[str]]]:
+        """Folders, per partition, that hold some keys the batch brings again, and those of which it brings all.
 
         Reads key columns only, once; folders without such a key stay as they are.
         Equal keys have equal ids where ids are made from keys, so rows meet by id
-        there, and one that meets another key stops the load.
+        there, and one that meets another key stops the load.  What is dealt is the id and
+        a second hash of the key, 128 bits together.
         """
-        pk, same = self.table.pk, self._same_key()
-        stored = self._load(touched)
+        pk, stored = self.table.pk, self._load(touched)
         if self._hashed_ids():
-            met = stored.join(self._key_columns(written, pk), F.col(pk) == F.col(f"_new_{pk}"))
-            found = met.groupBy("write", "part").agg(F.max(same).alias("again"), F.max(F.when(~same, F.col(pk))).alias("other"))
+            second = F.xxhash64(F.lit(pk), *reversed(self.table.keys), *[F.col(k).isNull() for k in self.table.keys])
+            brought = written.select(F.col(pk).alias("_new"), second.alias("_second_new"))
+            met = stored.select(pk, second.alias("_second"), "write", "part").join(brought, F.col(pk) == F.col("_new"), "left")
+            again, other = F.col("_new").isNotNull(), F.col("_second") != F.col("_second_new")
         else:
-            found = stored.join(self._key_columns(written), same, "left_semi").groupBy("write", "part").agg(F.lit(True).alias("again"), F.lit(None).alias("other"))
+            keys = self._key_columns(written).withColumn("_new", F.lit(True))
+            met = stored.join(keys, self._same_key(), "left")
+            again, other, pk = F.col("_new").isNotNull(), F.lit(False), "_new"
+        found = met.groupBy("write", "part").agg(F.count("*").alias("n"), F.count_if(again).alias("again"), F.max(F.when(other, F.col(pk))).alias("other"))
         folders = found.collect()  # at most one row per folder
         self._collide([r["other"] for r in folders if r["other"] is not None])
-        out: dict[str, list[str]] = {}
+        some: dict[str, list[str]] = {}
+        whole: dict[str, list[str]] = {}
         for r in folders:
             if r["again"]:
-                out.setdefault(r["part"], []).append(r["write"])
-        return out
+                (whole if r["again"] == r["n"] else some).setdefault(r["part"], []).append(r["write"])
+        return some, whole
 
     def insert_if_absent(self, rows: DataFrame) -> int:
         """Add rows whose natural key is new, the first of each key; existing rows are

@@ -217,3 +217,25 @@ def test_a_table_whose_key_is_its_id_is_updated(spark, tmp_path):
     for name in ("A", "B"):
         table.upsert(spark.createDataFrame([(9, name)], ddl))
     assert [r.cultivar for r in table.read().collect()] == ["B"]
+
+
+def test_a_folder_that_a_batch_brings_again_as_a_whole_is_not_rewritten(rows, prices, monkeypatch):
+    made = [{"id_cultura": i, "id_municipio": i, "uf": "MT", "ano": 2024, "mes": 1, "nivel_comercializacao": "P", "valor_kg": float(i)} for i in range(6)]
+    batch = rows([tuple(r.values()) for r in made], "id_cultura int, id_municipio int, uf string, ano int, mes int, nivel_comercializacao string, valor_kg double")
+    prices.upsert(batch)
+    writes, write = [], prices._write
+    monkeypatch.setattr(prices, "_write", lambda df: writes.append(df) or write(df))
+    prices.upsert(batch)
+    assert len(writes) == 1 and prices.read().count() == 6
+    prices.upsert(batch.where("id_cultura < 2").withColumn("valor_kg", F.lit(9.0)))
+    assert len(writes) == 3
+    assert sorted(r.valor_kg for r in prices.read().collect()) == [2, 3, 4, 5, 9, 9]
+
+
+def test_a_batch_without_order_is_aggregated_as_one_struct(rows):
+    from agrolume.operators.dedupe import keep_first, keep_last
+
+    df = rows([(1, "b", 2, None), (1, "a", 3, 4.0), (1, "b", 2, 5.0), (None, None, 1, 1.0), (None, "z", 0, 1.0)], "k int, z string, a int, m double")
+    assert {tuple(r) for r in keep_last(df, ["k"]).collect()} == {(1, "a", 3, 4.0), (None, None, 1, 1.0)}
+    assert {tuple(r) for r in keep_first(df, ["k"]).collect()} == {(1, "b", 2, None), (None, "z", 0, 1.0)}
+    assert "max_by" not in keep_last(df, ["k"])._jdf.queryExecution().toString()
