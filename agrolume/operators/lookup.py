@@ -95,9 +95,21 @@ def resolve_cultura(
     return named.withColumn("id_cultura", F.when(raw != "", F.coalesce(exact, found)).cast("int")).drop("_crop")
 
 
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Texts that hold a word from which it counts as common.
+COMMON = 10_000
+
+
 def _words(texts: DataFrame, text: str) -> DataFrame:
-    """A row per different word of each text: (_text, _word), the text as its hash."""
-    return texts.select(F.xxhash64(text).alias("_text"), F.explode(F.array_distinct(F.split(text, " "))).alias("_word"))
+    """A row per different word of each text: (_text, _word), both as hashes."""
+    return texts.select(F.xxhash64(text).alias("_text"), F.explode(F.array_distinct(F.split(text, " "))).alias("_word")).select(
+        "_text", F.xxhash64("_word").alias("_word")
+    )
 
 
 def texts_within(inner: DataFrame, outer: DataFrame, inside: str, around: str) -> DataFrame:
@@ -106,29 +118,31 @@ def texts_within(inner: DataFrame, outer: DataFrame, inside: str, around: str) -
 
     A text that lies within another shares all of its words with it, so each is
     looked up by the one word that the fewest of the others hold, and confirmed on the
-    texts.  Keys grow with the words, and carry hashes instead of texts; a hash that
-    two texts share only proposes a pair more.  Both sides are expected without repeats.
+    texts.  Keys grow with the words, and carry hashes instead of texts and words; a hash
+    that two share only proposes a pair more.  Common words are few and stored apart, so
+    their rows are not dealt by word, but for those words that are the rarest of some text.
+    Both sides are expected without repeats.
     """
     held = _words(outer, around).withColumnRenamed("_text", "_outer")
+    asked = _words(inner, inside).withColumnRenamed("_text", "_inner")
     counts = held.groupBy("_word").agg(F.count("*").alias("_n"))
-    asked = _words(inner, inside).withColumnRenamed("_text", "_inner").join(counts, "_word", "left")
-    n = F.coalesce("_n", F.lit(0))
-    rarest = asked.groupBy("_inner").agg(F.min(F.struct(n.alias("n"), "_word")).alias("_least"))
+    common = _stored(counts.where(F.col("_n") >= COMMON), "common-words")
+    seldom = asked.join(common, "_word", "left_anti").join(counts, "_word", "left").select("_inner", "_word", F.coalesce("_n", F.lit(0)).alias("_n"))
+    known = seldom.unionByName(asked.join(common, "_word"))
+    # Long values, so that this aggregates by hash.
+    rarest = known.groupBy("_inner").agg(F.min_by("_word", "_n").alias("_word"), F.min("_n").alias("_n"))
     # A word that no other text holds settles that there is no pair.
-    rarest = rarest.where("_least.n > 0").select("_inner", F.col("_least._word").alias("_word"))
-    pairs = rarest.join(held, "_word").select("_inner", "_outer")
+    rarest = _stored(rarest.where("_n > 0"), "rarest-words")
+    used = _stored(rarest.where(F.col("_n") >= COMMON).select("_word").distinct(), "common-words-used")
+    of = lambda rows, words: words.join(rows, "_word").select("_inner", "_outer")
+    pairs = of(rarest.where(F.col("_n") < COMMON), held.join(common, "_word", "left_anti"))
+    pairs = pairs.union(of(rarest.where(F.col("_n") >= COMMON), held.join(used, "_word", "left_semi")))
     pairs = pairs.join(inner.select(inside, F.xxhash64(inside).alias("_inner")), "_inner")
     pairs = pairs.join(outer.select(around, F.xxhash64(around).alias("_outer")), "_outer")
     padded = [F.concat(F.lit(" "), c, F.lit(" ")) for c in (around, inside)]
     return pairs.where(F.contains(*padded)).select(inside, around)
 
 
-def _stored(df: DataFrame, purpose: str) -> DataFrame:
-    path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def resolve_cultura_by_words(
     df: DataFrame, name: str, culturas: DataFrame, order_by: str = "id_cultura", strict_reference: bool = False
 ) -> DataFrame:

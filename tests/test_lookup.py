@@ -119,3 +119,12 @@ def test_texts_within_emits_words_not_runs(rows):
     outer, inner = rows([(name,)], "o string"), rows([("w7 w8",), ("w8 w7",), ("x w8",), (name,)], "i string")
     assert lookup._words(outer, "o").count() == 2000
     assert {r.i for r in lookup.texts_within(inner, outer, "i", "o").collect()} == {"w7 w8", name}
+
+
+@pytest.mark.parametrize("common", [1, 2, 10_000])
+def test_common_words_are_looked_up_apart(rows, monkeypatch, common):
+    monkeypatch.setattr(lookup, "COMMON", common)
+    inner = ["a", "a b", "b c", "x", "a x", "", "c a"]
+    outer = ["a b c", "b a", "c a b", "x y", "a", ""]
+    pairs = lookup.texts_within(rows([(t,) for t in inner], "i string"), rows([(t,) for t in outer], "o string"), "i", "o")
+    assert sorted(map(tuple, pairs.collect())) == sorted((i, o) for i in inner for o in outer if f" {i} " in f" {o} ")
