@@ -7,6 +7,7 @@ import csv
 import re
 import warnings
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from typing import NamedTuple
 
@@ -456,9 +457,22 @@ def read_weather_json(spark: SparkSession, path, pattern: str = r"(\d+)\.json$")
     """Daily weather, one JSON object per municipality with parallel arrays; one
     row per day.  The municipality code is what ``pattern`` finds in the path."""
     daily = "daily struct<time: array<string>, " + ", ".join(f"{v}: array<double>" for v in WEATHER_VARIABLES) + ">"
-    raw = spark.read.schema(daily).json(path, multiLine=True)
+    with _listing(spark):
+        raw = spark.read.schema(daily).json(path, multiLine=True)
     raw = raw.withColumn("codigo_ibge", F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)))
     return explode_daily(raw)
+@contextmanager
+def _listing(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed in some tasks for each core; by default it is one task for each folder."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, wanted = int(spark.conf.get(name)), 4 * spark.sparkContext.defaultParallelism
+    spark.conf.set(name, str(min(before, wanted)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, str(before))
+
+
 
 
 def explode_daily(df: DataFrame) -> DataFrame:
