@@ -420,7 +420,14 @@ def zarc_municipios(df: DataFrame) -> DataFrame:
     order = [SEQ] if SEQ in df.columns else None
     if "cod_municipio_ibge" not in df.columns:
         return df.sparkSession.createDataFrame([], ", ".join(f"{c} string" for c in geo))
-    return keep_first(df.select(*geo, *(order or [])), ["cod_municipio_ibge"], order).select(*geo)
+    rows = df.select(*geo, *(order or []))
+    # Equal rows are one first, by hash: few are left to be put in order.
+    if order is None:
+        rows = rows.distinct()
+    elif getattr(rows.schema[SEQ].dataType, "names", None) == _SEQ_TYPE.names:
+        rows = rows.select(*geo, f"{SEQ}.*").groupBy(*geo, "file", "block").agg(F.min("row").alias("row"))
+        rows = rows.select(*geo, _seq(F.col("file"), F.col("block"), F.col("row")).alias(SEQ))
+    return keep_first(rows, ["cod_municipio_ibge"], order).select(*geo)
 
 
 _PAM_COLUMNS = ("D2N", "V", "D1C", "D1N", "D3N")
