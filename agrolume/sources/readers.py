@@ -352,9 +352,12 @@ def _unpacked(
         if not wanted:
             return spread.select(place)
         # Up to the last wanted column a line is cut at its separators; the rest stays one piece.
+        # So is one whose quotes up to there enclose whole fields, without a separator or another quote.
         places = [names.index(n) for n in wanted]
         cut = F.split("value", re.escape(sep), max(places) + 2)
-        field = lambda n, i: F.when(F.contains("value", F.lit('"')), record.getField(n)).otherwise(F.get(cut, F.lit(i)))
+        piece = rf'(?:"[^"{re.escape(sep)}]+"|[^"{re.escape(sep)}]*)'
+        simple = ~F.contains("value", F.lit('"')) | F.col("value").rlike(rf"\A{piece}(?:{re.escape(sep)}{piece}){{{max(places)}}}(?:{re.escape(sep)}|\z)")
+        field = lambda n, i: F.when(simple, F.btrim(F.get(cut, F.lit(i)), F.lit('"'))).otherwise(record.getField(n))
         return spread.select(*[field(n, i).alias(n) for n, i in zip(wanted, places)], place)
     parsed = spread.select(place, record.alias("r"))
     if strict:

@@ -84,11 +84,17 @@ def records(text: io.TextIOBase, sep: str) -> Iterator[str]:
     field = rf"(?:^|{re.escape(sep)})[ \t]*\""
     closed = re.compile(rf'{field}(?:[^"]|"")*"(?!")')
     opens = re.compile(field)
-    waiting = ""
+    waiting, starts = "", ("", sep)
     for line in lines(text):
         record = f"{waiting}\n{line}" if waiting else line
         if '"' in line or not waiting:
             if '"' not in record or not opens.search(closed.sub("", record)):
+        # Most lines hold no quote, or one field in quotes.
+        if not waiting and (
+            '"' not in line or (line.count('"') == 2 and line[max(line.index('"') - 1, 0) : line.index('"')] in starts)
+        ):
+            yield line
+            continue
                 yield record
                 waiting = ""
                 continue

@@ -192,3 +192,39 @@ def test_bad_lines_of_many_files(spark, tmp_path):
     assert plan.count("Scan text") == 1  # not one for each file
     files = readers.files_of(spark, str(tmp_path))
     assert {r.file: r.n for r in df.collect()} == {**{files[i]: i for i in range(6)}, files[6]: 1}
+
+
+def test_places_are_reduced_by_hash_before_they_are_put_in_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("uf;cod_municipio_ibge;municipio;dec1\nMT;1;A;x\nMT;1;B;x\nMT;1;A;y\nAC;2;C;x\n")
+    (tmp_path / "b.csv").write_text("cod_municipio_ibge;municipio;uf\n2;D;AC\n1;Z;MT\n;N;AC\n")
+    places = readers.zarc_municipios(readers.read_zarc_places(spark, str(tmp_path)))
+    assert {tuple(r) for r in places.collect()} == {("1", "A", "MT"), ("2", "C", "AC"), (None, "N", "AC")}
+    plan = places._jdf.queryExecution().sparkPlan().toString()
+    assert "min(row" in plan and plan.rindex("HashAggregate(keys=[cod_municipio_ibge") > plan.index("SortAggregate")
+
+
+def test_quoted_fields_of_packed_lines_are_cut_as_csv_reads_them(spark, tmp_path):
+    import gzip
+
+    names = "cod_solo;cod_municipio_ibge;municipio;uf;dec1;dec2"
+    lines = ['s;1;"A";MT;1;2', 's;2;"B;b";MT;1;2', 's;3;"C ""c""";MT;1;2', 's;4;"";MT;1;2', 's;5;E"e;MT;1;2', '"s";6;" F ";"MT";"x;y";2', 's;7;"G"', 's;8;H;MT;"1";2', '"s;9";9;I;MT;1;2', 's;10;" ";MT;1;2', 's;11;"J\nj";MT;1;2']
+    (tmp_path / "p.csv").write_bytes(gzip.compress("\n".join([names, *lines]).encode()))
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain" / "p.csv").write_text("\n".join([names, *lines]))
+    cut = readers.read_any_gzip(spark, str(tmp_path / "p.csv"), columns=readers.PLACE_COLUMNS)
+    whole = readers.read_any_gzip(spark, str(tmp_path / "p.csv"))
+    columns = list(readers.PLACE_COLUMNS)
+    assert sorted(map(str, cut.select(columns).collect())) == sorted(map(str, whole.select(columns).collect()))
+    assert cut.count() == len(lines)
+
+
+def test_folders_are_listed_in_few_tasks(spark, tmp_path):
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    with readers._listing(spark):
+        assert int(spark.conf.get(name)) <= 4 * spark.sparkContext.defaultParallelism
+    for i in range(50):
+        (tmp_path / f"code={i:02}").mkdir()
+        (tmp_path / f"code={i:02}" / "x.json").write_text('{"daily": {"time": ["2024-01-01"], "precipitation_sum": [1.5]}}')
+    got = readers.read_weather_json(spark, f"{tmp_path}/*", r"code=(\d+)/[^/]*$")
+    assert spark.conf.get(name) == before and got.select("codigo_ibge").distinct().count() == 50
