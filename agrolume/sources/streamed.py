@@ -4,7 +4,8 @@ Spark picks a codec by file name only, and takes a JSON list as one row.  Here a
 source opens a file through pyarrow's file systems (local, S3, HDFS and others), unpacks
 it as it goes and hands over Arrow batches of lines, of records, or of the elements of a
 JSON list.  A task holds a batch of about ``BATCH_CHARS`` characters and never a file;
-parsing stays in the JVM.  A file is one task: a gzip stream can't be entered midway.
+parsing stays in the JVM.  A file is never cut: a gzip stream can't be entered midway;
+many small files share a task.
 
 A file system that only Spark knows goes through ``binaryFile`` instead, where the bytes
 of a file (2 GB at most) stand in a row.
@@ -29,6 +30,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 BATCH_ROWS, BATCH_CHARS = 20_000, 4 << 20
 #: A quoted field or a JSON element that runs on for so long is taken for a broken one, and told.
 OPEN_CHARS = 16 << 20
+#: What a task reads of many small files, and what opening one counts.
+PART_BYTES, OPEN_BYTES = 32 << 20, 128 << 10
 #: Characters of a JSON text read at once.
 READ_CHARS = 1 << 20
 SCHEMA = "file string, row bigint, value string"
@@ -86,15 +89,15 @@ def records(text: io.TextIOBase, sep: str) -> Iterator[str]:
     opens = re.compile(field)
     waiting, starts = "", ("", sep)
     for line in lines(text):
-        record = f"{waiting}\n{line}" if waiting else line
-        if '"' in line or not waiting:
-            if '"' not in record or not opens.search(closed.sub("", record)):
         # Most lines hold no quote, or one field in quotes.
         if not waiting and (
             '"' not in line or (line.count('"') == 2 and line[max(line.index('"') - 1, 0) : line.index('"')] in starts)
         ):
             yield line
             continue
+        record = f"{waiting}\n{line}" if waiting else line
+        if '"' in line or not waiting:
+            if '"' not in record or not opens.search(closed.sub("", record)):
                 yield record
                 waiting = ""
                 continue
@@ -153,20 +156,52 @@ def batches(name: str, stream, kind: str, sep: str, encoding: str) -> Iterator[p
         yield pa.RecordBatch.from_arrays([pa.array([name] * len(values)), pa.array(range(row, row + len(values)), pa.int64()), pa.array(values, pa.string())], names=names)
 
 
+def packed(paths: list[str], parts: int) -> list[list[str]]:
+    """Files dealt to tasks, in turn: of up to ``parts`` files one each, of more about
+    ``PART_BYTES`` or the ``parts``-th of all, whichever is less; a file counts ``OPEN_BYTES`` more."""
+    if len(paths) <= parts:
+        return [[path] for path in paths]
+    stores: dict[str, tuple[fs.FileSystem, list[int], list[str]]] = {}
+    for i, path in enumerate(paths):
+        system, name = _located(path)
+        _, places, names = stores.setdefault(re.match("(?:[^/:]*:)?(?://[^/]*)?", path)[0], (system, [], []))
+        places.append(i)
+        names.append(name)
+    sizes = [0] * len(paths)
+    for system, places, names in stores.values():
+        for i, info in zip(places, system.get_file_info(names)):
+            sizes[i] = (info.size or 0) + OPEN_BYTES
+    share = min(PART_BYTES, sum(sizes) // parts)
+    out, room = [], 0
+    for path, size in zip(paths, sizes):
+        if not out or size > room:
+            out.append([])
+            room = share
+        out[-1].append(path)
+        room -= size
+    return out
+
+
 class _Reader(DataSourceReader):
+    """The paths go with the partitions; what is sent with every task is without them."""
+
     def __init__(self, options: dict):
-        self.paths = json.loads(options["paths"])
+        self.paths, self.parts = json.loads(options["paths"]), int(options["parts"])
         self.how = options["kind"], options["sep"], options["encoding"]
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"paths": []}
+
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(path) for path in self.paths]
+        return [InputPartition(paths) for paths in packed(self.paths, self.parts)]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        yield from batches(partition.value, _opened(partition.value), *self.how)
+        for path in partition.value:
+            yield from batches(path, _opened(path), *self.how)
 
 
 class StreamedFiles(DataSource):
-    """(file, row from 0, value) of the files in ``paths``, one partition for each."""
+    """(file, row from 0, value) of the files in ``paths``; many small ones share a partition."""
 
     @classmethod
     def name(cls) -> str:
@@ -176,7 +211,9 @@ class StreamedFiles(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> _Reader:
-        return _Reader(dict(self.options))
+        made = _Reader(dict(self.options))
+        self.options = {}  # pickled with every task
+        return made
 
 
 _registered: WeakSet[SparkSession] = WeakSet()
@@ -192,7 +229,9 @@ def streamed(spark: SparkSession, files: list[str], kind: str = "lines", sep: st
     far = [f for f in files if f not in set(near)]
     out = None
     if near:
-        out = spark.read.format(StreamedFiles.name()).options(paths=json.dumps(near), kind=kind, sep=sep, encoding=encoding).load()
+        out = spark.read.format(StreamedFiles.name()).options(
+            paths=json.dumps(near), parts=4 * spark.sparkContext.defaultParallelism, kind=kind, sep=sep, encoding=encoding
+        ).load()
     if far:
 
         def taken(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -171,3 +171,25 @@ def test_an_empty_stream_folder(spark, tables, tmp_path):
     read = lambda spark, files: readers.read_zarc_files(spark, files)
     stream_chunks(spark, str(tmp_path / "in"), tables["fato_risco_zarc"], read, lambda b: b, str(tmp_path / "c"), "none").awaitTermination()
     assert tables["fato_risco_zarc"].read().count() == 0
+
+
+def test_many_small_files_share_a_task_and_are_not_sent_with_each(spark, tmp_path):
+    import json
+    import pickle
+
+    from agrolume.sources import streamed as module
+
+    paths = []
+    for i in range(200):
+        (tmp_path / f"f{i}.txt").write_text("x" * (1 if i else 40 << 20) + f"\n{i}")
+        paths.append(f"file:{tmp_path}/f{i}.txt")
+    dealt = module.packed(paths, 16)
+    assert [p for part in dealt for p in part] == paths
+    assert len(dealt) <= 34 and dealt[0] == paths[:1]
+    source = module.StreamedFiles({"paths": json.dumps(paths), "parts": "16", "kind": "lines", "sep": ";", "encoding": "UTF-8"})
+    reader = source.reader(None)
+    assert len(pickle.dumps(reader)) < 1000 and not source.options
+    assert [p.value for p in reader.partitions()] == dealt
+    got = module.streamed(spark, paths)
+    assert got.rdd.getNumPartitions() < 100
+    assert {(r.file, r.value) for r in got.where("row = 1").collect()} == {(p, str(i)) for i, p in enumerate(paths)}
