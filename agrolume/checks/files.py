@@ -252,8 +252,12 @@ def write_bronze(spark, folder):
     # A sort over ranges writes the ranges in the order of the file names.
     lines.orderBy("l_orderkey").write.csv(f"{root}/raw", header=True)
     bronze(readers.read_delimited(spark, f"{root}/raw"), f"{root}/bronze")
-    copy = spark.read.parquet(f"{root}/bronze")
-    return copy.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.max_by("l_orderkey", "_seq").alias("maior"))
+    copy = spark.read.parquet(f"{root}/bronze").select("l_returnflag", F.col("l_orderkey").cast("long").alias("chave"), "_seq.*")
+    # First the last row of each split: long values aggregate by hash, where a struct would have all rows sorted.
+    splits = copy.groupBy("l_returnflag", "file", "block").agg(F.count("*").alias("n"), F.max("row").alias("row"), F.max_by("chave", "row").alias("chave"))
+    return splits.groupBy("l_returnflag").agg(
+        F.sum("n").alias("n"), F.max_by("chave", F.struct("file", "block", "row")).cast("string").alias("maior")
+    )
 
 
 @query(

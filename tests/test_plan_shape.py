@@ -2,6 +2,7 @@
 
 import pytest
 
+from agrolume.checks import QUERIES
 from agrolume import plans
 from agrolume.operators import dedupe, lookup
 from agrolume.sources import pam, zarc
@@ -61,3 +62,9 @@ def test_a_hot_key_stays_correct(spark):
     last = dedupe.keep_last(df, ["k"])
     assert last.where("k = 0").first().v == 299_997
     assert last.count() == 200_001
+
+
+def test_last_rows_of_the_bronze_copy_are_found_by_hash(spark):
+    plan = QUERIES["write_bronze"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    splits = [line for line in plan.splitlines() if "HashAggregate(keys=[l_returnflag" in line and "file" in line]
+    assert len(splits) == 2 and "SortAggregate" not in plan[plan.index(splits[0]) :]
