@@ -90,3 +90,10 @@ def test_edges(spark):
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "size"], name
         got = pipeline.tokens(spark, docs, FOLDER)
         assert sum(r.doc_id == 3 for r in got.collect()) in ((1, 2, 3) if data else (0,))
+
+
+def test_encoding_and_decoding_do_not_share_a_stage(spark):
+    docs = spark.createDataFrame([(1, "some text", "en", "a", 9), (2, None, None, None, 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = pipeline.tokens(spark, docs, "")
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r.doc_id: (r.n_tokens > 0) for r in got.collect()} == {1: True, 2: False}
